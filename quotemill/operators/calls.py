@@ -22,9 +22,9 @@ def trailing_counts(calls: DataFrame, seconds: int = 60, time: str = "started_at
         .rangeBetween(-seconds * 1_000_000, Window.currentRow)
     )
     return (
-        placed.withColumn("trailing", F.sum("n").over(frame))
+        placed.withColumn("trailing_calls", F.sum("n").over(frame))
         .filter(F.col("own") == F.col("slot"))
-        .select(key, time, "n", "trailing")
+        .select(key, time, "n", "trailing_calls")
     )
 
 
@@ -33,7 +33,7 @@ def over_limit(calls: DataFrame, limits: dict[str, int], seconds: int = 60) -> D
     limit = F.lit(None).cast("int")
     for bucket, allowed in limits.items():
         limit = F.when(F.col("bucket") == bucket, allowed).otherwise(limit)
-    return trailing_counts(calls, seconds).withColumn("allowed", limit).filter(F.col("trailing") > F.col("allowed"))
+    return trailing_counts(calls, seconds).withColumn("allowed", limit).filter(F.col("trailing_calls") > F.col("allowed"))
 
 
 def per_window(calls: DataFrame, width: str, *aggregates: Column, slide: str | None = None, by: tuple[str, ...] = (),

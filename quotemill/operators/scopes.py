@@ -128,6 +128,5 @@ def incremental(interfaces: DataFrame, cal: DataFrame, as_of: Column) -> DataFra
     """Units of the last open day only: the plan starts and ends on that day."""
     from .calendar import latest_trade_date
 
-    target = latest_trade_date(cal, as_of)
-    day = cal.join(target, cal["cal_date"] == target["trade_date"], "left_semi")
+    day = cal.filter(F.col("cal_date") == latest_trade_date(cal, as_of).scalar())
     return date_loop(interfaces, day, as_of)

@@ -1 +1,636 @@
-"""placeholder"""
+"""Payload, normalisation, audit, migration and call-log queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..functions.dates import not_before_epoch, parse_day, parse_moment, stripped
+from ..functions.fingerprint import fingerprint
+from ..functions.units import MIGRATED_PARTS, MONEY, SHARES, migration_scale, relative_difference
+from ..model import ADJ_FACTOR, BARS, FINANCIALS, MONEYFLOW, STATE
+from ..operators import audit, calls, market, migrate, normalize, state, versions
+from ..sources import payloads, tables
+from ..session import scratch_path
+from .market_queries import _versioned, each
+from .oracle_tables import code
+from .registry import query
+from .state_queries import NOW, as_of
+
+# Payloads and normalisation ----------------------------------------------------------------------
+
+
+def _items(t, cell="string"):
+    return payloads.explode_items(t.payloads, "payload", t.PAYLOAD_FIELDS, cell)
+
+
+@query("s2_payload_rows", """SELECT ts_code, day, trade_date, vol, close, CASE WHEN trade_date <> ' NaN ' THEN amount END AS amount FROM raw_bars""")
+def _(t):
+    kinds = {"vol": "bigint", "close": "double", "amount": "double"}
+    return _items(t).select(*[F.col(c).cast(kinds.get(c, "string")).alias(c) for c in t.PAYLOAD_FIELDS])
+
+
+@query("s3_payload_files", "SELECT ts_code, count(*) AS items, CAST(sum(vol) AS BIGINT) AS vol FROM raw_bars GROUP BY ts_code")
+def _(t):
+    path = scratch_path(t.spark, "payloads")
+    t.payloads_by_code.write.partitionBy("ts_code").text(path)
+    files = payloads.read_payloads(t.spark, path, pattern="*.txt").select("payload")
+    items = payloads.explode_items(files, "payload", ["ts_code", "vol"])
+    return items.groupBy("ts_code").agg(F.count(F.lit(1)).alias("items"), F.sum(F.col("vol").cast("bigint")).alias("vol"))
+
+
+DAY_SQL = """CASE WHEN lower(trim({c}, ' \t\r\n')) IN ('-', 'null', 'none', 'nan', '0000-00-00', '00000000') THEN NULL
+  WHEN regexp_full_match(trim({c}, ' \t\r\n'), '[0-9]{{4}}') THEN try_strptime(trim({c}, ' \t\r\n') || '0101', '%Y%m%d')
+  WHEN regexp_full_match(trim({c}, ' \t\r\n'), '[0-9]{{6}}') THEN try_strptime(trim({c}, ' \t\r\n') || '01', '%Y%m%d')
+  WHEN regexp_full_match(trim({c}, ' \t\r\n'), '[0-9]{{8}}') THEN try_strptime(trim({c}, ' \t\r\n'), '%Y%m%d')
+  WHEN length(trim({c}, ' \t\r\n')) >= 10 THEN try_strptime(substr(replace(replace(substr(trim({c}, ' \t\r\n'), 1, 10), '-', ''), '/', ''), 1, 8), '%Y%m%d') END"""
+MOMENT_SQL = """CASE WHEN regexp_full_match({c}, '[0-9]{{8}}') THEN try_strptime({c}, '%Y%m%d')
+  WHEN regexp_matches({c}, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}T') THEN try_strptime(substr(replace({c}, 'T', ' '), 1, 19), '%Y-%m-%d %H:%M:%S')
+  WHEN contains(substr({c}, 1, 10), '-') THEN try_strptime(substr({c}, 1, 19), '%Y-%m-%d %H:%M:%S')
+  WHEN contains(substr({c}, 1, 10), '/') THEN try_strptime(substr({c}, 1, 19), '%Y/%m/%d %H:%M:%S') END"""
+
+
+def day_sql(c):
+    return f"CAST({DAY_SQL.format(c=c)} AS DATE)"
+
+
+def capped_sql(c, default):
+    return f"CASE WHEN {day_sql(c)} < DATE '1970-01-01' THEN {default} ELSE {day_sql(c)} END"
+
+
+@query("n1_flexible_dates", f"SELECT ts_code, day, trade_date AS raw, {day_sql('trade_date')} AS trade_date FROM raw_bars")
+def _(t):
+    return _items(t).select("ts_code", "day", F.col("trade_date").alias("raw"), parse_day(F.col("trade_date")).alias("trade_date"))
+
+
+@query("n2_date_columns", f"""SELECT o_orderkey, {capped_sql('ann_date', 'NULL')} AS ann_date, {capped_sql('update_time', 'NULL')} AS update_time,
+  total_revenue FROM raw_statements""")
+def _(t):
+    # Nothing declared: columns named like a date are parsed, and "update_time" contains "date".
+    rows = t.raw_statements.select("o_orderkey", "ann_date", "update_time", "total_revenue")
+    return normalize.normalize(rows, T.StructType()).drop("_rejects")
+
+
+@query("n3_moments", f"SELECT o_orderkey, update_time AS raw, {MOMENT_SQL.format(c='update_time')} AS update_time FROM raw_statements")
+def _(t):
+    return t.raw_statements.select("o_orderkey", F.col("update_time").alias("raw"), parse_moment(F.col("update_time")).alias("update_time"))
+
+
+@query("n4_epoch_floor", f"""SELECT o_orderkey, {capped_sql('ann_date', 'NULL')} AS nullable_day, {capped_sql('ann_date', "DATE '1970-01-01'")} AS required_day
+  FROM raw_statements""")
+def _(t):
+    day = parse_day(F.col("ann_date"))
+    return t.raw_statements.select("o_orderkey", not_before_epoch(day, True).alias("nullable_day"), not_before_epoch(day, False).alias("required_day"))
+
+
+def _declared(*fields):
+    return T.StructType([T.StructField(n, k, nullable) for n, k, nullable in fields])
+
+
+def _amount(c):
+    return f"CAST(TRY_CAST(trim({c}) AS DECIMAL(28,6)) * 10000 AS DECIMAL(18,2))"
+
+
+@query("n5a_money_scaling", f"""SELECT o_orderkey, {_amount('total_revenue')} AS total_revenue, {_amount('n_income')} AS n_income,
+  TRY_CAST(total_share AS DECIMAL(18,2)) AS total_share FROM raw_statements""")
+def _(t):
+    rows = t.raw_statements.select("o_orderkey", "total_revenue", "n_income", "total_share")
+    declared = _declared(("total_revenue", MONEY, True), ("n_income", MONEY, True), ("total_share", MONEY, True))
+    return normalize.normalize(rows, declared).drop("_rejects")
+
+
+@query("n5b_share_scaling", """SELECT o_orderkey, CAST(TRY_CAST(float_share AS DECIMAL(28,8)) * 10000 AS DECIMAL(18,4)) AS float_share,
+  CAST(TRY_CAST(total_share AS DECIMAL(28,8)) * 10000 AS DECIMAL(18,4)) AS total_share FROM raw_statements""")
+def _(t):
+    declared = _declared(("float_share", SHARES, True), ("total_share", SHARES, True))
+    return normalize.normalize(t.raw_statements.select("o_orderkey", "float_share", "total_share"), declared).drop("_rejects")
+
+
+@query("n5c_migration_scaling", """SELECT record_id, amount * 10000 AS amount, vol, CASE WHEN vol <> 0 THEN amount / vol * 10000 END AS avg_cost,
+  amount AS amount_rate FROM source_rows""")
+def _(t):
+    ratio = F.when(F.col("vol") != 0, F.col("amount") / F.col("vol"))
+    # An open order without volume stands for a NaN of the source, which must become NULL.
+    odd = F.when(F.col("vol").isNull(), F.lit(float("nan"))).otherwise(ratio)
+    rows = t.source_rows.select("record_id", "amount", "vol", odd.alias("avg_cost"), F.col("amount").alias("amount_rate"))
+    return normalize.migrated(rows)
+
+
+@query("n6_defaults", f"""SELECT o_orderkey, {_amount("coalesce(nullif(trim(n_income), ''), '0')")} AS n_income, coalesce(holder_name, '') AS holder_name,
+  coalesce(TRY_CAST(nullif(trim(holder_num), '') AS BIGINT), 0) AS holder_num,
+  coalesce({capped_sql('ann_date', "DATE '1970-01-01'")}, DATE '1970-01-01') AS ann_date FROM raw_statements""")
+def _(t):
+    rows = t.raw_statements.select("o_orderkey", "n_income", "holder_name", "holder_num", "ann_date")
+    declared = _declared(("n_income", MONEY, False), ("holder_name", T.StringType(), False),
+                         ("holder_num", T.LongType(), False), ("ann_date", T.DateType(), False))
+    return normalize.normalize(rows, declared).drop("_rejects")
+
+
+@query("n7_text_columns", "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, holder_num AS holder_num FROM raw_statements")
+def _(t):
+    declared = _declared(("o_orderkey", T.StringType(), True), ("holder_num", T.StringType(), True))
+    return normalize.normalize(t.raw_statements.select("o_orderkey", "holder_num"), declared).drop("_rejects")
+
+
+REJECTS = f"""array_to_string(list_filter([CASE WHEN {day_sql('ann_date')} IS NULL AND trim(ann_date) <> '' THEN 'ann_date' END,
+  CASE WHEN {MOMENT_SQL.format(c='update_time')} IS NULL AND trim(update_time) <> '' THEN 'update_time' END,
+  CASE WHEN TRY_CAST(trim(total_revenue) AS DECIMAL(28,6)) IS NULL AND trim(total_revenue) <> '' THEN 'total_revenue' END,
+  CASE WHEN TRY_CAST(trim(n_income) AS DECIMAL(28,6)) IS NULL AND trim(n_income) <> '' THEN 'n_income' END], lambda x: x IS NOT NULL), ',')"""
+
+
+@query("n8_rejected_cells", f"""SELECT o_orderkey, {_amount('total_revenue')} AS total_revenue, rejects FROM (
+  SELECT *, {REJECTS} AS rejects FROM raw_statements) WHERE rejects <> ''""")
+def _(t):
+    rows = t.raw_statements.select("o_orderkey", "ann_date", "update_time", "total_revenue", "n_income")
+    declared = _declared(("ann_date", T.DateType(), False), ("update_time", T.TimestampNTZType(), True),
+                         ("total_revenue", MONEY, True), ("n_income", MONEY, True))
+    out = normalize.normalize(rows, declared)
+    return out.filter(F.size("_rejects") > 0).select("o_orderkey", "total_revenue", F.array_join("_rejects", ",").alias("rejects"))
+
+
+@query("n9_type_inference", """SELECT * FROM (VALUES (0, 'ts_code', 'string'), (1, 'day', 'date'),
+  (2, 'trade_date', (SELECT CASE WHEN regexp_full_match(v, '[0-9]{8}|[0-9]{4}-[0-9]{2}-[0-9]{2}') THEN 'date' ELSE 'string' END
+     FROM (SELECT arg_min(trade_date, (ts_code, day, _version)) AS v FROM raw_bars))),
+  (3, 'vol', (SELECT CASE WHEN count(vol) > 0 THEN 'bigint' ELSE 'string' END FROM raw_bars)),
+  (4, 'close', (SELECT CASE WHEN count(close) > 0 THEN 'double' ELSE 'string' END FROM raw_bars)),
+  (5, 'amount', (SELECT CASE WHEN count(amount) > 0 THEN 'double' ELSE 'string' END FROM raw_bars)),
+  (6, '_version', 'bigint')) x(ordinal, field, type)""")
+def _(t):
+    rows = _items(t, "variant")
+    text = lambda c: F.try_variant_get(F.col(c), "$", "string")
+    # Rows of one code and day differ in nothing that decides a type, so the order is total where it matters.
+    return normalize.infer_types(rows, list(t.PAYLOAD_FIELDS), F.struct(text("ts_code"), text("day"), "item_pos"))
+
+
+@query("n10_typed_projection", """SELECT record_id, ts_code, trade_date, amount, CAST(amount > 250000 AS TINYINT) AS is_large,
+  CAST(CAST(amount AS DECIMAL(20,4)) AS DOUBLE) AS exact_amount, date_trunc('millisecond', updated_at) AS updated_at, grade FROM source_rows""")
+def _(t):
+    rows = t.source_rows.select(
+        "record_id", "ts_code", "trade_date", "amount", (F.col("amount") > 250_000).alias("is_large"),
+        F.col("amount").cast("decimal(20,4)").alias("exact_amount"), "updated_at", "grade")
+    return normalize.migration_projection(rows)
+
+
+@query("n11_schema_drift", """SELECT ts_code, trade_date, close, CAST(NULL AS VARCHAR) AS adj_factor FROM bars_now
+  UNION ALL SELECT ts_code, trade_date, NULL, CAST(adj_factor AS VARCHAR) FROM adj_now""")
+def _(t):
+    table = versions.current(t.bars, BARS.keys).select("ts_code", "trade_date", "close")
+    return normalize.with_drift(table, versions.current(t.adj_factor, ADJ_FACTOR.keys).select("ts_code", "trade_date", "adj_factor"))
+
+
+@query("n12_rewrite_columns", """SELECT ts_code AS con_code, trade_date, CAST(record_id AS INTEGER) AS record_id,
+  TRY_CAST(grade AS INTEGER) AS grade, amount, CAST(NULL AS VARCHAR) AS note FROM target_rows""")
+def _(t):
+    rows = t.target_rows.select("ts_code", "trade_date", "record_id", "grade", "amount")
+    return tables.rewrite(t.spark, rows, ["ts_code", "trade_date"], {"ts_code": "con_code"},
+                          {"record_id": "int", "grade": "int"}, {"note": "string"})
+
+
+@query("n13_rekeyed_rebuild", "SELECT * FROM financials")
+def _(t):
+    return tables.rebuild(t.spark, t.financials, ["end_date", "ts_code", "statement"])
+
+
+@query("m2_relative_difference", """SELECT record_id, abs(t.amount - s.amount * 10000) / greatest(abs(s.amount * 10000), 1.0) AS rel_amount,
+  abs(t.vol - s.vol) / greatest(abs(s.vol), 1.0) AS rel_vol FROM source_rows s JOIN target_rows t USING (record_id)""")
+def _(t):
+    s = t.source_rows.select("record_id", F.col("amount").alias("sa"), F.col("vol").alias("sv"))
+    return s.join(t.target_rows, "record_id").select(
+        "record_id", relative_difference(F.col("amount"), F.col("sa") * 10_000).alias("rel_amount"),
+        relative_difference(F.col("vol"), F.col("sv")).alias("rel_vol"))
+
+
+# Audits ------------------------------------------------------------------------------------------
+
+DATED = {"bars": "bars", "adj_factor": "adj_factor", "moneyflow": "moneyflow", "financials": "financials", "index_weight": "index_weight"}
+DATE_OF = {"financials": "ann_date"}
+DAYS_SQL = "(" + " UNION ".join(f"SELECT '{n}' AS dataset, {DATE_OF.get(n, 'trade_date')} AS day FROM {n}" for n in DATED) + ")"
+GAPS_SQL = f"""(SELECT d.dataset, c.cal_date AS day FROM (SELECT DISTINCT dataset FROM {DAYS_SQL}) d
+  CROSS JOIN (SELECT DISTINCT cal_date FROM trade_cal WHERE is_open = 1) c
+  WHERE NOT EXISTS (SELECT 1 FROM {DAYS_SQL} x WHERE x.dataset = d.dataset AND x.day = c.cal_date))"""
+
+
+def _gaps(t):
+    days = audit.dataset_days({n: (getattr(t, n), DATE_OF.get(n, "trade_date")) for n in DATED})
+    return audit.trading_day_gaps(t.trade_cal, days)
+
+
+@query("j3_missing_days", f"SELECT * FROM {GAPS_SQL}")
+def _(t):
+    return _gaps(t)
+
+
+@query("v1_trading_day_gaps", f"""SELECT dataset, 'trading_day' AS gap_type, count(*) AS missing_count,
+  string_agg(strftime(day, '%Y%m%d'), ',' ORDER BY day) AS missing_dates,
+  (SELECT strftime(min(cal_date), '%Y%m%d') || '..' || strftime(max(cal_date), '%Y%m%d') FROM trade_cal WHERE is_open = 1) AS date_range
+FROM {GAPS_SQL} GROUP BY dataset""")
+def _(t):
+    return audit.gap_report(_gaps(t), t.trade_cal)
+
+
+PERIODS = """(SELECT ts_code, CAST(q + INTERVAL 3 MONTH - INTERVAL 1 DAY AS DATE) AS day, lo, hi FROM (SELECT ts_code, lo, hi,
+  unnest(generate_series(date_trunc('year', lo), date_trunc('year', hi) + INTERVAL 9 MONTH, INTERVAL 3 MONTH)) AS q
+  FROM (SELECT ts_code, min(end_date) AS lo, max(end_date) AS hi FROM financials GROUP BY ts_code)))"""
+MISSING_PERIODS = f"(SELECT * FROM {PERIODS} p WHERE NOT EXISTS (SELECT 1 FROM financials f WHERE f.ts_code = p.ts_code AND f.end_date = p.day))"
+
+
+@query("v2_period_gaps", f"""SELECT ts_code, count(*) AS missing_count, string_agg(strftime(day, '%Y%m%d'), ',' ORDER BY day) AS missing_periods,
+  strftime(min(lo), '%Y%m%d') || '..' || strftime(max(hi), '%Y%m%d') AS date_range, CAST(NULL AS VARCHAR) AS issue
+FROM {MISSING_PERIODS} GROUP BY ts_code
+UNION ALL SELECT {code('c_custkey')}, 0, '', 'empty', 'Table has no data' FROM customer
+WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)""")
+def _(t):
+    from ..sources.domain import security_code
+
+    declared = t.raw("customer").select(security_code(F.col("c_custkey")).alias("ts_code"))
+    return audit.period_gaps(t.financials, "ts_code", declared=declared)
+
+
+@query("u3_expected_minus_actual", f"SELECT ts_code, day FROM {MISSING_PERIODS}")
+def _(t):
+    from ..functions.dates import quarter_ends
+
+    spans = t.financials.groupBy("ts_code").agg(F.year(F.min("end_date")).alias("y0"), F.year(F.max("end_date")).alias("y1"))
+    first, last = F.make_date("y0", F.lit(1), F.lit(1)), F.make_date("y1", F.lit(12), F.lit(31))
+    expected = spans.select("ts_code", F.explode(quarter_ends(first, last)).alias("day"))
+    return audit.missing_periods(expected, t.financials.select("ts_code", F.col("end_date").alias("day")))
+
+
+TABLE_COUNTS = """(SELECT 't_' || n_nationkey || '_' || event AS table_name, CAST(n AS BIGINT) AS row_count FROM (
+  SELECT CAST(c_nationkey AS BIGINT) AS n_nationkey, strategy AS event, count(*) FILTER (WHERE c_acctbal > 5000) AS n
+  FROM customer CROSS JOIN (VALUES ('date_loop'), ('full_once'), ('per_symbol')) s(strategy) GROUP BY ALL))"""
+
+
+@query("v3_row_count_audit", f"""SELECT i.interface, i.table_name, CASE WHEN n.row_count IS NULL THEN 'missing' WHEN n.row_count = 0 AND coalesce(done, 0) = 0 THEN 'empty'
+  WHEN coalesce(failed, 0) > 0 THEN 'has_failures' WHEN coalesce(partial, 0) > 0 THEN 'has_partial' ELSE 'ok' END AS status,
+  coalesce(n.row_count, 0) AS row_count, coalesce(done, 0) AS done, coalesce(partial, 0) AS partial, coalesce(failed, 0) AS failed
+FROM interfaces i LEFT JOIN (SELECT interface, count(*) FILTER (WHERE status = 'done') AS done, count(*) FILTER (WHERE status = 'partial') AS partial,
+  count(*) FILTER (WHERE status = 'failed') AS failed FROM units GROUP BY interface) u ON u.interface = i.interface
+LEFT JOIN {TABLE_COUNTS} n ON n.table_name = i.table_name""")
+def _(t):
+    strategies = F.explode(F.array(*[F.lit(s) for s in ("date_loop", "full_once", "per_symbol")]))
+    counts = t.raw("customer").withColumn("strategy", strategies).groupBy(
+        F.concat_ws("_", F.lit("t"), F.col("c_nationkey").cast("string"), "strategy").alias("table_name")
+    ).agg(F.count_if(F.col("c_acctbal") > 5000).alias("row_count"))
+    return audit.row_count_audit(t.interfaces, counts, t.state_log)
+
+
+def _scaled(c):
+    return f"CAST(CAST(floor({c} * 10000 + 0.5) AS BIGINT) AS VARCHAR)"
+
+
+PRINT_BARS = "('0x' || substr(md5(concat_ws('|', ts_code, CAST(trade_date AS VARCHAR), " + ", ".join(
+    _scaled(c) for c in ("open", "high", "low", "close", "vol", "amount")) + ", CAST(_version AS VARCHAR))), 1, 15))::BIGINT"
+PRINTED = ["ts_code", "trade_date", "open", "high", "low", "close", "vol", "amount", "_version"]
+
+
+@query("a10_table_fingerprint", f"""SELECT trade_date, count(*) AS row_count, bit_xor({PRINT_BARS}) AS fingerprint, max(_version) AS max_version
+  FROM bars_now GROUP BY trade_date""")
+def _(t):
+    return fingerprint(versions.current(t.bars, BARS.keys), ["trade_date"], PRINTED, portable=True)
+
+
+@query("v4_fingerprint_audit", f"""SELECT trade_date, row_count, fingerprint, max_version, dataset FROM (
+  SELECT trade_date, count(*) AS row_count, bit_xor({PRINT_BARS}) AS fingerprint, max(_version) AS max_version, 'bars' AS dataset FROM bars_now GROUP BY trade_date
+  UNION ALL SELECT trade_date, count(*), bit_xor(('0x' || substr(md5(concat_ws('|', ts_code, CAST(trade_date AS VARCHAR), {_scaled('adj_factor')}, CAST(_version AS VARCHAR))), 1, 15))::BIGINT),
+    max(_version), 'adj_factor' FROM adj_now GROUP BY trade_date)
+WHERE trade_date = (SELECT max(cal_date) FROM trade_cal WHERE is_open = 1 AND cal_date <= DATE '2001-10-31')""")
+def _(t):
+    sets = {"bars": (t.bars.select(*PRINTED), BARS), "adj_factor": (t.adj_factor, ADJ_FACTOR)}
+    return audit.fingerprint_audit(sets, t.trade_cal, F.lit("2001-10-31").cast("date"), portable=True)
+
+
+LOAD_UNITS = """(SELECT ts_code || ':' || strftime(trade_date, '%Y%m%d') AS unit_id, ts_code, trade_date, count(*) * 12 AS rows_written FROM trades GROUP BY ALL
+  UNION ALL SELECT ts_code, ts_code, NULL, count(*) * 30 FROM trades GROUP BY ts_code
+  UNION ALL SELECT strftime(trade_date, '%Y%m%d'), NULL, trade_date, count(*) * 15 FROM trades GROUP BY trade_date
+  UNION ALL SELECT 'full', NULL, NULL, count(*) FROM trades)"""
+
+
+def _load_units(t):
+    day = F.date_format("trade_date", "yyyyMMdd")
+    wrote = lambda k: (F.count(F.lit(1)) * k).alias("rows_written")
+    none, no_day = F.lit(None).cast("string"), F.lit(None).cast("date")
+    pair = t.trades.groupBy("ts_code", "trade_date").agg(wrote(12)).select(
+        F.concat_ws(":", "ts_code", day).alias("unit_id"), "ts_code", "trade_date", "rows_written")
+    symbol = t.trades.groupBy("ts_code").agg(wrote(30)).select(
+        F.col("ts_code").alias("unit_id"), "ts_code", no_day.alias("trade_date"), "rows_written")
+    daily = t.trades.groupBy("trade_date").agg(wrote(15)).select(
+        day.alias("unit_id"), none.alias("ts_code"), "trade_date", "rows_written")
+    whole = t.trades.agg(wrote(1)).select(F.lit("full").alias("unit_id"), none.alias("ts_code"), no_day.alias("trade_date"), "rows_written")
+    return audit.union_all([pair, symbol, daily, whole])
+
+
+@query("v5_write_check", f"""WITH u AS (SELECT * FROM {LOAD_UNITS}),
+  f AS (SELECT ts_code, trade_date FROM adj_now),
+  c AS (SELECT u.unit_id, u.ts_code, u.trade_date, u.rows_written, coalesce(CASE WHEN u.ts_code IS NOT NULL AND u.trade_date IS NOT NULL THEN p.n
+      WHEN u.ts_code IS NOT NULL THEN s.n WHEN u.trade_date IS NOT NULL THEN d.n ELSE (SELECT count(*) FROM f) END, 0) AS found
+    FROM u LEFT JOIN (SELECT ts_code, trade_date, count(*) AS n FROM f GROUP BY ALL) p ON p.ts_code = u.ts_code AND p.trade_date = u.trade_date
+    LEFT JOIN (SELECT ts_code, count(*) AS n FROM f GROUP BY ALL) s ON s.ts_code = u.ts_code
+    LEFT JOIN (SELECT trade_date, count(*) AS n FROM f GROUP BY ALL) d ON d.trade_date = u.trade_date)
+SELECT unit_id, rows_written, found, CASE WHEN rows_written = 0 THEN 'ok' WHEN found = 0 THEN 'no_rows'
+  WHEN NOT (ts_code IS NOT NULL AND trade_date IS NULL) AND found < greatest(1, CAST(floor(rows_written * 0.05) AS BIGINT)) THEN 'heavy_loss'
+  ELSE 'ok' END AS verdict FROM c""")
+def _(t):
+    return audit.write_check(_load_units(t), t.adj_factor.select("ts_code", "trade_date", "_version"), ADJ_FACTOR.keys, "trade_date")
+
+
+@query("v6_duplicate_loss", "SELECT *, loss > 0.1 AS warn FROM (SELECT *, 1.0::DOUBLE - final_rows / total_rows AS loss FROM ("
+       + each("SELECT '{t}' AS table_name, count(*) AS total_rows, count(DISTINCT ({k})) AS final_rows FROM {t}") + "))")
+def _(t):
+    return audit.duplicate_loss({n: (df, spec.keys) for n, (df, spec) in _versioned(t).items()})
+
+
+@query("v8_row_count_check", """SELECT (SELECT count(*) FROM source_rows) AS source_count, (SELECT count(*) FROM target_rows) AS target_count,
+  (SELECT count(*) FROM target_rows) - (SELECT count(*) FROM source_rows) AS diff,
+  (SELECT count(*) FROM target_rows) = (SELECT count(*) FROM source_rows) AS passed""")
+def _(t):
+    return migrate.count_check(t.source_rows, versions.current(t.target_rows.select("record_id", "_version"), ["record_id"]))
+
+
+CELL_COLUMNS = ("amount", "vol", "grade")
+CELLS = """(SELECT s.record_id, CASE WHEN abs(t.amount - s.amount * 10000) / greatest(abs(s.amount * 10000), 1.0) > 0.0001 THEN 'amount'
+    WHEN (s.vol IS NULL) <> (t.vol IS NULL) OR abs(t.vol - s.vol) / greatest(abs(s.vol), 1.0) > 0.0001 THEN 'vol'
+    WHEN s.grade <> t.grade THEN 'grade' END AS column_name, s.vol AS sv, t.vol AS tv, s.grade AS sg, t.grade AS tg
+  FROM source_rows s JOIN target_rows t USING (record_id))"""
+
+
+@query("v9_cell_compare", f"SELECT record_id, column_name FROM {CELLS} WHERE column_name IS NOT NULL")
+def _(t):
+    return migrate.compare_cells(t.source_rows, t.target_rows, ["record_id"], CELL_COLUMNS).select("record_id", "column_name")
+
+
+@query("v9_first_mismatches", f"""SELECT record_id, column_name, CASE WHEN column_name = 'grade' THEN sg ELSE CAST(sv AS VARCHAR) END AS source_value,
+  CASE WHEN column_name = 'grade' THEN tg ELSE CAST(tv AS VARCHAR) END AS target_value FROM {CELLS} WHERE column_name IS NOT NULL ORDER BY record_id LIMIT 10""")
+def _(t):
+    return migrate.sample_check(t.source_rows, t.target_rows, ["record_id"], CELL_COLUMNS)[1]
+
+
+@query("j8_row_lookup_join", """SELECT s.record_id, s.ts_code, s.amount AS source_amount, t.amount AS target_amount FROM source_rows s
+  JOIN target_rows t ON s.ts_code = t.ts_code AND s.trade_date = t.trade_date AND s.record_id = t.record_id""")
+def _(t):
+    left = t.source_rows.select("record_id", "ts_code", "trade_date", F.col("amount").alias("source_amount"))
+    right = t.target_rows.select("record_id", "ts_code", "trade_date", F.col("amount").alias("target_amount"))
+    return left.join(right, ["ts_code", "trade_date", "record_id"]).select("record_id", "ts_code", "source_amount", "target_amount")
+
+
+SUMS = "sum({c}), min({c}), max({c})"
+
+
+@query("v10_sum_check", """SELECT column_name, scale, round(source_sum, 2) AS source_sum, source_min, source_max, round(target_sum, 0) AS target_sum, target_min, target_max,
+  round(abs(target_sum - source_sum * scale) / greatest(abs(source_sum * scale), 1.0), 9) AS diff_pct,
+  abs(target_sum - source_sum * scale) / greatest(abs(source_sum * scale), 1.0) < 0.01 AS passed
+FROM (SELECT 'amount' AS column_name, 10000 AS scale, sum(amount) AS source_sum, min(amount) AS source_min, max(amount) AS source_max FROM source_rows
+  UNION ALL SELECT 'vol', 1, sum(vol), min(vol), max(vol) FROM source_rows)
+JOIN (SELECT 'amount' AS column_name, sum(amount) AS target_sum, min(amount) AS target_min, max(amount) AS target_max FROM target_rows
+  UNION ALL SELECT 'vol', sum(vol), min(vol), max(vol) FROM target_rows) USING (column_name)""")
+def _(t):
+    out = migrate.sum_check(t.source_rows, t.target_rows, ["amount", "vol"])
+    return out.withColumns({"source_sum": F.round("source_sum", 2), "target_sum": F.round("target_sum", 0), "diff_pct": F.round("diff_pct", 9)})
+
+
+@query("v13_update_lag", """SELECT latest, CAST(abs(epoch(TIMESTAMP '2001-08-03 20:00:00') - epoch(latest)) AS BIGINT) AS lag_seconds,
+  CASE WHEN latest IS NULL THEN 'ok' WHEN abs(epoch(TIMESTAMP '2001-08-03 20:00:00') - epoch(latest)) > 30 * 86400 THEN 'outdated'
+    WHEN abs(epoch(TIMESTAMP '2001-08-03 20:00:00') - epoch(latest)) / 3600 > 7 AND abs(epoch(TIMESTAMP '2001-08-03 20:00:00') - epoch(latest)) / 3600 < 9
+    THEN 'looks_utc' ELSE 'ok' END AS verdict FROM (SELECT max(updated_at) AS latest FROM source_rows)""")
+def _(t):
+    return audit.update_lag(t.source_rows, "updated_at", F.lit("2001-08-03 20:00:00").cast("timestamp_ntz"))
+
+
+@query("v14_load_volume_check", """WITH c AS (SELECT interface, count(*) AS units, count(*) FILTER (WHERE status = 'failed') AS failed FROM units GROUP BY interface),
+  l AS (SELECT interface, CASE strategy WHEN 'date_loop' THEN 20 ELSE 24 END AS max_units FROM interfaces),
+  r AS (SELECT 'state_log' AS table_name, count(*) / CAST(count(DISTINCT (interface, scope_key)) AS DOUBLE) AS dup_ratio FROM state_log
+    UNION ALL SELECT 'bars', count(*) / CAST(count(DISTINCT (ts_code, trade_date)) AS DOUBLE) FROM bars)
+SELECT interface AS subject, 'too_many_units' AS finding, CAST(units AS DOUBLE) AS measure FROM c JOIN l USING (interface) WHERE units > max_units
+UNION ALL SELECT interface, 'failed_share', round(failed / units, 6) FROM c JOIN l USING (interface) WHERE failed / units > 0.1
+UNION ALL SELECT table_name, 'dup_ratio', round(dup_ratio, 6) FROM r WHERE dup_ratio > 1.5""")
+def _(t):
+    limits = t.interfaces.select("interface", F.when(F.col("strategy") == "date_loop", 20).otherwise(24).alias("max_units"))
+    ratios = versions.duplicate_ratio({"state_log": (t.state_log, STATE.keys), "bars": (t.bars, BARS.keys)})
+    return audit.load_volume_check(state.units(t.state_log, "status"), limits, ratios)
+
+
+@query("a12_coverage", """SELECT ts_code, min(trade_date) AS min_date, max(trade_date) AS max_date, count(DISTINCT trade_date) AS codes, count(*) AS row_count,
+  min(trade_date) > max(trade_date) AS inverted FROM bars GROUP BY ts_code""")
+def _(t):
+    return audit.coverage(t.bars, "trade_date", "trade_date", ["ts_code"])
+
+
+@query("a12_table_coverage", """SELECT min(trade_date) AS min_date, max(trade_date) AS max_date, count(DISTINCT ts_code) AS codes, count(*) AS row_count,
+  min(trade_date) > max(trade_date) AS inverted FROM bars""")
+def _(t):
+    return audit.coverage(t.bars, "trade_date", "ts_code")
+
+
+NUMBERS = ("open", "high", "low", "close", "vol", "amount")
+
+
+@query("a13_numeric_profile", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, round(sum({c}), 2) AS total, min({c}) AS low, max({c}) AS high FROM bars_now" for c in ("close", "vol", "amount")))
+def _(t):
+    rows = versions.current(t.bars.select(*BARS.keys, "close", "vol", "amount", BARS.version), BARS.keys)
+    return audit.numeric_profile(rows, ["close", "vol", "amount"]).withColumn("total", F.round("total", 2))
+
+
+@query("a16_null_profile", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(*) AS row_count, count(*) FILTER (WHERE {c} IS NULL) AS null_count FROM source_rows"
+    for c in ("ts_code", "vol", "grade", "updated_at")))
+def _(t):
+    return audit.null_profile(t.source_rows, ["ts_code", "vol", "grade", "updated_at"])
+
+
+@query("a18_day_checkpoints", """SELECT 'bars' AS interface, 'bars:' || strftime(trade_date, '%Y%m%d') AS scope_key, 'done' AS status, count(*) AS rows
+  FROM bars_now GROUP BY trade_date""")
+def _(t):
+    return migrate.day_checkpoints(versions.current(t.bars.select(*BARS.keys, BARS.version), BARS.keys), "bars", "trade_date")
+
+
+READABLE = """CASE WHEN row_count >= 1000000000000 THEN {tr} WHEN row_count >= 1000000000 THEN {b} WHEN row_count >= 1000000 THEN {m}
+  WHEN row_count >= 1000 THEN {k} ELSE CAST(row_count AS VARCHAR) END"""
+
+
+def _readable(size, word):
+    n = f"CAST(floor(row_count / {size // 100} + 0.5) AS BIGINT)"
+    return f"({n} // 100) || '.' || lpad(CAST({n} % 100 AS VARCHAR), 2, '0') || ' {word}'"
+
+
+READABLE_SQL = READABLE.format(k=_readable(10**3, "thousand"), m=_readable(10**6, "million"), b=_readable(10**9, "billion"), tr=_readable(10**12, "trillion"))
+PROFILE = "(" + each("SELECT '{t}' AS table_name, count(*) AS row_count, max(_version) AS max_version FROM {t}") + ")"
+
+
+@query("a20_table_profile", f"""SELECT *, {READABLE_SQL} AS readable FROM (SELECT * FROM {PROFILE}
+  UNION ALL SELECT '(total)', CAST(sum(row_count) AS BIGINT), max(max_version) FROM {PROFILE})""")
+def _(t):
+    return audit.table_profile({n: df for n, (df, _) in _versioned(t).items()})
+
+
+@query("w6_largest_tables", f"SELECT *, {READABLE_SQL} AS readable FROM {PROFILE} ORDER BY row_count DESC, table_name LIMIT 3")
+def _(t):
+    return audit.largest_tables(audit.table_profile({n: df for n, (df, _) in _versioned(t).items()}), 3)
+
+
+@query("u1_union_of_metrics", each("SELECT '{t}' AS table_name, count(DISTINCT ({k})) AS row_count FROM {t}"))
+def _(t):
+    return audit.table_counts(_versioned(t))
+
+
+@query("describe_table", """SELECT x.*, (SELECT count(*) FROM adj_factor) AS row_count, 4 AS column_count, (SELECT max(_version) FROM adj_factor) AS last_version
+  FROM (VALUES (1, 'ts_code', 'string'), (2, 'trade_date', 'date'), (3, 'adj_factor', 'double'), (4, '_version', 'bigint')) x(ordinal, column_name, column_type)""")
+def _(t):
+    return audit.describe_table(t.adj_factor)
+
+
+# Migration ---------------------------------------------------------------------------------------
+
+
+@query("s4_partitioned_union", "SELECT ts_code, trade_date, record_id, amount, vol, part FROM source_union")
+def _(t):
+    parts = {**t.source_parts, "source_1990": None}
+    return migrate.union_parts(parts, ["ts_code", "trade_date", "record_id", "amount", "vol"], "source_default")
+
+
+@query("s5_source_read", "SELECT record_id, ts_code, amount FROM source_rows WHERE amount > 100000 AND grade <> '5-LOW'")
+def _(t):
+    return tables.select_where(t.source_rows, ["record_id", "ts_code", "amount"], "amount > 100000 AND grade <> '5-LOW'", ["ts_code", "record_id"])
+
+
+@query("s7_row_version", """SELECT record_id, CAST(epoch_ms(coalesce(updated_at, created_at)) - 8 * 3600000 AS BIGINT) AS _version FROM source_rows""")
+def _(t):
+    loaded = F.lit("2024-01-31 00:00:00").cast("timestamp_ntz")
+    return t.source_rows.select("record_id", versions.row_version(F.col("updated_at"), F.col("created_at"), loaded).alias("_version"))
+
+
+TARGET_COLUMNS = ["ts_code", "cal_date", "amount", "vol", "grade", "_version"]
+
+
+@query("f9_aligned_columns", "SELECT ts_code, trade_date AS cal_date, amount, vol, grade FROM source_rows")
+def _(t):
+    return migrate.aligned(t.source_rows, TARGET_COLUMNS, {"trade_date": "cal_date"})
+
+
+@query("u2_cross_part_duplicates", """SELECT a.part || ' & source_default' AS pair, count(*) AS duplicates FROM
+  (SELECT DISTINCT part, ts_code, trade_date FROM source_union WHERE part IN ('source_1999', 'source_2000')) a
+  JOIN (SELECT DISTINCT ts_code, trade_date FROM source_union WHERE part = 'source_default') b USING (ts_code, trade_date) GROUP BY a.part""")
+def _(t):
+    return migrate.cross_part_duplicates(t.source_parts, "source_default", ["ts_code", "trade_date"])
+
+
+@query("w8_sampled_keys", """SELECT ts_code, trade_date FROM (SELECT DISTINCT ts_code, trade_date FROM source_rows)
+  ORDER BY md5(ts_code || '|' || CAST(trade_date AS VARCHAR)), ts_code, trade_date LIMIT 100""")
+def _(t):
+    return migrate.sample_keys(t.source_rows, ["ts_code", "trade_date"], 100)
+
+
+# Call log ----------------------------------------------------------------------------------------
+
+
+@query("w2_trailing_rate", """SELECT bucket, started_at, count(*) AS n, max(trailing_calls) AS trailing_calls FROM (SELECT bucket, started_at,
+  count(*) OVER (PARTITION BY bucket ORDER BY started_at RANGE BETWEEN INTERVAL 60 SECONDS PRECEDING AND CURRENT ROW) AS trailing_calls FROM api_calls)
+  GROUP BY bucket, started_at""")
+def _(t):
+    return calls.trailing_counts(t.api_calls)
+
+
+@query("w2_over_limit", """SELECT DISTINCT bucket, started_at, n, trailing_calls, CASE bucket WHEN 'normal' THEN 2 ELSE 1 END AS allowed FROM (
+  SELECT bucket, started_at, count(*) OVER (PARTITION BY bucket, started_at) AS n,
+  count(*) OVER (PARTITION BY bucket ORDER BY started_at RANGE BETWEEN INTERVAL 60 SECONDS PRECEDING AND CURRENT ROW) AS trailing_calls FROM api_calls)
+  WHERE trailing_calls > CASE bucket WHEN 'normal' THEN 2 ELSE 1 END""")
+def _(t):
+    return calls.over_limit(t.api_calls, {"normal": 2, "special": 1})
+
+
+@query("a11_latency_p99", """SELECT date_trunc('hour', started_at) AS window_start, round(quantile_cont(duration_ms, 0.99), 4) AS latency_ms, count(*) AS calls
+  FROM api_calls GROUP BY 1""")
+def _(t):
+    return calls.latency_percentile(t.api_calls).withColumn("latency_ms", F.round("latency_ms", 4))
+
+
+def _tumbling(unit, body, by=""):
+    group = f", {by}" if by else ""
+    return f"""SELECT date_trunc('{unit}', started_at) AS window_start, date_trunc('{unit}', started_at) + INTERVAL 1 {unit.upper()} AS window_end{group}, {body}
+      FROM api_calls GROUP BY ALL"""
+
+
+RPM = _tumbling("minute", "count(*) AS calls, count(*) / 60.0::DOUBLE AS rps", "bucket")
+HOURLY = _tumbling("hour", "count(*) AS calls")
+SPLIT = _tumbling("minute", """count(*) FILTER (WHERE status = 429) AS rate_limited, count(*) FILTER (WHERE status = 401) AS auth_error,
+  count(*) FILTER (WHERE status = 403) AS forbidden""")
+SLIDING = """SELECT window_start, window_start + INTERVAL 60 SECOND AS window_end, bucket, count(*) AS calls FROM (
+  SELECT bucket, time_bucket(INTERVAL 10 SECOND, started_at) - INTERVAL 10 SECOND * i AS window_start FROM api_calls, range(6) r(i)) GROUP BY ALL"""
+
+
+@query("r1_calls_per_minute", RPM)
+def _(t):
+    out = calls.per_window(t.api_calls, "1 minute", F.count(F.lit(1)).alias("calls"), by=("bucket",))
+    return out.withColumn("rps", F.col("calls") / F.lit(60.0))
+
+
+@query("r1_calls_per_hour", HOURLY)
+def _(t):
+    return calls.per_window(t.api_calls, "1 hour", F.count(F.lit(1)).alias("calls"))
+
+
+@query("r2_status_split", SPLIT)
+def _(t):
+    return calls.per_window(t.api_calls, "1 minute", *calls.status_counts())
+
+
+@query("r3_hourly_latency", """SELECT date_trunc('hour', started_at) AS window_start, round(quantile_cont(duration_ms, 0.5), 4) AS latency_ms, count(*) AS calls
+  FROM api_calls GROUP BY 1""")
+def _(t):
+    return calls.latency_percentile(t.api_calls, 0.5).withColumn("latency_ms", F.round("latency_ms", 4))
+
+
+@query("r4_sliding_rate", SLIDING)
+def _(t):
+    return calls.per_window(t.api_calls, "60 seconds", F.count(F.lit(1)).alias("calls"), slide="10 seconds", by=("bucket",))
+
+
+LAST_CALL = "(SELECT max(started_at) FROM api_calls)"
+
+
+@query("r7_totals_of_day", f"""SELECT count(*) AS total_calls, count(*) FILTER (WHERE status <> 200) AS errors FROM api_calls
+  WHERE started_at >= TIMESTAMP '2024-01-15' AND started_at <= TIMESTAMP '2024-01-15 18:00:00'""")
+def _(t):
+    return calls.totals_of_day(t.api_calls, F.lit("2024-01-15 18:00:00").cast("timestamp_ntz"))
+
+
+@query("r7_auth_errors", """SELECT count(*) FILTER (WHERE status = 401) AS auth_401, count(*) FILTER (WHERE status = 403) AS auth_403,
+  count(*) FILTER (WHERE status IN (401, 403)) AS auth_errors FROM api_calls
+  WHERE started_at > TIMESTAMP '2024-01-14 18:00:00' AND started_at <= TIMESTAMP '2024-01-15 18:00:00'""")
+def _(t):
+    return calls.auth_errors(t.api_calls, F.lit("2024-01-15 18:00:00").cast("timestamp_ntz"))
+
+
+@query("r8_rows_per_day", f"""SELECT CAST(last_success_at AS DATE) AS day, CAST(sum(rows) AS BIGINT) AS daily_rows FROM units
+  WHERE status = 'done' AND last_success_at > {NOW} - INTERVAL 7 DAY AND last_success_at <= {NOW} GROUP BY 1""")
+def _(t):
+    done = state.units(t.state_log, "status", "rows", "last_success_at").filter(F.col("status") == "done")
+    recent = calls.since(done, as_of(), "7 days", "last_success_at")
+    return recent.groupBy(F.col("last_success_at").cast("date").alias("day")).agg(F.sum("rows").alias("daily_rows"))
+
+
+@query("w6_top_callers", "SELECT interface, count(*) AS calls FROM api_calls GROUP BY interface ORDER BY calls DESC, interface LIMIT 5")
+def _(t):
+    return calls.top_callers(t.api_calls)
+
+
+@query("s10_retention", "SELECT * FROM api_calls WHERE CAST(started_at AS DATE) >= (SELECT CAST(max(started_at) AS DATE) - 10 FROM api_calls)")
+def _(t):
+    return calls.retain(t.api_calls, 10)
+
+
+@query("r5_stale_units", f"""SELECT interface, scope_key, 'partial' AS status, rows, last_success_at, heartbeat_at, attempts, 'heartbeat timeout' AS last_error,
+  CAST(epoch_ms({NOW}) AS BIGINT) AS _version FROM units WHERE status = 'running' AND heartbeat_at < {NOW} - INTERVAL 10 MINUTE""")
+def _(t):
+    return state.stale_units(t.state_log, as_of())
+
+
+@query("r9_incremental_units", """SELECT i.interface, i.strategy, i.interface || ':' || strftime(d.day, '%Y%m%d') AS scope_key,
+  coalesce(date_field, 'trade_date') || '=' || strftime(d.day, '%Y%m%d') AS params
+FROM interfaces i JOIN (SELECT max(cal_date) AS day FROM load_cal WHERE is_open = 1 AND cal_date <= DATE '2024-01-31') d ON i.start_date <= d.day
+WHERE i.strategy = 'date_loop'""")
+def _(t):
+    from ..operators import scopes
+    from .state_queries import _text, as_day
+
+    return _text(scopes.incremental(t.interfaces, t.load_cal, as_day()))

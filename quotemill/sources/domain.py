@@ -157,7 +157,11 @@ class Domain:
 
     @cached_property
     def state_log(self) -> DataFrame:
-        """Version log of load units from the event stream."""
+        return self.state_from(self.raw("events"))
+
+    @staticmethod
+    def state_from(events: DataFrame) -> DataFrame:
+        """Version log of load units from an event frame, batch or streaming."""
         k = F.get_json_object("props", "$.k").cast("int")
         strategy = F.lit(None).cast("string")
         for event, name in EVENT_STRATEGY.items():
@@ -173,7 +177,7 @@ class Domain:
         pick = lambda values, n: F.element_at(F.array(*[F.lit(v) for v in values]), (n + 1).cast("int"))
         status = pick(LOAD_STATES, k % len(LOAD_STATES))
         name = F.concat_ws("_", F.lit("if"), (F.col("user_id") % 25).cast("string"), "strategy")
-        return self.raw("events").withColumns({"strategy": strategy, "k": k}).select(
+        return events.withColumns({"strategy": strategy, "k": k}).select(
             name.alias("interface"), F.concat_ws(":", name, scope).alias("scope_key"), status.alias("status"),
             F.floor("value").cast("bigint").alias("rows"),
             F.when(status == "done", F.col("ts")).otherwise(F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")).alias("last_success_at"),
@@ -241,10 +245,8 @@ class Domain:
 
     PAYLOAD_FIELDS = ("ts_code", "day", "trade_date", "vol", "close", "amount")
 
-    @cached_property
-    def payloads(self) -> DataFrame:
-        """One JSON payload per code and month (at most 31 days of bars); items of Sundays lack their last
-        cell, odd months come without the `data` wrapper."""
+    def _packed(self, *by: Column) -> DataFrame:
+        """Bars packed into JSON payloads per group; items of Sundays lack their last cell."""
         short = F.col("trade_date") == " NaN "
         text = F.concat(F.lit('["'), F.concat_ws('","', "ts_code", "day", "trade_date"), F.lit('"'))
         numbers = [F.concat(F.lit(","), F.col(c).cast("string")) for c in ("vol", "close")]
@@ -253,11 +255,21 @@ class Domain:
         body = F.concat(
             F.lit('{"fields":["' + '","'.join(self.PAYLOAD_FIELDS) + '"],"items":['), F.array_join("items", ","), F.lit("]}")
         )
-        wrapped = F.concat(F.lit('{"code":0,"data":'), body, F.lit("}"))
-        return (
-            self.raw_bars.groupBy("ts_code", F.substring("day", 1, 6).alias("month")).agg(F.collect_list(item).alias("items"))
-            .select(F.col("month"), F.when(F.col("month").cast("int") % 2 == 0, wrapped).otherwise(body).alias("payload"))
-        )
+        return self.raw_bars.groupBy(*by).agg(F.collect_list(item).alias("items")).withColumn("body", body)
+
+    @cached_property
+    def payloads(self) -> DataFrame:
+        """One payload per code and month, so at most 31 days of bars; odd months come without the `data`
+        wrapper."""
+        packed = self._packed(F.col("ts_code"), F.substring("day", 1, 6).alias("month"))
+        wrapped = F.concat(F.lit('{"code":0,"data":'), F.col("body"), F.lit("}"))
+        even = F.col("month").cast("int") % 2 == 0
+        return packed.select("month", F.when(even, wrapped).otherwise(F.col("body")).alias("payload"))
+
+    @cached_property
+    def payloads_by_code(self) -> DataFrame:
+        """One payload per code; its items are bounded by the days of the calendar."""
+        return self._packed(F.col("ts_code")).select("ts_code", F.col("body").alias("payload"))
 
     @cached_property
     def raw_statements(self) -> DataFrame:

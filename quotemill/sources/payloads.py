@@ -39,11 +39,13 @@ def payload_fields(df: DataFrame, payload: str) -> DataFrame:
     return df.select(F.coalesce(parsed["data"]["fields"], parsed["fields"]).alias("fields"))
 
 
-def read_payloads(spark: SparkSession, folder: str, names: Sequence[str] | None = None) -> DataFrame:
-    """Whole payload files of a folder as (name, payload) rows; a name without a file gives no row."""
-    glob = "{" + ",".join(names) + "}.json" if names else "*.json"
+def read_payloads(spark: SparkSession, folder: str, names: Sequence[str] | None = None,
+                  pattern: str = "*.json") -> DataFrame:
+    """Whole payload files of a folder tree as (name, payload) rows; a name without a file gives no row."""
+    glob = "{" + ",".join(names) + "}.json" if names else pattern
     df = (
-        spark.read.option("ignoreMissingFiles", "true").option("pathGlobFilter", glob)
-        .option("wholetext", "true").format("text").load(folder)
+        spark.read.option("ignoreMissingFiles", "true").option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", glob).option("wholetext", "true").format("text").load(folder)
     )
-    return df.select(F.regexp_replace("_metadata.file_name", r"\.json$", "").alias("name"), F.col("value").alias("payload"))
+    name = F.regexp_replace("_metadata.file_name", r"\.[^.]*$", "")
+    return df.select(name.alias("name"), F.col("value").alias("payload"))
