@@ -6,8 +6,7 @@ from pyspark.sql import Column, functions as F
 
 from ..model import DATE_PATTERN
 
-# Texts that stand for "no date", and the first storable day.
-NO_DATE = ("-", "null", "none", "nan", "0000-00-00", "00000000")
+# Fixed value: the first storable day.
 EPOCH = "1970-01-01"
 BLANKS = " \t\r\n"
 
@@ -23,34 +22,30 @@ def is_day_text(col: Column) -> Column:
 
 
 def parse_day(col: Column) -> Column:
-    """Date from YYYY, YYYYMM, YYYYMMDD or a longer text that starts with a day; else NULL."""
+    """Date from YYYY, YYYYMM, YYYYMMDD or a longer text that starts with a day; else NULL.
+
+    The digits of the first ten characters, filled up with "01", name the day of every accepted spelling.
+    The "no date" texts are no exception: none of them has digits of a real day.
+    """
     text = stripped(col)
-    head = F.regexp_replace(F.substring(text, 1, 10), "[-/]", "")
-    day = (
-        F.when(text.rlike("^[0-9]{4}$"), F.concat(text, F.lit("0101")))
-        .when(text.rlike("^[0-9]{6}$"), F.concat(text, F.lit("01")))
-        .when(text.rlike("^[0-9]{8}$"), text)
-        .when((F.length(text) >= 10) & head.rlike("^[0-9]{8}"), F.substring(head, 1, 8))
-    )
-    return F.when(~F.lower(text).isin(*NO_DATE), F.try_to_date(day, "yyyyMMdd"))
+    digits = F.translate(F.substring(text, 1, 10), "-/", "")
+    accepted = F.when(F.length(text) >= 10, digits.rlike("^[0-9]{8}")).otherwise(text.rlike("^[0-9]{4}([0-9]{2}){0,2}$"))
+    return F.when(accepted, F.try_to_date(F.rpad(digits, 8, "01"), "yyyyMMdd"))
 
 
 def parse_moment(col: Column) -> Column:
-    """Timestamp without zone from the upstream spellings; an ISO offset of Z means UTC."""
+    """Timestamp without zone from YYYYMMDD or from day and time with one kind of separator; else NULL.
+    An ISO text may carry T and Z."""
     text = stripped(col)
-    iso = F.regexp_replace(F.regexp_replace(text, "Z$", ""), "T", " ")
+    spelled = text.rlike(r"^[0-9]{4}([-/])[0-9]{1,2}\1[0-9]{1,2}[ T][0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}")
+    plain = F.translate(F.substring(text, 1, 19), "/TZ", "- ")
     return (
-        F.when(text.rlike("^[0-9]{8}$"), _moment(text, "yyyyMMdd"))
-        .when(text.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T"), _moment(F.substring(iso, 1, 19), "yyyy-MM-dd HH:mm:ss"))
-        .when(F.substring(text, 1, 10).contains("-"), _moment(F.substring(text, 1, 19), "yyyy-MM-dd HH:mm:ss"))
-        .when(F.substring(text, 1, 10).contains("/"), _moment(F.substring(text, 1, 19), "yyyy/MM/dd HH:mm:ss"))
+        F.when(text.rlike(DATE_PATTERN), F.try_to_timestamp(text, F.lit("yyyyMMdd")))
+        .when(spelled, F.try_to_timestamp(plain, F.lit("yyyy-M-d H:m:s")))
+        .cast("timestamp_ntz")
     )
 
 
-def _moment(col: Column, pattern: str) -> Column:
-    return F.try_to_timestamp(col, F.lit(pattern)).cast("timestamp_ntz")
-
-
 def not_before_epoch(col: Column, nullable: bool) -> Column:
     """Days before 1970 become NULL in a nullable column and the epoch day in a required one."""
     epoch = F.lit(EPOCH).cast("date")

@@ -60,25 +60,27 @@ def normalize(df: DataFrame, schema: T.StructType) -> DataFrame:
     its type. Columns outside the schema pass through, parsed only when named like a date.
     """
     declared = {f.name: f for f in schema.fields}
+    # Two projections: Catalyst keeps them apart because the parsed values are used more than once above.
+    parsed = df.select("*", *[
+        typed_value(f.name, declared.get(f.name), f.dataType).alias(f"_v_{f.name}") for f in df.schema.fields
+    ])
     values, rejects = [], []
     for source in df.schema.fields:
-        name, field = source.name, declared.get(source.name)
-        value = typed_value(name, field, source.dataType)
-        is_text = isinstance(field.dataType, T.StringType) if field else not is_day_column(name, None)
+        name, field, value = source.name, declared.get(source.name), F.col(f"_v_{source.name}")
         day = is_day_column(name, field.dataType if field else None)
-        if isinstance(source.dataType, T.StringType) and (day or not is_text):
-            empty = stripped(F.col(name)) == ""
-            lost = value.isNull() & F.col(name).isNotNull() & ~empty
+        is_text = not day and (field is None or isinstance(field.dataType, T.StringType))
+        if isinstance(source.dataType, T.StringType) and not is_text:
+            lost = value.isNull() & F.col(name).isNotNull() & (stripped(F.col(name)) != "")
             rejects.append(F.when(lost, F.lit(name)))
         if field is not None and not field.nullable:
-            if is_text and not day:
+            if is_text:
                 value = F.when(stripped(value) != "", value)
             default = _default(T.DateType() if day else field.dataType)
             if default is not None:
                 value = F.coalesce(value, default)
         values.append(value.alias(name))
     listed = F.array_compact(F.array(*rejects)) if rejects else F.array().cast("array<string>")
-    return df.select(*values, listed.alias("_rejects"))
+    return parsed.select(*values, listed.alias("_rejects"))
 
 
 def scaled_columns(names: list[str]) -> dict[str, str]:
@@ -94,16 +96,21 @@ def infer_types(df: DataFrame, fields: list[str], order: Column, overrides: Mapp
     the data.
     """
     overrides = dict(overrides or {})
+    cells = df.select(order.alias("_pos"), *[
+        part for name in fields for part in (
+            F.expr(f"schema_of_variant({name})").alias(f"kind_{name}"),
+            F.try_variant_get(F.col(name), "$", "string").alias(f"text_{name}"),
+        )
+    ])
     aggs = []
     for name in fields:
-        kind = F.expr(f"schema_of_variant({name})")
-        text = F.try_variant_get(F.col(name), "$", "string")
-        present = F.col(name).isNotNull() & (kind != "VOID") & ~F.coalesce((kind == "STRING") & (text == ""), F.lit(False))
-        whole = kind == "BIGINT"
-        first = F.min(F.when(present, F.struct(order.alias("pos"), kind.alias("kind"), text.alias("text"))))
-        fraction = F.coalesce(F.bool_or(F.when(present & (kind != "STRING"), ~whole)), F.lit(False))
+        kind, text = F.col(f"kind_{name}"), F.col(f"text_{name}")
+        is_text = kind == "STRING"
+        present = F.coalesce((kind != "VOID") & ~(is_text & (text == "")), F.lit(False))
+        first = F.min(F.when(present, F.struct(F.col("_pos").alias("pos"), kind.alias("kind"), text.alias("text"))))
+        fraction = F.bool_or(present & ~is_text & (kind != "BIGINT"))
         aggs += [first.alias(f"first_{name}"), fraction.alias(f"frac_{name}")]
-    profile = df.agg(*aggs)
+    profile = cells.agg(*aggs)
     rows = [
         F.struct(F.lit(i).cast("int").alias("ordinal"), F.lit(name).alias("field"),
                  _inferred(name, overrides).alias("type"))

@@ -15,7 +15,7 @@ from ..model import LOAD_STATES, STATEMENTS, STRATEGIES
 from ..operators.calendar import with_previous_open_day
 
 # Fixed values of the derivation.
-PACK = 10**10
+PACK = 12_000_000  # above any unit price in hundredths; with it, trade ids up to 7.6e11 fit a long
 ERRORS = (
     "", "Unrecognized column 'x' in insert", "Unknown strategy: weekly", "SSL handshake failed",
     "The read operation timed out", "unsupported operand type(s)", "permission denied",
@@ -51,32 +51,37 @@ class Domain:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     @cached_property
-    def trades(self) -> DataFrame:
-        qty, total = F.col("l_quantity").cast("bigint"), cents(F.col("l_extendedprice"))
+    def _lines(self) -> DataFrame:
+        """Order lines as trades of a numeric security; codes are spelled out after aggregation."""
         rank = F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "N", 2).otherwise(3)
-        day = F.col("l_shipdate").cast("date")
         return self.raw("lineitem").select(
-            security_code(F.col("l_suppkey")).alias("ts_code"), day.alias("trade_date"),
-            F.col("l_orderkey").alias("trade_id"), qty.alias("qty"), total.alias("cents"),
-            F.col("l_linestatus").alias("side"), (day_millis(day) + rank).alias("_version"),
+            F.col("l_suppkey").alias("sec"), F.col("l_shipdate").cast("date").alias("trade_date"),
+            F.col("l_orderkey").alias("trade_id"), F.col("l_quantity").cast("bigint").alias("qty"),
+            cents(F.col("l_extendedprice")).alias("cents"), F.col("l_linestatus").alias("side"), rank.alias("rank"),
         )
 
+    @staticmethod
+    def _coded(df: DataFrame, version: str = "rank") -> DataFrame:
+        return df.withColumns({"ts_code": security_code(F.col("sec")), "_version": day_millis(F.col("trade_date")) + F.col(version)})
+
+    @cached_property
+    def trades(self) -> DataFrame:
+        return self._coded(self._lines).select("ts_code", "trade_date", "trade_id", "qty", "cents", "side", "_version")
+
     @cached_property
     def bars(self) -> DataFrame:
         """Version log of daily bars; a day has up to three versions. Open and close are the prices of the
-        first and last trade, found by a plain min/max over (trade, price) packed into one decimal."""
+        first and last trade, found by a plain min/max over (trade, price) packed into one long."""
         price = F.floor(F.col("cents") / F.col("qty")).cast("bigint")
-        packed = F.col("trade_id").cast("decimal(18,0)") * F.lit(PACK).cast("decimal(11,0)") + price.cast("decimal(18,0)")
-        unpack = lambda c: (c % F.lit(PACK).cast("decimal(11,0)")).cast("bigint") / F.lit(100.0)
         days = (
-            self.trades.withColumns({"price": price, "packed": packed})
-            .groupBy("ts_code", "trade_date", "_version").agg(
+            self._lines.withColumn("price", price).withColumn("packed", F.col("trade_id") * PACK + F.col("price"))
+            .groupBy("sec", "trade_date", "rank").agg(
                 F.min("packed").alias("first"), F.max("packed").alias("last"), F.max("price").alias("high"),
                 F.min("price").alias("low"), F.sum("qty").alias("vol"), F.sum("cents").alias("amount"),
             )
         )
-        open_, close = unpack(F.col("first")), unpack(F.col("last"))
-        return days.select(
+        open_, close = F.col("first") % PACK / F.lit(100.0), F.col("last") % PACK / F.lit(100.0)
+        return self._coded(days).select(
             "ts_code", "trade_date", open_.alias("open"), (F.col("high") / 100.0).alias("high"),
             (F.col("low") / 100.0).alias("low"), close.alias("close"), F.col("vol").cast("double").alias("vol"),
             (F.col("amount") / 100.0).alias("amount"), ((close - open_) / open_ * 100).alias("pct_chg"), "_version",
@@ -85,17 +90,13 @@ class Domain:
     @cached_property
     def adj_factor(self) -> DataFrame:
         """Version log of factors; none on Sundays, a stale first version on Mondays."""
-        days = self.trades.select("ts_code", "trade_date").distinct()
         weekday = F.dayofweek("trade_date")
+        days = self._lines.select("sec", "trade_date").filter(weekday != 1).distinct()
         since = F.datediff("trade_date", F.lit("1995-01-01").cast("date"))
         versions = F.when(weekday == 2, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(2)))
-        return (
-            days.filter(weekday != 1).withColumn("v", F.explode(versions))
-            .select(
-                "ts_code", "trade_date",
-                (F.sqrt((since + 10_000).cast("double")) / 100 + F.when(F.col("v") == 1, 1.0).otherwise(0.0)).alias("adj_factor"),
-                (day_millis(F.col("trade_date")) + F.col("v")).alias("_version"),
-            )
+        factor = F.sqrt((since + 10_000).cast("double")) / 100 + F.when(F.col("v") == 1, 1.0).otherwise(0.0)
+        return self._coded(days.withColumn("v", F.explode(versions)), "v").select(
+            "ts_code", "trade_date", factor.alias("adj_factor"), "_version"
         )
 
     @cached_property
@@ -108,7 +109,8 @@ class Domain:
                 hit = (F.col("size") == label) & (F.col("side") == status)
                 aggs.append(F.sum(F.when(hit, F.col("qty")).otherwise(0)).cast("bigint").alias(f"{side}_{label}_vol"))
                 aggs.append((F.sum(F.when(hit, F.col("cents")).otherwise(0)) / 100.0).alias(f"{side}_{label}_amount"))
-        return self.trades.withColumn("size", size).groupBy("ts_code", "trade_date", "_version").agg(*aggs)
+        days = self._lines.withColumn("size", size).groupBy("sec", "trade_date", "rank").agg(*aggs)
+        return self._coded(days).select("ts_code", "trade_date", "_version", *days.columns[3:])
 
     def _calendar(self, bounds: DataFrame) -> DataFrame:
         day = F.col("cal_date")
@@ -123,7 +125,7 @@ class Domain:
     @cached_property
     def trade_cal(self) -> DataFrame:
         """Calendar over the days of the bars."""
-        return self._calendar(self.trades.agg(F.min("trade_date").alias("first"), F.max("trade_date").alias("last")))
+        return self._calendar(self._lines.agg(F.min("trade_date").alias("first"), F.max("trade_date").alias("last")))
 
     @cached_property
     def load_cal(self) -> DataFrame:
