@@ -128,7 +128,11 @@ def scope_counts(units: DataFrame, data: DataFrame, keys: Sequence[str], date_co
     Units carry unit_id and the nullable scope columns. Data are aggregated once per scope shape and
     joined on equality, never row by row. A unit without any scope column owns the whole table.
     """
-    rows = current(data, keys)
+    used = {c for c in (*units.columns, date_column) if c in data.columns}
+    if "period" in units.columns:
+        used.add("end_date")
+    # When a scope is told by key columns alone, distinct keys count the same as resolved rows, at less cost.
+    rows = data.select(*keys).distinct() if used <= set(keys) else current(data, keys)
     parts = []
     for shape, mine in scope_shapes(data, units):
         names = [f"_s_{c}" for c in shape]

@@ -29,6 +29,11 @@ def upsert(spark: SparkSession, stream: DataFrame, keys: Sequence[str], path: st
     return current(sink.read(spark, path).drop(sink.BATCH), keys, version)
 
 
+def payload_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole payload files of a folder as a stream with one `value` text per file."""
+    return spark.readStream.format("text").option("wholetext", "true").schema("value string").load(folder)
+
+
 def load_payloads(stream: DataFrame, payload: str, schema: T.StructType, version: int | Column) -> DataFrame:
     """Payload texts to typed, versioned rows; each micro-batch handles only files not seen before."""
     rows = explode_items(stream, payload, schema.fieldNames()).drop("item_pos")
