@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.checks import require
 from ..model import ADJ_FACTOR, BARS, CODE_PATTERN, DATE_PATTERN, INDEX_WEIGHT, FINANCIALS, MONEYFLOW, STATEMENTS
@@ -22,18 +22,17 @@ BAR_COLUMNS = (*PRICES, "vol", "amount", "pct_chg")
 def _codes(df: DataFrame, codes: str | Sequence[str] | None) -> DataFrame:
     if codes is None:
         return df
-    codes = [codes] if isinstance(codes, str) else list(codes)
-    for code in codes:
-        require(code, CODE_PATTERN, "ts_code")
-    return df.filter(F.col("ts_code") == codes[0]) if len(codes) == 1 else df.filter(F.col("ts_code").isin(codes))
+    codes = [require(c, CODE_PATTERN, "ts_code") for c in ([codes] if isinstance(codes, str) else codes)]
+    return df.filter("ts_code IN ({})".format(", ".join(f"'{c}'" for c in codes)))
 
 
 def _days(df: DataFrame, start: str | None, end: str | None, column: str = "trade_date") -> DataFrame:
+    bounds = []
     if start is not None:
-        df = df.filter(F.col(column) >= _day(require(start, DATE_PATTERN, "start date")))
+        bounds.append(f"{column} >= to_date('{require(start, DATE_PATTERN, 'start date')}', 'yyyyMMdd')")
     if end is not None:
-        df = df.filter(F.col(column) <= _day(require(end, DATE_PATTERN, "end date")))
-    return df
+        bounds.append(f"{column} <= to_date('{require(end, DATE_PATTERN, 'end date')}', 'yyyyMMdd')")
+    return df.filter(" AND ".join(bounds)) if bounds else df
 
 
 def latest_per_key(df: DataFrame, key: str, order: str, value: str) -> DataFrame:
@@ -43,11 +42,6 @@ def latest_per_key(df: DataFrame, key: str, order: str, value: str) -> DataFrame
     )
 
 
-def adjusted(price: Column, factor: Column, base: Column | None = None) -> Column:
-    """Price in units of the base factor, to four decimals."""
-    return F.round(price * factor if base is None else price * factor / base, 4)
-
-
 def ohlcv(bars: DataFrame, factors: DataFrame | None = None, codes: str | Sequence[str] | None = None,
           start: str | None = None, end: str | None = None, adjust: str = "qfq") -> DataFrame:
     """Daily bars: raw (none), rebased to the newest factor (qfq) or to the first listing (hfq).
@@ -65,15 +59,13 @@ def ohlcv(bars: DataFrame, factors: DataFrame | None = None, codes: str | Sequen
     known = _codes(current(factors.select(*ADJ_FACTOR.keys, "adj_factor", ADJ_FACTOR.version), ADJ_FACTOR.keys), codes)
     known = known.drop(ADJ_FACTOR.version)
     joined = rows.join(_days(known, start, end), list(BARS.keys))
-    base = None
+    rebased = "adj_factor"
     if adjust == "qfq":
-        latest = latest_per_key(known, "ts_code", "trade_date", "adj_factor").select(
-            "ts_code", F.col("adj_factor").alias("latest_factor")
-        )
-        joined = joined.join(latest, "ts_code")
-        base = F.col("latest_factor")
-    prices = [adjusted(F.col(c), F.col("adj_factor"), base).alias(c) for c in PRICES]
-    return joined.select("ts_code", "trade_date", *prices, "vol", "amount", "pct_chg")
+        latest = latest_per_key(known, "ts_code", "trade_date", "adj_factor")
+        joined = joined.join(latest.selectExpr("ts_code", "adj_factor AS latest_factor"), "ts_code")
+        rebased = "adj_factor / latest_factor"
+    prices = [f"round({c} * {rebased}, 4) AS {c}" for c in PRICES]
+    return joined.selectExpr("ts_code", "trade_date", *prices, "vol", "amount", "pct_chg")
 
 
 def by_day(df: DataFrame, column: str = "trade_date", descending: bool = False) -> DataFrame:

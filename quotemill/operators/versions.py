@@ -12,18 +12,22 @@ from ..session import scratch_path
 _RANK = "_rank"
 
 
-def newest_first(df: DataFrame, keys: Sequence[str], version: str = VERSION) -> list[Column]:
-    """Total order inside a key: version, then a content hash so that ties resolve the same way on every run."""
-    rest = [c for c in df.columns if c not in keys and c != version]
-    tie = [F.xxhash64(*[F.col(c) for c in rest]).desc()] if rest else []
-    return [F.col(version).desc(), *tie]
+def _names(columns: Sequence[str]) -> str:
+    return ", ".join(f"`{c}`" for c in columns)
+
+
+def newest_rank(df: DataFrame, keys: Sequence[str], version: str = VERSION, within: Sequence[str] = ()) -> Column:
+    """Rank of a row inside its key (and `within`), 1 for the newest version. Ties are ordered by a hash of
+    the remaining columns, so they resolve the same way on every run."""
+    rest = [c for c in df.columns if c not in (*keys, *within, version)]
+    tie = f", xxhash64({_names(rest)}) DESC" if rest else ""
+    return F.expr(f"row_number() OVER (PARTITION BY {_names([*keys, *within])} ORDER BY `{version}` DESC{tie})")
 
 
 def current(df: DataFrame, keys: Sequence[str], version: str = VERSION) -> DataFrame:
     """One row per key, the newest. The row_number = 1 shape lets Spark drop older versions of a
     key before the shuffle (WindowGroupLimit), so a key with very many versions stays cheap."""
-    order = Window.partitionBy(*keys).orderBy(*newest_first(df, keys, version))
-    return df.withColumn(_RANK, F.row_number().over(order)).filter(F.col(_RANK) == 1).drop(_RANK)
+    return df.withColumn(_RANK, newest_rank(df, keys, version)).filter(f"{_RANK} = 1").drop(_RANK)
 
 
 def history(df: DataFrame, keys: Sequence[str], version: str = VERSION) -> DataFrame:
@@ -46,9 +50,8 @@ def history(df: DataFrame, keys: Sequence[str], version: str = VERSION) -> DataF
     offsets = small.join(large, [*keys, "_large"]).select(
         *keys, "_large", "_small", (F.col("_before") + F.col("_earlier")).alias("_offset")
     )
-    inner = Window.partitionBy(*keys, "_large", "_small").orderBy(*newest_first(df, keys, version))
     return (
-        cut.withColumn(_RANK, F.row_number().over(inner))
+        cut.withColumn(_RANK, newest_rank(cut, keys, version, ("_large", "_small")))
         .join(offsets, [*keys, "_large", "_small"])
         .withColumn("version_rank", (F.col(_RANK) + F.col("_offset")).cast("bigint"))
         .drop(_RANK, "_small", "_large", "_offset")

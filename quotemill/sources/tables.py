@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from ..model import TableSpec
 from ..operators.versions import row_version, with_version, write_clustered
@@ -21,14 +22,14 @@ def with_month(df: DataFrame, date_column: str | None) -> tuple[DataFrame, str |
 
 
 def append(df: DataFrame, path: str, spec: TableSpec, version: int | Column | None = None) -> bool:
-    """Append a versioned batch, placed by month. An empty batch writes nothing and returns False."""
-    if df.isEmpty():
-        return False
+    """Append a versioned batch, placed by month; returns whether it held rows. An empty batch leaves the
+    table as it was. Emptiness is observed while writing, so the batch is not computed twice."""
     if version is not None:
         df = with_version(df, version, spec.version)
-    placed, month = with_month(df, spec.date_column)
+    seen = Observation()
+    placed, month = with_month(df.observe(seen, F.count(F.lit(1)).alias("rows")), spec.date_column)
     write_clustered(placed, path, spec.keys, month, mode="append")
-    return True
+    return seen.get["rows"] > 0
 
 
 def append_with_row_version(df: DataFrame, path: str, spec: TableSpec, loaded_at: Column) -> bool:
@@ -41,23 +42,28 @@ def _or_null(df: DataFrame, name: str) -> Column:
     return F.col(name) if name in df.columns else F.lit(None).cast("timestamp_ntz")
 
 
+def open_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """A stored table with its placement column. Opening lists the files once; keep the DataFrame for
+    many lookups. A given schema spares reading file footers; else drifted files are merged."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read.option("mergeSchema", "true")
+    return reader.parquet(path)
+
+
 def read(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("mergeSchema", "true").parquet(path).drop(MONTH)
+    return open_table(spark, path).drop(MONTH)
 
 
-def scan(spark: SparkSession, path: str, code: str | None = None, start: str | None = None, end: str | None = None,
+def scan(table: DataFrame, code: str | None = None, start: str | None = None, end: str | None = None,
          date_column: str = "trade_date", code_column: str = "ts_code") -> DataFrame:
-    """Rows of a table by code and date range. Both the month folders and the row groups are pruned: a
-    date predicate alone would not imply the month one."""
-    df = spark.read.parquet(path)
-    if code is not None:
-        df = df.filter(F.col(code_column) == code)
+    """Rows of an opened table by code and date range. Both the month folders and the row groups are
+    pruned: a date predicate alone would not imply the month one."""
+    df = table if code is None else table.filter(F.col(code_column) == code)
     for bound, low in ((start, True), (end, False)):
         if bound is None:
             continue
         day = F.to_date(F.lit(bound), "yyyyMMdd")
         df = df.filter(F.col(date_column) >= day if low else F.col(date_column) <= day)
-        if MONTH in df.columns:
+        if MONTH in table.columns:
             month = F.lit(int(bound[:6]))
             df = df.filter(F.col(MONTH) >= month if low else F.col(MONTH) <= month)
     return df.drop(MONTH)

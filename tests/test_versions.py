@@ -107,7 +107,7 @@ def test_append_scan_and_compact(spark, tmp_path):
     assert not tables.append(base.filter("false").withColumn("trade_date", day("2024-01-02")), path, BARS, 4)
     log = tables.read(spark, path)
     assert log.count() == 12 and versions.current(log, BARS.keys).count() == 8
-    scan = tables.scan(spark, path, "000002.SH", "20240201", "20240228")
+    scan = tables.scan(tables.open_table(spark, path), "000002.SH", "20240201", "20240228")
     assert [r["_version"] for r in scan.collect()] == [3]
     plan = scan._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(_month" in plan and "EqualTo(ts_code,000002.SH)" in plan
