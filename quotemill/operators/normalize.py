@@ -79,7 +79,9 @@ def normalize(df: DataFrame, schema: T.StructType) -> DataFrame:
             if default is not None:
                 value = F.coalesce(value, default)
         values.append(value.alias(name))
-    listed = F.array_compact(F.array(*rejects)) if rejects else F.array().cast("array<string>")
+    # array_except drops the NULLs inside generated code; array_compact would fall back to interpretation.
+    none = F.array(F.lit(None).cast("string"))
+    listed = F.array_except(F.array(*rejects), none) if rejects else F.array().cast("array<string>")
     return parsed.select(*values, listed.alias("_rejects"))
 
 

@@ -230,6 +230,13 @@ def resume_set(planned: DataFrame, log: DataFrame) -> tuple[DataFrame, DataFrame
     )
 
 
+def resume_actions(planned: DataFrame, log: DataFrame) -> DataFrame:
+    """Every retryable unit with what a resume would do: run it again, or report it as an orphan.
+    One join answers both, where `resume_set` needs two."""
+    keys = planned.select(*STATE.keys).distinct().withColumn("action", F.lit("resume"))
+    return retryable(log).join(keys, list(STATE.keys), "left").fillna("orphan", ["action"])
+
+
 def reset_failed(log: DataFrame, version: int | Column) -> DataFrame:
     """New pending versions of the failed units, one attempt further, ready to append. The version may be
     an expression over the old `_version`."""

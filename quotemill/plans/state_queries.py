@@ -269,10 +269,7 @@ def _(t):
 @query("p10_resume_summary", f"""SELECT CASE WHEN p.scope_key IS NULL THEN 'orphan' ELSE 'resume' END AS action, o.status, count(*) AS units
   FROM {OPEN_UNITS} o LEFT JOIN {ALL_UNITS} p ON o.interface = p.interface AND o.scope_key = p.scope_key GROUP BY ALL""")
 def _(t):
-    planned, orphans = state.resume_set(_expected(t), t.state_log)
-    kept = state.retryable(t.state_log).join(planned.select("interface", "scope_key"), ["interface", "scope_key"], "left_semi")
-    both = kept.withColumn("action", F.lit("resume")).unionByName(orphans.withColumn("action", F.lit("orphan")))
-    return both.groupBy("action", "status").agg(F.count(F.lit(1)).alias("units"))
+    return state.resume_actions(_expected(t), t.state_log).groupBy("action", "status").agg(F.count(F.lit(1)).alias("units"))
 
 
 @query("p11_reset_failed", """SELECT interface, scope_key, 'pending' AS status, CAST(0 AS BIGINT) AS rows, TIMESTAMP '1970-01-01' AS last_success_at,
