@@ -13,6 +13,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # HotSpot does not compile methods above 8000 bytes; wide parsing projections run faster split up.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.parquet.aggregatePushdown": "true",
     "spark.sql.parquet.filterPushdown": "true",
 }
