@@ -85,11 +85,6 @@ def normalize(df: DataFrame, schema: T.StructType) -> DataFrame:
     return parsed.select(*values, listed.alias("_rejects"))
 
 
-def scaled_columns(names: list[str]) -> dict[str, str]:
-    """The scaling family a column name falls into under the load rule."""
-    return {n: "money" if is_money(n) else "shares" if is_share_count(n) else "none" for n in names}
-
-
 def infer_types(df: DataFrame, fields: list[str], order: Column, overrides: Mapping[str, str] | None = None) -> DataFrame:
     """(field, type) rows for payload cells held as VARIANT columns, profiled over every row.
 

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.dates import not_before_epoch, parse_day, parse_moment, stripped
+from ..functions.dates import not_before_epoch, parse_day, parse_moment
 from ..functions.fingerprint import fingerprint
-from ..functions.units import MIGRATED_PARTS, MONEY, SHARES, migration_scale, relative_difference
-from ..model import ADJ_FACTOR, BARS, FINANCIALS, MONEYFLOW, STATE
-from ..operators import audit, calls, market, migrate, normalize, state, versions
+from ..functions.units import MONEY, SHARES, relative_difference
+from ..model import ADJ_FACTOR, BARS, STATE
+from ..operators import audit, calls, migrate, normalize, state, versions
 from ..sources import payloads, tables
 from ..session import scratch_path
 from .market_queries import _versioned, each
@@ -373,9 +373,6 @@ def _(t):
     return left.join(right, ["ts_code", "trade_date", "record_id"]).select("record_id", "ts_code", "source_amount", "target_amount")
 
 
-SUMS = "sum({c}), min({c}), max({c})"
-
-
 @query("v10_sum_check", """SELECT column_name, scale, round(source_sum, 2) AS source_sum, source_min, source_max, round(target_sum, 0) AS target_sum, target_min, target_max,
   round(abs(target_sum - source_sum * scale) / greatest(abs(source_sum * scale), 1.0), 9) AS diff_pct,
   abs(target_sum - source_sum * scale) / greatest(abs(source_sum * scale), 1.0) < 0.01 AS passed
@@ -421,9 +418,6 @@ def _(t):
     return audit.coverage(t.bars, "trade_date", "ts_code")
 
 
-NUMBERS = ("open", "high", "low", "close", "vol", "amount")
-
-
 @query("a13_numeric_profile", " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, round(sum({c}), 2) AS total, min({c}) AS low, max({c}) AS high FROM bars_now" for c in ("close", "vol", "amount")))
 def _(t):
@@ -585,9 +579,6 @@ def _(t):
     return calls.per_window(t.api_calls, "60 seconds", F.count(F.lit(1)).alias("calls"), slide="10 seconds", by=("bucket",))
 
 
-LAST_CALL = "(SELECT max(started_at) FROM api_calls)"
-
-
 @query("r7_totals_of_day", f"""SELECT count(*) AS total_calls, count(*) FILTER (WHERE status <> 200) AS errors FROM api_calls
   WHERE started_at >= TIMESTAMP '2024-01-15' AND started_at <= TIMESTAMP '2024-01-15 18:00:00'""")
 def _(t):

@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 
 from ..functions import checks
 from ..functions.dates import is_day_text
-from ..model import ADJ_FACTOR, BARS, FINANCIALS, INDEX_WEIGHT, MONEYFLOW, STATE, TableSpec
-from ..operators import audit, calendar, market, state, versions
+from ..model import ADJ_FACTOR, BARS, FINANCIALS, INDEX_WEIGHT, MONEYFLOW, STATE
+from ..operators import calendar, market, state, versions
 from ..sources import tables
 from ..sources.sql_gate import query_sql
-from .oracle_tables import code, newest
+from .oracle_tables import code
 from .registry import query
 
 BAR_LIST = "ts_code, trade_date, open, high, low, close, vol, amount, pct_chg"

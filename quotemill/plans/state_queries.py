@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_number, months_between, quarter_ends
-from ..operators import audit, scopes, state
+from ..operators import scopes, state
 from ..sources.domain import AS_OF
-from .oracle_tables import code
 from .registry import query
 
 NOW = "TIMESTAMP '2024-01-31 00:00:00'"
