@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_chunks, divergence
+from . import bpe_chunks, divergence, licences, mixing, secrets, toxicity, warc
 from .common import table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.judge(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op4_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.quality(table(spark, sf_dir, "documents"))
 
@@ -16,5 +21,24 @@ def op5_bpe_chunk_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_chunks.encode_documents(table(spark, sf_dir, "documents")).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op4_distribution_divergence, op5_bpe_chunk_reuse)}
-ORACLES: dict[str, str] = {}
+def op6_secret_novelty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents")).drop("span_texts")
+
+
+def op7_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op8_licence_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents")).drop("places")
+
+
+def op10_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.derive(warc.responses(table(spark, sf_dir, "pages")))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_toxicity, op4_distribution_divergence, op5_bpe_chunk_reuse, op6_secret_novelty, op7_poisson_mixing, op8_licence_index, op10_warc_derivatives,
+)}
+#: The other queries train, compress, hash bytes or encode; tests hold them against brute force.
+ORACLES: dict[str, str] = {"op7_poisson_mixing": mixing.ORACLE}
