@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_chunks, divergence, jaccard_join, licences, mixing, secrets, toxicity, warc
+from . import bpe_chunks, divergence, itq, jaccard_join, licences, mixing, secrets, toxicity, warc
 from .common import table
 
 
@@ -37,12 +37,17 @@ def op8_licence_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents")).drop("places")
 
 
+def op9_itq_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return itq.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op10_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.derive(warc.responses(table(spark, sf_dir, "pages")))
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_toxicity, op2_jaccard_join, op4_distribution_divergence, op5_bpe_chunk_reuse, op6_secret_novelty, op7_poisson_mixing, op8_licence_index, op10_warc_derivatives,
+    op1_toxicity, op2_jaccard_join, op4_distribution_divergence, op5_bpe_chunk_reuse, op6_secret_novelty, op7_poisson_mixing, op8_licence_index, op9_itq_near_duplicates,
+    op10_warc_derivatives,
 )}
 #: The other queries train, compress, hash bytes or encode; tests hold them against brute force.
 ORACLES: dict[str, str] = {"op7_poisson_mixing": mixing.ORACLE}
