@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quotemill.session import scratch_path
 
@@ -66,3 +67,29 @@ def eight_bytes(raw: np.ndarray) -> np.ndarray:
     if len(raw) < 8:
         return np.zeros(0, U64)
     return np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(np.ascontiguousarray(raw), 8)).view("<u8")[:, 0]
+
+
+#: Bits of a sieve's address: a sieve takes 2 MiB whatever it holds.
+SIEVE_BITS = 24
+
+
+def sieve(keys: DataFrame, column: str) -> np.ndarray:
+    """A bitmap of fixed size with the bit of every key set; two keys may share a bit, so it may keep too much, never too little."""
+    bit = F.xxhash64(column).bitwiseAND(F.lit((1 << SIEVE_BITS) - 1))
+    words = keys.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 AS int))")).alias("bits")).toArrow()  # 2 ** 18 rows at most
+    out = np.zeros(1 << (SIEVE_BITS - 6), np.int64)
+    out[words["word"].to_numpy()] = words["bits"].to_numpy()
+    return out
+
+
+def sifted(df: DataFrame, column: str, kept: np.ndarray, inside: bool = True) -> DataFrame:
+    """The rows whose key has its bit in the sieve (or, outside, has not): thins a table before its rows move to a join."""
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bit = batch["_bit"].to_numpy()
+            hit = (kept[bit >> 6] >> (bit & 63)) & 1
+            yield batch.filter(pa.array((hit == 1) == inside)).drop_columns(["_bit"])
+
+    bit = F.xxhash64(column).bitwiseAND(F.lit((1 << SIEVE_BITS) - 1)).alias("_bit")
+    return df.select("*", bit).mapInArrow(sift, df.schema)

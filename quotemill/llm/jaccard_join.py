@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, joined, mixed, pieces, staged, text_bytes
+from .common import U64, joined, mixed, pieces, sieve, sifted, staged, text_bytes
 from .graph import components
 
 SHINGLE, PERCENT = 3, 90
@@ -217,7 +217,7 @@ def link_documents(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT)
     members = staged(spread.join(shared, "cell").distinct(), "cell-members")
     involved = members.select("node").distinct().join(points, "node").select("doc_id", F.col("node").alias("_node"))
     involved = staged(involved, "involved")
-    near = docs.join(involved.select("doc_id").distinct(), "doc_id", "left_semi")
+    near = sifted(_plain(docs), "doc_id", sieve(involved, "doc_id")).join(involved.select("doc_id").distinct(), "doc_id", "left_semi")
     sets = staged(shingles(near, size).join(involved.select(F.col("_node").alias("node")), "node", "left_semi").dropDuplicates(["node"]), "involved-sets")
 
     found, links, distances = None, None, None
