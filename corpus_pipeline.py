@@ -6,9 +6,40 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quotemill.llm import bpe_chunks, jaccard_join, mixing, secrets, toxicity
 from quotemill.llm.common import staged, table
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, fitted on the table `labels`, calls toxic go."""
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).filter("toxic_score < 0.5").select(*docs.columns)
+
+
+def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by five-word shingles at a similarity of 0.8 or more, the one with the smallest doc_id stays."""
+    return jaccard_join.one_of_each_group(docs, size=5, percent=80)
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets in the texts give way to a mark; every document stays."""
+    return secrets.redact(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in the number of copies that their source's weight asks for, in random order."""
+    return mixing.mix(docs).select(*docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document and copy, with the digests that tell them apart."""
+    return bpe_chunks.encode_documents(docs, with_ids=True).select("doc_id", "lang", "source", "n_tokens", "ids", "ids_sha256", "decoded_sha256")
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", reject_toxic), ("ngram_jaccard_join", one_of_near_duplicates), ("secret_scans", redact_secrets),
+    ("mixing", mix_sources), ("bpe_encoding", encode),
+]
 
 #: The stages hold trained models, hashing and compression that DuckDB's SQL does not express.
 ORACLE_SQL = None

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_chunks, divergence, itq, jaccard_join, licences, mixing, secrets, toxicity, warc
+from . import bpe_chunks, divergence, itq, jaccard_join, licences, mixing, secrets, suffix_dedup, toxicity, warc
 from .common import table
 
 
@@ -17,6 +17,10 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.link_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_suffix_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op4_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.quality(table(spark, sf_dir, "documents"))
 
@@ -46,7 +50,7 @@ def op10_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_toxicity, op2_jaccard_join, op4_distribution_divergence, op5_bpe_chunk_reuse, op6_secret_novelty, op7_poisson_mixing, op8_licence_index, op9_itq_near_duplicates,
+    op1_toxicity, op2_jaccard_join, op3_suffix_doubling, op4_distribution_divergence, op5_bpe_chunk_reuse, op6_secret_novelty, op7_poisson_mixing, op8_licence_index, op9_itq_near_duplicates,
     op10_warc_derivatives,
 )}
 #: The other queries train, compress, hash bytes or encode; tests hold them against brute force.
