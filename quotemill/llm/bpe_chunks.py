@@ -21,8 +21,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
-from .common import U64, eight_bytes, joined, staged
+from .common import U64, eight_bytes, joined, sieve, sifted, staged
 
 #: The last bytes that decide on a cut, and how many cuts to expect: one in CHUNK_BYTES.
 WINDOW, CHUNK_BYTES = 16, 1024
@@ -183,7 +184,9 @@ def encode_documents(docs: DataFrame, vocabulary: str | None = None, chunk_bytes
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(ids, pa.binary())], ["chunk", "ids"])
 
     owners = shared.groupBy(F.col("owner").alias("_key")).agg(F.collect_list("chunk").alias("wanted"))
-    by_owner = keyed.select("_key", "_raw").join(owners, "_key").mapInArrow(owned, "chunk binary, ids binary")
+    by_owner = sifted(keyed.select("_key", "_raw"), "_key", sieve(owners, "_key")).join(owners, "_key").mapInArrow(owned, "chunk binary, ids binary")
+    # Only texts with a shared chunk move to the join; the others are encoded where they are read.
+    mixed = sieve(chunks.join(shared, "chunk").select("_key"), "_key")
     book = staged(by_owner.groupBy("chunk").agg(F.min("ids").alias("ids")), "chunk-book")
     known = chunks.select("chunk", "_key").join(book, "chunk").groupBy("_key").agg(F.collect_list(F.struct("chunk", "ids")).alias("_known"))
 
@@ -213,8 +216,10 @@ def encode_documents(docs: DataFrame, vocabulary: str | None = None, chunk_bytes
             yield pa.RecordBatch.from_arrays(columns, [*names, *added])
 
     out = schema.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
-    out = out.add("ids", "array<int>") if with_ids else out
-    return keyed.join(known, "_key", "left").select(*names, "_raw", "_known").mapInArrow(finish, out)
+    out = out.add("ids", ArrayType(IntegerType())) if with_ids else out
+    moved = sifted(keyed, "_key", mixed).join(known, "_key", "left").select(*names, "_raw", "_known").mapInArrow(finish, out)
+    alone = sifted(keyed, "_key", mixed, inside=False).select(*names, "_raw", F.lit(None).cast(known.schema["_known"].dataType).alias("_known"))
+    return moved.union(alone.mapInArrow(finish, out))
 
 
 def decode_documents(encoded: DataFrame, vocabulary: str | None = None) -> DataFrame:
