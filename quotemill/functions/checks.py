@@ -48,6 +48,6 @@ def split_valid(df: DataFrame, rules: dict[str, Column]) -> tuple[DataFrame, Dat
 
 def require(value: str, pattern: str, what: str) -> str:
     """Check one call argument on the driver."""
-    if not isinstance(value, str) or not re.match(pattern, value):
+    if not isinstance(value, str) or not re.fullmatch(pattern, value):
         raise ValueError(f"invalid {what}: {value!r}")
     return value

@@ -29,13 +29,17 @@ def dataset_days(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     ])
 
 
-def trading_day_gaps(cal: DataFrame, days: DataFrame) -> DataFrame:
+def trading_day_gaps(cal: DataFrame, days: DataFrame, datasets: Sequence[str] | None = None) -> DataFrame:
     """Open days of the calendar that a dataset lacks, one row each.
 
-    The expected pairs come from an array of the open days, which a calendar bounds, exploded per dataset.
+    The expected pairs come from an array of the open days, which a calendar bounds, exploded per dataset. `datasets`
+    names those to look for: one without any row lacks every day. Left out, only datasets with a day are looked at.
     """
     open_days = cal.filter(F.col("is_open") == 1).agg(F.array_sort(F.collect_set("cal_date")))
     names = days.select("dataset").distinct()
+    if datasets is not None:
+        named = F.explode(F.array(*[F.lit(n) for n in datasets])) if datasets else F.explode(F.array().cast("array<string>"))
+        names = cal.sparkSession.range(1).select(named.alias("dataset"))
     expected = names.withColumn("days", open_days.scalar()).select("dataset", F.explode("days").alias("day"))
     return expected.join(days, ["dataset", "day"], "left_anti")
 

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
 from ..functions.units import migration_scale, relative_difference
-from ..model import AUDIT_COLUMNS
+from ..model import AUDIT_COLUMNS, VERSION
 from .audit import numeric_profile, union_all
+from .versions import current
 
 
 @dataclass(frozen=True)
@@ -84,6 +85,11 @@ def sample_keys(df: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
     return df.select(*keys).distinct().orderBy(F.md5(text), *keys).limit(n)
 
 
+def newest(target: DataFrame, keys: Sequence[str] | None) -> DataFrame:
+    """A target kept as a version log, resolved to one row per key; one without versions as it is."""
+    return current(target, keys) if keys and VERSION in target.columns else target
+
+
 def compare_cells(source: DataFrame, target: DataFrame, keys: Sequence[str], columns: Sequence[str],
                   sample: int | None = None, tolerance: float = 1e-4) -> DataFrame:
     """First mismatching cell of each row present on both sides, scaled by the migration rule.
@@ -94,7 +100,7 @@ def compare_cells(source: DataFrame, target: DataFrame, keys: Sequence[str], col
     if sample is not None:
         source = source.join(sample_keys(source, keys, sample), list(keys), "left_semi")
     left = source.select(*keys, *[F.col(c).alias(f"l_{c}") for c in columns])
-    right = target.select(*keys, *[F.col(c).alias(f"r_{c}") for c in columns])
+    right = newest(target, keys).select(*keys, *[F.col(c).alias(f"r_{c}") for c in columns])
     types = {f.name: f.dataType for f in source.schema.fields}
     checks = []
     for c in columns:
@@ -127,8 +133,10 @@ def sample_check(source: DataFrame, target: DataFrame, keys: Sequence[str], colu
     return verdict, bad.orderBy(*keys).limit(shown)
 
 
-def sum_check(source: DataFrame, target: DataFrame, columns: Sequence[str], limit: float = 0.01) -> DataFrame:
-    """Layer 3: sums within one percent after scaling, with minima and maxima of both sides."""
+def sum_check(source: DataFrame, target: DataFrame, columns: Sequence[str], limit: float = 0.01, keys: Sequence[str] | None = None) -> DataFrame:
+    """Layer 3: sums within one percent after scaling, with minima and maxima of both sides. With `keys`, a target log counts
+    the newest version of each key only."""
+    target = newest(target, keys)
     left = numeric_profile(source, columns).select(
         "column_name", F.col("total").alias("source_sum"), F.col("low").alias("source_min"), F.col("high").alias("source_max"))
     right = numeric_profile(target, columns).select(

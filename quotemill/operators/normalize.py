@@ -36,9 +36,10 @@ def typed_value(name: str, field: T.StructField | None, kind: T.DataType) -> Col
     """The typed value of one raw column before defaults are filled."""
     col = F.col(name)
     if is_day_column(name, field.dataType if field else None):
-        # A date-like name wins over a declared text or number type, as upstream dates arrive untyped.
+        # A date-like name wins over a declared number type, as upstream dates arrive untyped; declared text stays text.
         day = parse_day(col) if isinstance(kind, T.StringType) else col.cast("date")
-        return not_before_epoch(day, field is None or field.nullable)
+        day = not_before_epoch(day, field is None or field.nullable)
+        return day.cast("string") if field is not None and isinstance(field.dataType, T.StringType) else day
     if field is None:
         return col
     target = field.dataType
@@ -172,9 +173,10 @@ def migrated(df: DataFrame) -> DataFrame:
 
 
 def with_drift(table: DataFrame, rows: DataFrame) -> DataFrame:
-    """Append rows whose schema drifted: new columns join the table as nullable text, absent ones are NULL."""
+    """Append rows whose schema drifted: new columns join the table as nullable text, absent ones are NULL, and so
+    is a value that the table's type cannot hold."""
     known = {f.name: f.dataType for f in table.schema.fields}
-    aligned = [F.col(c).cast(known[c] if c in known else "string").alias(c) for c in rows.columns]
+    aligned = [F.col(c).try_cast(known[c] if c in known else "string").alias(c) for c in rows.columns]
     return table.unionByName(rows.select(*aligned), allowMissingColumns=True)
 
 

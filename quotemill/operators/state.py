@@ -13,9 +13,13 @@ NEVER = "1970-01-01 00:00:00"
 
 
 def units(log: DataFrame, *columns: str) -> DataFrame:
-    """Newest state of each unit, only the named columns kept alive before the resolution."""
-    need = [*STATE.keys, *[c for c in columns if c not in STATE.keys], STATE.version]
-    return current(log.select(*need), STATE.keys).drop(STATE.version)
+    """Newest state of each unit, cut to the keys and the named columns.
+
+    The log is resolved whole: a tie on the version falls to a hash of all columns, so every query over the log sees
+    the same row whatever it selects.
+    """
+    need = [*STATE.keys, *[c for c in columns if c not in STATE.keys]]
+    return current(log, STATE.keys).select(*need)
 
 
 def _n(condition: Column | None = None) -> Column:
@@ -182,6 +186,13 @@ def top_rows(log: DataFrame, n: int = 15) -> DataFrame:
     return last_success(log).select("interface", "total_rows").orderBy(F.col("total_rows").desc(), "interface").limit(n)
 
 
+def top_errors(log: DataFrame, as_of: Column, n: int = 10, interval: str = "24 hours") -> DataFrame:
+    """Interfaces with the most failed or partial units among those with a success within the interval before `as_of`."""
+    recent = (F.col("last_success_at") > as_of - F.expr(f"interval {interval}")) & (F.col("last_success_at") <= as_of)
+    failing = units(log, "status", "last_success_at").filter(F.col("status").isin("failed", "partial") & recent)
+    return failing.groupBy("interface").agg(_n().alias("errors")).orderBy(F.col("errors").desc(), "interface").limit(n)
+
+
 def declared_without_state(interfaces: DataFrame, log: DataFrame) -> DataFrame:
     return interfaces.join(log.select("interface").distinct(), "interface", "left_anti")
 

@@ -212,7 +212,7 @@ GAPS_SQL = f"""(SELECT d.dataset, c.cal_date AS day FROM (SELECT DISTINCT datase
 
 def _gaps(t):
     days = audit.dataset_days({n: (getattr(t, n), DATE_OF.get(n, "trade_date")) for n in DATED})
-    return audit.trading_day_gaps(t.trade_cal, days)
+    return audit.trading_day_gaps(t.trade_cal, days, DATED)
 
 
 @query("j3_missing_days", f"SELECT * FROM {GAPS_SQL}")
@@ -381,7 +381,7 @@ FROM (SELECT 'amount' AS column_name, 10000 AS scale, sum(amount) AS source_sum,
 JOIN (SELECT 'amount' AS column_name, sum(amount) AS target_sum, min(amount) AS target_min, max(amount) AS target_max FROM target_rows
   UNION ALL SELECT 'vol', sum(vol), min(vol), max(vol) FROM target_rows) USING (column_name)""")
 def _(t):
-    out = migrate.sum_check(t.source_rows, t.target_rows, ["amount", "vol"])
+    out = migrate.sum_check(t.source_rows, t.target_rows, ["amount", "vol"], keys=["record_id"])
     return out.withColumns({"source_sum": F.round("source_sum", 2), "target_sum": F.round("target_sum", 0), "diff_pct": F.round("diff_pct", 9)})
 
 
@@ -406,10 +406,10 @@ def _(t):
     return audit.load_volume_check(state.units(t.state_log, "status"), limits, ratios)
 
 
-@query("a12_coverage", """SELECT ts_code, min(trade_date) AS min_date, max(trade_date) AS max_date, count(DISTINCT trade_date) AS codes, count(*) AS row_count,
-  min(trade_date) > max(trade_date) AS inverted FROM bars GROUP BY ts_code""")
+@query("a12_coverage", """SELECT year(trade_date) AS year, min(trade_date) AS min_date, max(trade_date) AS max_date, count(DISTINCT ts_code) AS codes, count(*) AS row_count,
+  min(trade_date) > max(trade_date) AS inverted FROM bars GROUP BY 1""")
 def _(t):
-    return audit.coverage(t.bars, "trade_date", "trade_date", ["ts_code"])
+    return audit.coverage(t.bars.withColumn("year", F.year("trade_date").cast("bigint")), "trade_date", "ts_code", ["year"])
 
 
 @query("a12_table_coverage", """SELECT min(trade_date) AS min_date, max(trade_date) AS max_date, count(DISTINCT ts_code) AS codes, count(*) AS row_count,

@@ -142,6 +142,12 @@ def _(t):
     return state.top_rows(t.state_log)
 
 
+@query("w6_top_errors", f"""SELECT interface, count(*) AS errors FROM units WHERE status IN ('failed', 'partial')
+  AND last_success_at > {NOW} - INTERVAL 1 DAY AND last_success_at <= {NOW} GROUP BY interface ORDER BY errors DESC, interface LIMIT 10""")
+def _(t):
+    return state.top_errors(t.state_log, as_of())
+
+
 @query("j6_declared_without_state", "SELECT * FROM interfaces i WHERE NOT EXISTS (SELECT 1 FROM state_log s WHERE s.interface = i.interface)")
 def _(t):
     return state.declared_without_state(t.interfaces, t.state_log)

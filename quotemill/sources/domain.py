@@ -73,6 +73,7 @@ class Domain:
         """Version log of daily bars; a day has up to three versions. Open and close are the prices of the
         first and last trade, found by a plain min/max over (trade, price) packed into one long."""
         price = F.floor(F.col("cents") / F.col("qty")).cast("bigint")
+        price = F.when(price < PACK, price).otherwise(F.raise_error(F.lit("a unit price does not fit beside the trade number")).cast("bigint"))
         days = (
             self._lines.withColumn("price", price).withColumn("packed", F.col("trade_id") * PACK + F.col("price"))
             .groupBy("sec", "trade_date", "rank").agg(

@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Fixed value: the statement openings a reader may use.
 OPENING = re.compile(r"^\s*(SELECT|WITH|SHOW|DESCRIBE)\s", re.IGNORECASE)
+# Functions that call into the JVM by name.
+REFLECTIVE = re.compile(r"\b(reflect|try_reflect|java_method)\s*\(|\bread_files\s*\(", re.IGNORECASE)
+ON_FILES = "spark.sql.runSQLOnFiles"
 
 
 def query_sql(spark: SparkSession, text: str, args: Mapping[str, Any] | None = None,
@@ -17,14 +20,24 @@ def query_sql(spark: SparkSession, text: str, args: Mapping[str, Any] | None = N
     """Run one read-only statement with named parameters.
 
     The opening word alone would let WITH .. INSERT through. A SELECT or WITH text is therefore analysed
-    as a subquery first, a place where Spark's grammar accepts nothing but a query.
+    as a subquery first, a place where Spark's grammar accepts nothing but a query. Paths cannot be read as tables,
+    functions that reach into the JVM are refused, and the given views are gone when this returns.
     """
+    if REFLECTIVE.search(text.replace("`", "")):
+        raise ValueError("functions that call the JVM by name are not allowed")
     opening = OPENING.match(text)
     if not opening:
         raise ValueError(f"only SELECT, WITH, SHOW and DESCRIBE are allowed, got {text[:50]!r}")
     for name, df in (views or {}).items():
         df.createOrReplaceTempView(name)
     args = dict(args or {})
-    if opening.group(1).upper() in ("SELECT", "WITH"):
-        spark.sql(f"SELECT * FROM (\n{text}\n)", args=args)
-    return spark.sql(text, args=args) if args else spark.sql(text)
+    before = spark.conf.get(ON_FILES, "true")
+    spark.conf.set(ON_FILES, "false")
+    try:
+        if opening.group(1).upper() in ("SELECT", "WITH"):
+            spark.sql(f"SELECT * FROM (\n{text}\n)", args=args)
+        return spark.sql(text, args=args) if args else spark.sql(text)
+    finally:
+        spark.conf.set(ON_FILES, before)
+        for name in views or {}:
+            spark.catalog.dropTempView(name)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -12,10 +12,16 @@ from ..operators.versions import current
 BATCH = "_batch"
 
 
-def start(stream: DataFrame, path: str, checkpoint: str, mode: str = "update") -> StreamingQuery:
-    """Drain what is available now into batch folders under `path`."""
+def start(stream: DataFrame, path: str, checkpoint: str, mode: str = "update",
+          shape: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
+    """Drain what is available now into batch folders under `path`; `shape` is applied to each micro-batch before it is
+    written. An empty folder stands there from the start, so a stream without input reads as no rows."""
+    shape = shape or (lambda batch: batch)
+    empty = shape(stream.sparkSession.createDataFrame([], stream.schema))
+    empty.write.mode("overwrite").parquet(f"{path}/{BATCH}=-1")
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+        shape(batch).write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
 
     return (
         stream.writeStream.foreachBatch(write).outputMode(mode)
@@ -23,8 +29,9 @@ def start(stream: DataFrame, path: str, checkpoint: str, mode: str = "update") -
     )
 
 
-def drain(stream: DataFrame, path: str, checkpoint: str, mode: str = "update") -> None:
-    query = start(stream, path, checkpoint, mode)
+def drain(stream: DataFrame, path: str, checkpoint: str, mode: str = "update",
+          shape: Callable[[DataFrame], DataFrame] | None = None) -> None:
+    query = start(stream, path, checkpoint, mode, shape)
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()

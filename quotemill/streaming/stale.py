@@ -34,7 +34,7 @@ def flag_stale(log: DataFrame, minutes: int = 10, delay: str = "1 minute") -> Da
         for batch in batches:
             row = batch.loc[batch["_version"].idxmax()]
             if newest is None or row["_version"] > newest[0]:
-                newest = (int(row["_version"]), row["status"], int(row["rows"]), int(row["heartbeat_ms"]), int(row["attempts"]))
+                newest = (int(row["_version"]), row["status"], None if pd.isna(row["rows"]) else int(row["rows"]), int(row["heartbeat_ms"]), int(row["attempts"]))
         state.update(newest)
         if newest[1] == "running":
             state.setTimeoutTimestamp(max(newest[3] + wait, state.getCurrentWatermarkMs() + 1))

@@ -14,18 +14,12 @@ from ..sources.payloads import explode_items
 from . import sink
 
 
-def distinct_versions(stream: DataFrame, keys: Sequence[str], time: str, delay: str = "1 hour",
-                      version: str = VERSION) -> DataFrame:
-    """Drop exact replays (same key and version) that arrive within the watermark."""
-    timed = stream.withColumn("_at", F.col(time).cast("timestamp")).withWatermark("_at", delay)
-    return timed.dropDuplicatesWithinWatermark([*keys, version]).drop("_at")
-
-
 def upsert(spark: SparkSession, stream: DataFrame, keys: Sequence[str], path: str, checkpoint: str,
            version: str = VERSION) -> DataFrame:
     """Append row versions batch by batch and return the current rows. Order of arrival does not matter:
-    a late, older version never replaces a newer one."""
-    sink.drain(stream, path, checkpoint, "append")
+    a late, older version never replaces a newer one, and no row is too late. Exact replays are dropped inside a
+    micro-batch; those in different ones resolve to the same row."""
+    sink.drain(stream, path, checkpoint, "append", lambda batch: batch.dropDuplicates([*keys, version]))
     return current(sink.read(spark, path).drop(sink.BATCH), keys, version)
 
 

@@ -1,31 +1,28 @@
-"""Windowed call-log measures on a stream. The batch forms live in `operators.calls`."""
+"""Windowed call-log measures on a stream. The batch forms live in `operators.calls`.
+
+Each micro-batch writes partial counts per window, and reading adds them up. So calls may arrive in any order and however
+late: there is no watermark that could drop them, and no state that could grow.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql import types as T
 
 from ..operators.calls import per_window
+from . import sink
 
-DELAY = "10 minutes"
-
-
-def windowed(stream: DataFrame, width: str, *aggregates: Column, slide: str | None = None, by: tuple[str, ...] = (),
-             delay: str = DELAY, time: str = "started_at") -> DataFrame:
-    """Tumbling or sliding aggregates; the watermark bounds the state to the windows still open.
 
-    Watermarks need a zoned timestamp, so a zoneless one is read in the session zone and given back.
-    """
-    zoneless = isinstance(stream.schema[time].dataType, T.TimestampNTZType)
-    timed = stream.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, delay)
-    out = per_window(timed, width, *aggregates, slide=slide, by=by, time=time)
-    if not zoneless:
-        return out
-    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+def windowed(stream: DataFrame, path: str, checkpoint: str, width: str, *counts: Column, slide: str | None = None,
+             by: tuple[str, ...] = (), time: str = "started_at") -> DataFrame:
+    """Tumbling or sliding counts of everything the stream held so far; `counts` must be aggregates that add up."""
+    sink.drain(stream, path, checkpoint, "append", lambda batch: per_window(batch, width, *counts, slide=slide, by=by, time=time))
+    parts = sink.read(stream.sparkSession, path).drop(sink.BATCH)
+    keys = ["window_start", "window_end", *by]
+    return parts.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in parts.columns if c not in keys])
 
 
-def latency_estimate(stream: DataFrame, q: float = 0.99, width: str = "1 hour", accuracy: int = 10_000,
-                     delay: str = DELAY) -> DataFrame:
-    """Percentile per window from a mergeable sketch, whose state does not grow with the calls."""
-    value = F.percentile_approx("duration_ms", q, accuracy).alias("latency_ms")
-    return windowed(stream, width, value, F.count(F.lit(1)).alias("calls"), delay=delay)
+def latency(stream: DataFrame, path: str, checkpoint: str, q: float = 0.99, width: str = "1 hour") -> DataFrame:
+    """Exact percentile of duration_ms per window: micro-batches count equal durations, reading weighs them."""
+    counted = windowed(stream, path, checkpoint, width, F.count(F.lit(1)).alias("n"), by=("duration_ms",))
+    return counted.groupBy("window_start", "window_end").agg(
+        F.percentile("duration_ms", q, F.col("n")).alias("latency_ms"), F.sum("n").alias("calls"))

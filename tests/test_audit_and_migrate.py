@@ -30,6 +30,8 @@ def test_empty_calendar(spark):
     data = spark.createDataFrame([(DAY(2024, 1, 1),)], "trade_date date")
     cal = calendar_of(spark, DAY(2024, 1, 1)).filter("false")
     assert audit.trading_day_gaps(cal, audit.dataset_days({"bars": (data, "trade_date")})).count() == 0
+    none = audit.dataset_days({"bars": (data.limit(0), "trade_date")})
+    assert audit.trading_day_gaps(cal, none, ["bars"]).count() == cal.filter("is_open = 1").count()
 
 
 def test_gaps_and_present_days_make_the_calendar(tables):
@@ -150,6 +152,13 @@ def test_count_and_sum_checks(spark):
     assert got == {"amount": (10000, True), "vol": (1, False)}
 
 
+def test_a_target_log_counts_newest_versions(spark):
+    source = spark.createDataFrame([(1, 2.0)], "k int, vol double")
+    log = spark.createDataFrame([(1, 9.0, 1), (1, 2.0, 2)], "k int, vol double, _version long")
+    assert migrate.compare_cells(source, log, ["k"], ["vol"]).count() == 0
+    assert migrate.sum_check(source, log, ["vol"], keys=["k"]).first()["passed"]
+
+
 def test_checkpoints_of_an_undated_table(spark):
     assert tuple(migrate.day_checkpoints(spark.range(3), "basic", None).first()) == ("basic", "full", "done", 3)
 

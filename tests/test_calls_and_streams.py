@@ -59,18 +59,35 @@ def test_windowed_stream_equals_batch_over_many_micro_batches(spark, tmp_path):
     data = sorted(random_calls(120), key=lambda r: r[1])
     stream = feed(spark, str(tmp_path / "in"), [data[i::4] for i in range(4)], CALLS)
     n = F.count(F.lit(1)).alias("n")
-    sink.drain(windows.windowed(stream, "1 minute", n, by=("bucket",)), str(tmp_path / "out"), str(tmp_path / "cp"))
-    got = sink.latest(spark, str(tmp_path / "out"), ["window_start", "window_end", "bucket"])
+    got = windows.windowed(stream, str(tmp_path / "out"), str(tmp_path / "cp"), "1 minute", n, by=("bucket",))
     assert rows(got) == rows(calls.per_window(spark.createDataFrame(data, CALLS), "1 minute", n, by=("bucket",)))
 
 
 def test_upsert_ignores_order_and_replays(spark, tmp_path):
     batches = [[unit("a", "a:1", "running", 2)], [unit("a", "a:1", "pending", 1)], [unit("a", "a:1", "done", 3)], [unit("a", "a:1", "running", 2)],
                [unit("b", "b:1", "done", 1), unit("b", "b:1", "done", 1)]]
-    stream = upsert.distinct_versions(feed(spark, str(tmp_path / "in"), batches, LOG_SCHEMA), ["interface", "scope_key"], "heartbeat_at")
+    stream = feed(spark, str(tmp_path / "in"), batches, LOG_SCHEMA)
     got = upsert.upsert(spark, stream, ["interface", "scope_key"], str(tmp_path / "out"), str(tmp_path / "cp"))
     assert rows(got.select("scope_key", "status", "_version")) == [("a:1", "done", 3), ("b:1", "done", 1)]
-    assert sink.read(spark, str(tmp_path / "out")).count() == 4
+    assert sink.read(spark, str(tmp_path / "out")).count() == 5
+
+
+def test_late_keys_and_late_calls_are_kept(spark, tmp_path):
+    late = [[unit("a", "a:1", "done", 2, at=T0 + dt.timedelta(days=30))], [unit("b", "b:1", "done", 1, at=T0)]]
+    stream = feed(spark, str(tmp_path / "in"), late, LOG_SCHEMA)
+    got = upsert.upsert(spark, stream, ["interface", "scope_key"], str(tmp_path / "out"), str(tmp_path / "cp"))
+    assert rows(got.select("scope_key", "_version")) == [("a:1", 2), ("b:1", 1)]
+    data = sorted(random_calls(60), key=lambda r: r[1], reverse=True)
+    stream = feed(spark, str(tmp_path / "calls"), [data[:20], data[20:40], data[40:]], CALLS)
+    got = windows.latency(stream, str(tmp_path / "lat"), str(tmp_path / "lcp"), 0.5)
+    want = calls.latency_percentile(spark.createDataFrame(data, CALLS), 0.5)
+    assert rows(got.select("window_start", "latency_ms", "calls")) == rows(want)
+
+
+def test_stream_without_input_gives_no_rows(spark, tmp_path):
+    (tmp_path / "none").mkdir()
+    stream = spark.readStream.schema(spark.createDataFrame([], CALLS).schema).parquet(str(tmp_path / "none"))
+    assert windows.windowed(stream, str(tmp_path / "out"), str(tmp_path / "cp"), "1 minute", F.count(F.lit(1)).alias("n")).count() == 0
 
 
 def test_stale_flags(spark, tmp_path):

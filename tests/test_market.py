@@ -103,9 +103,17 @@ def test_symbols_of_a_missing_table(spark):
 def test_sql_gate(spark, bars):
     views = {"gate_bars": bars}
     assert query_sql(spark, "SELECT count(*) AS n FROM gate_bars WHERE close > :low -- tail", {"low": 11.5}, views).first()[0] == 2
-    assert query_sql(spark, " with b AS (SELECT * FROM gate_bars) SELECT max(close) AS m FROM b ORDER BY m").first()[0] == 13.0
-    assert query_sql(spark, "DESCRIBE gate_bars").count() == 10
-    assert query_sql(spark, "SHOW VIEWS").count() >= 1
+    assert query_sql(spark, " with b AS (SELECT * FROM gate_bars) SELECT max(close) AS m FROM b ORDER BY m", views=views).first()[0] == 13.0
+    assert query_sql(spark, "DESCRIBE gate_bars", views=views).count() == 10
+    assert not spark.catalog.tableExists("gate_bars") and query_sql(spark, "SHOW VIEWS").count() >= 0
+
+
+def test_sql_gate_reads_no_paths_and_calls_no_methods(spark, tmp_path):
+    spark.range(1).write.parquet(str(tmp_path / "t"))
+    for text in (f"SELECT * FROM parquet.`{tmp_path}/t`", "SELECT reflect('java.lang.System', 'getProperty', 'user.dir')", "SELECT `java_method`('a', 'b')"):
+        with pytest.raises(Exception):
+            query_sql(spark, text)
+    assert spark.sql(f"SELECT * FROM parquet.`{tmp_path}/t`").count() == 1
 
 
 @pytest.mark.parametrize("text", [

@@ -124,6 +124,16 @@ def test_migration_types(spark):
     assert out.first()["m"] == dt.datetime(2024, 1, 1, 0, 0, 0, 123000) and out.first()["j"] == "[1]"
 
 
+def test_declared_text_with_a_date_name_stays_text(spark):
+    out = one(spark, {"update_flag": "20240102", "end_date": "n/a"}, field("update_flag", T.StringType()), field("end_date", T.StringType()))
+    assert out["update_flag"] == "2024-01-02" and isinstance(out["end_date"], str | None) and out["_rejects"] == ["end_date"]
+
+
+def test_drift_survives_a_value_the_type_cannot_hold(spark):
+    out = with_drift(spark.createDataFrame([("a", 1.0)], "k string, v double"), spark.createDataFrame([("b", "n/a")], "k string, v string"))
+    assert sorted(tuple(r) for r in out.collect()) == [("a", 1.0), ("b", None)]
+
+
 def test_drift_adds_text_columns(spark):
     table = spark.createDataFrame([("a", 1.0)], "k string, v double")
     drifted = spark.createDataFrame([("b", 2, 3)], "k string, v int, extra int")
