@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
@@ -14,37 +13,25 @@ from .audit import numeric_profile, union_all
 from .versions import current
 
 
-@dataclass(frozen=True)
-class Alignment:
-    """Source columns and the target columns they fill, pairwise."""
+def aligned(df: DataFrame, target: Sequence[str], renames: Mapping[str, str] | None = None, drop: Sequence[str] = ()) -> DataFrame:
+    """The columns of `df` that a target has, under the target's names; bookkeeping columns of the source never go over."""
+    known, unwanted = set(target), {*AUDIT_COLUMNS, *drop}
+    named = df.drop(*unwanted).withColumnsRenamed(dict(renames or {}))
+    return named.select([c for c in named.columns if c in known])
 
-    source: list[str] = field(default_factory=list)
-    target: list[str] = field(default_factory=list)
 
+def _renamed(df: DataFrame, renames: Mapping[str, str] | None) -> list[str]:
+    return df.withColumnsRenamed(dict(renames or {})).columns
 
-def align(source: Sequence[str], target: Sequence[str], renames: Mapping[str, str] | None = None,
-          drop: Sequence[str] = ()) -> Alignment:
-    """Drop audit columns, rename, keep what the target knows, in source order."""
-    renames = dict(renames or {})
-    pairs = [(c, renames.get(c, c)) for c in source if c not in AUDIT_COLUMNS and c not in drop]
-    pairs = [p for p in pairs if p[1] in set(target)]
-    return Alignment([s for s, _ in pairs], [t for _, t in pairs])
 
-
-def aligned(df: DataFrame, target: Sequence[str], renames: Mapping[str, str] | None = None,
-            drop: Sequence[str] = ()) -> DataFrame:
-    plan = align(df.columns, target, renames, drop)
-    return df.select(*[F.col(s).alias(t) for s, t in zip(plan.source, plan.target)])
-
-
-def column_diff(source: Sequence[str], target: Sequence[str], renames: Mapping[str, str] | None = None) -> dict[str, list[str]]:
-    renames = dict(renames or {})
-    named = {renames.get(c, c) for c in source if c not in AUDIT_COLUMNS}
-    return {
-        "both": sorted(named & set(target)),
-        "source_only": sorted(named - set(target)),
-        "target_only": sorted(set(target) - named),
-    }
+def column_differences(source: DataFrame, target: DataFrame, renames: Mapping[str, str] | None = None) -> DataFrame:
+    """(column_name, side) for every column of the two tables, side being both, source_only or target_only."""
+    spark = source.sparkSession
+    sides = spark.createDataFrame(
+        [(c, True, False) for c in _renamed(source.drop(*AUDIT_COLUMNS), renames)] + [(c, False, True) for c in target.columns],
+        "column_name string, in_source boolean, in_target boolean")
+    side = F.when(F.bool_or("in_source") & F.bool_or("in_target"), "both").when(F.bool_or("in_source"), "source_only").otherwise("target_only")
+    return sides.groupBy("column_name").agg(side.alias("side"))
 
 
 def union_parts(parts: Mapping[str, DataFrame | None], columns: Sequence[str] | None = None,

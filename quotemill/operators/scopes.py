@@ -16,36 +16,21 @@ from ..functions.dates import day_text, month_text, months_between, quarter_ends
 COLUMNS = ("interface", "strategy", "scope_key", "params")
 
 
-def scope_key(strategy: str, **parts: Column) -> Column:
-    """Scope key text of a strategy; raises on an unknown one."""
-    name, join = F.col("interface"), lambda *cols: F.concat_ws(":", *cols)
-    if strategy == "full_once":
-        return join(name, F.lit("full"))
-    if strategy == "date_loop":
-        return join(name, parts["day"])
-    if strategy == "period_loop":
-        return join(name, parts["period"])
-    if strategy == "monthly_window":
-        return join(name, parts["month"])
-    if strategy == "per_symbol":
-        return join(name, parts["ts_code"])
-    if strategy == "per_symbol_period":
-        return join(name, parts["ts_code"], parts["period"])
-    if strategy == "offset_paging":
-        return join(name, parts["day"], F.lpad(parts["offset"].cast("string"), 8, "0"))
-    raise ValueError(f"unknown strategy: {strategy}")
+def key(*parts: Column) -> Column:
+    """Scope key text: the interface and the parts that tell its units apart."""
+    return F.concat_ws(":", F.col("interface"), *parts)
 
 
 def _of(interfaces: DataFrame, strategy: str) -> DataFrame:
     return interfaces.filter(F.col("strategy") == strategy)
 
 
-def _units(df: DataFrame, strategy: str, params: Column, **parts: Column) -> DataFrame:
-    return df.select("interface", "strategy", scope_key(strategy, **parts).alias("scope_key"), params.alias("params"))
+def _units(df: DataFrame, params: Column, *parts: Column) -> DataFrame:
+    return df.select("interface", "strategy", key(*parts).alias("scope_key"), params.alias("params"))
 
 
 def full_once(interfaces: DataFrame) -> DataFrame:
-    return _units(_of(interfaces, "full_once"), "full_once", F.create_map().cast("map<string,string>"))
+    return _units(_of(interfaces, "full_once"), F.create_map().cast("map<string,string>"), F.lit("full"))
 
 
 def _open_days(interfaces: DataFrame, cal: DataFrame, as_of: Column) -> DataFrame:
@@ -57,19 +42,19 @@ def date_loop(interfaces: DataFrame, cal: DataFrame, as_of: Column) -> DataFrame
     """One unit per open day of the interface's exchange, the parameter named by date_field."""
     df = _open_days(_of(interfaces, "date_loop"), cal, as_of).withColumn("day", day_text(F.col("cal_date")))
     field = F.coalesce("date_field", F.lit("trade_date"))
-    return _units(df, "date_loop", F.create_map(field, "day"), day=F.col("day"))
+    return _units(df, F.create_map(field, "day"), F.col("day"))
 
 
 def period_loop(interfaces: DataFrame, as_of: Column) -> DataFrame:
     df = _of(interfaces, "period_loop").withColumn("period", F.explode(quarter_ends(F.col("start_date"), as_of)))
     period = day_text(F.col("period"))
-    return _units(df, "period_loop", F.create_map(F.lit("period"), period), period=period)
+    return _units(df, F.create_map(F.lit("period"), period), period)
 
 
 def monthly_window(interfaces: DataFrame, as_of: Column) -> DataFrame:
     df = _of(interfaces, "monthly_window").withColumn("month", F.explode(months_between(F.col("start_date"), as_of)))
     month = month_text(F.col("month"))
-    return _units(df, "monthly_window", F.create_map(F.lit("month"), month), month=month)
+    return _units(df, F.create_map(F.lit("month"), month), month)
 
 
 def per_symbol(interfaces: DataFrame, symbols: DataFrame, as_of: Column) -> DataFrame:
@@ -78,7 +63,7 @@ def per_symbol(interfaces: DataFrame, symbols: DataFrame, as_of: Column) -> Data
     code = F.create_map(F.lit("ts_code"), F.col("ts_code"))
     day = F.map_concat(code, F.create_map(F.col("date_field"), day_text(as_of)))
     single = (F.col("start_date") == as_of) & F.col("date_field").isNotNull()
-    return _units(df, "per_symbol", F.when(single, day).otherwise(code), ts_code=F.col("ts_code"))
+    return _units(df, F.when(single, day).otherwise(code), F.col("ts_code"))
 
 
 def per_symbol_period(interfaces: DataFrame, symbols: DataFrame, as_of: Column) -> DataFrame:
@@ -87,7 +72,7 @@ def per_symbol_period(interfaces: DataFrame, symbols: DataFrame, as_of: Column)
     df = own.join(symbols, "symbol_source").withColumn("quarter", F.explode("quarters"))
     df = df.withColumn("period", day_text(F.col("quarter")))
     params = F.create_map(F.lit("ts_code"), F.col("ts_code"), F.lit("period"), F.col("period"))
-    return _units(df, "per_symbol_period", params, ts_code=F.col("ts_code"), period=F.col("period"))
+    return _units(df, params, F.col("ts_code"), F.col("period"))
 
 
 def offset_paging(interfaces: DataFrame, cal: DataFrame, day_rows: DataFrame, as_of: Column,
@@ -107,7 +92,7 @@ def offset_paging(interfaces: DataFrame, cal: DataFrame, day_rows: DataFrame, as
         F.lit("trade_date"), F.col("day"), F.lit("offset"), F.col("offset").cast("string"),
         F.lit("limit"), F.lit(str(page_size)),
     )
-    return _units(df, "offset_paging", params, day=F.col("day"), offset=F.col("offset"))
+    return _units(df, params, F.col("day"), F.lpad(F.col("offset").cast("string"), 8, "0"))
 
 
 def expected_units(interfaces: DataFrame, cal: DataFrame, symbols: DataFrame, day_rows: DataFrame,

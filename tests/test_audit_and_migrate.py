@@ -113,10 +113,13 @@ def test_update_lag(spark, latest, verdict):
     assert audit.update_lag(df, "u", F.lit("2024-01-31 12:00:00").cast("timestamp_ntz")).first()["verdict"] == verdict
 
 
-def test_alignment():
-    got = migrate.align(["ts_code", "end_date", "close", "created_at", "updated_at", "junk", "skip"], ["ts_code", "cal_date", "close", "skip", "extra"], {"end_date": "cal_date"}, ["skip"])
-    assert (got.source, got.target) == (["ts_code", "end_date", "close"], ["ts_code", "cal_date", "close"])
-    assert migrate.column_diff(["a", "b", "created_at"], ["a", "c", "d"], {"b": "c"}) == {"both": ["a", "c"], "source_only": [], "target_only": ["d"]}
+def test_alignment(spark):
+    table = lambda *names: spark.createDataFrame([], ", ".join(f"{n} string" for n in names))
+    source = table("ts_code", "end_date", "close", "created_at", "updated_at", "junk", "skip")
+    got = migrate.aligned(source, ["ts_code", "cal_date", "close", "skip", "extra"], {"end_date": "cal_date"}, ["skip"])
+    assert got.columns == ["ts_code", "cal_date", "close"]
+    got = migrate.column_differences(table("a", "b", "created_at", "e"), table("a", "c", "d"), {"b": "c"})
+    assert rows(got) == [("a", "both"), ("c", "both"), ("d", "target_only"), ("e", "source_only")]
 
 
 def test_parts_union(spark):

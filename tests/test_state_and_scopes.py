@@ -96,29 +96,38 @@ def test_doomed_units(log):
     assert hit(statuses=["running"]) == ["daily:20240110"] and hit() == []
 
 
-KEYS = {
-    "full_once": ({}, "x:full"), "date_loop": ({"day": "20240102"}, "x:20240102"), "period_loop": ({"period": "20240331"}, "x:20240331"),
-    "monthly_window": ({"month": "202403"}, "x:202403"), "per_symbol": ({"ts_code": "000001.SZ"}, "x:000001.SZ"),
-    "per_symbol_period": ({"ts_code": "000001.SZ", "period": "20240331"}, "x:000001.SZ:20240331"),
-    "offset_paging": ({"day": "20240102", "offset": 5000}, "x:20240102:00005000"),
-}
+STRATEGIES = ("full_once", "date_loop", "period_loop", "monthly_window", "per_symbol", "per_symbol_period", "offset_paging")
 
 
-@pytest.mark.parametrize("strategy", KEYS)
-def test_scope_keys(spark, strategy):
-    parts, wanted = KEYS[strategy]
-    df = spark.createDataFrame([("x",)], "interface string")
-    assert df.select(scopes.scope_key(strategy, **{k: F.lit(v) for k, v in parts.items()})).first()[0] == wanted
+def test_scope_keys_of_every_strategy(spark, declared):
+    cal = spark.createDataFrame([("SSE", dt.date(2023, 7, 3), 1), ("SSE", dt.date(2023, 7, 4), 0)], "exchange string, cal_date date, is_open int")
+    symbols = spark.createDataFrame([("stock", "000001.SZ")], "symbol_source string, ts_code string")
+    counts = spark.createDataFrame([("i_offset_paging", dt.date(2023, 7, 3), 5001)], "interface string, trade_date date, row_count long")
+    got = scopes.expected_units(declared, cal, symbols, counts, F.lit("2023-07-31").cast("date"))
+    keys = {}
+    for r in got.collect():
+        keys.setdefault(r["strategy"], []).append(r["scope_key"].removeprefix(f"i_{r['strategy']}:"))
+    assert {k: sorted(v) for k, v in keys.items()} == {
+        "full_once": ["full"], "date_loop": ["20230703"], "period_loop": ["20230630"], "monthly_window": ["202306", "202307"], "per_symbol": ["000001.SZ"],
+        "per_symbol_period": ["000001.SZ:20230630"], "offset_paging": ["20230703:00000000", "20230703:00005000"]}
 
 
-def test_unknown_strategy():
-    with pytest.raises(ValueError):
-        scopes.scope_key("sometimes")
+def test_top_errors_need_a_recent_success(spark):
+    log = spark.createDataFrame([
+        unit("a", "a:1", "failed", 1), unit("a", "a:2", "partial", 1), unit("b", "b:1", "failed", 1), unit("c", "c:1", "failed", 1), unit("c", "c:1", "done", 2)], LOG_SCHEMA)
+    log = log.withColumn("last_success_at", F.when(F.col("interface") == "b", F.lit("2024-01-01")).otherwise(F.lit("2024-01-09 12:00:00")).cast("timestamp_ntz"))
+    assert rows(state.top_errors(log, F.lit("2024-01-10").cast("timestamp_ntz"))) == [("a", 2)]
+
+
+def test_queries_agree_on_a_tied_version(spark):
+    log = spark.createDataFrame([unit("i", f"i:{k}", s, 1, error=e) for k in range(40) for s, e in (("done", None), ("failed", "SSL handshake failed"))], LOG_SCHEMA)
+    failed = {r["status"]: r["units"] for r in state.by_status(log).collect()}.get("failed", 0)
+    assert sum(r["scope_key"] is not None for r in state.units(log, "last_error").filter("last_error LIKE 'SSL%'").collect()) == failed
 
 
 @pytest.fixture
 def declared(spark):
-    df = spark.createDataFrame([(f"i_{s}", s, "SSE", None, "stock", dt.date(2023, 6, 1)) for s in KEYS],
+    df = spark.createDataFrame([(f"i_{s}", s, "SSE", None, "stock", dt.date(2023, 6, 1)) for s in STRATEGIES],
                                "interface string, strategy string, exchange string, date_field string, symbol_source string, start_date date")
     return df.withColumn("date_field", F.when(F.col("strategy") == "per_symbol", "ann_date"))
 
