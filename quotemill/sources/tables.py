@@ -42,10 +42,11 @@ def _or_null(df: DataFrame, name: str) -> Column:
     return F.col(name) if name in df.columns else F.lit(None).cast("timestamp_ntz")
 
 
-def open_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def open_table(spark: SparkSession, path: str, schema: T.StructType | None = None, merge: bool = False) -> DataFrame:
     """A stored table with its placement column. Opening lists the files once; keep the DataFrame for
-    many lookups. A given schema spares reading file footers; else drifted files are merged."""
-    reader = spark.read.schema(schema) if schema is not None else spark.read.option("mergeSchema", "true")
+    many lookups. A given schema spares reading file footers; left out, one footer speaks for all, and only `merge`
+    reads them all, for a table whose files drifted."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read.option("mergeSchema", str(merge).lower())
     return reader.parquet(path)
 
 
@@ -77,9 +78,12 @@ def scan_requests(df: DataFrame, requests: DataFrame, code: str = "ts_code", day
 
 def read_source(spark: SparkSession, url: str, table: str, columns: Sequence[str], where: str | None = None,
                 split: tuple[str, int, int, int] | None = None, fetch_size: int = 100_000,
-                options: Mapping[str, str] | None = None) -> DataFrame:
+                options: Mapping[str, str] | None = None, small: bool = False) -> DataFrame:
     """A relational source through JDBC. Projection and predicate are pushed by the connector; `split`
-    (column, low, high, parts) reads ranges in parallel."""
+    (column, low, high, parts) reads ranges in parallel. Without it the whole source would go through one task, so
+    `split` may be left out only for a source the caller calls `small`."""
+    if split is None and not small:
+        raise ValueError("give a split, or say that the source is small")
     opts = {"url": url, "dbtable": table, "fetchsize": str(fetch_size), **(options or {})}
     if split:
         column, low, high, parts = split
