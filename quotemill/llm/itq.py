@@ -37,9 +37,12 @@ def tables_for(vectors: int, threshold: float = THRESHOLD, recall: float = RECAL
 
 
 def rotations(sample: np.ndarray, bits: int, tables: int, seed: int = 7) -> tuple[np.ndarray, list[np.ndarray]]:
-    """The mean, and matrices from components to code bits, enough for all tables."""
-    mean = sample.mean(axis=0)
-    _, axes = np.linalg.eigh(np.cov((sample - mean).T) if len(sample) > 1 else np.eye(sample.shape[1]))
+    """The centre, and matrices from components to code bits, enough for all tables.
+
+    Unit vectors stay centred at the origin, which the cosine is about: a mean drawn into one large cluster would split it.
+    """
+    mean = np.zeros(sample.shape[1])
+    _, axes = np.linalg.eigh(sample.T @ sample)
     width = min(CODE_BITS, sample.shape[1])
     axes = axes[:, ::-1][:, :width]
     flat, rng, out = (sample - mean) @ axes, np.random.default_rng(seed), []
