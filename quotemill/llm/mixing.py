@@ -16,6 +16,7 @@ from .common import staged
 DRAW_MEAN, TABLE = 16.0, 80
 #: Weights: a source's share of the characters to this power; the sum of all expected characters is EPOCHS times the input's.
 POWER, EPOCHS, SEED = 0.7, 1.0, "mix-1"
+WORKING = ("copy", "position_key", "_copies", "_source", "_draws", "_table", "_u")
 
 
 def uniform(*parts: Column) -> Column:
@@ -67,10 +68,10 @@ def mix(docs: DataFrame, power: float = POWER, epochs: float = EPOCHS, weights:
     """Each document as many times as it drew, in one global random order: the columns of `docs`, `copy` and `position_key`.
 
     Needs doc_id, source and text; a null doc_id draws by the word "null", rows that repeat draw alike, an empty table stays
-    empty. Columns of `docs` named copy or position_key are replaced. Order the result by position_key to read it shuffled;
+    empty. Columns of `docs` that have a name of WORKING are left out. Order the result by position_key to read it shuffled;
     the partitions are dealt by it and sorted by it already.
     """
-    names = [c for c in docs.columns if c not in ("copy", "position_key")]
+    names = [c for c in docs.columns if c not in WORKING]
     drawn = draws(docs.select(*names), rates(docs, power, epochs, weights), seed)
     copies = drawn.filter("_copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
     identity = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
