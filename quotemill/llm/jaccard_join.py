@@ -3,19 +3,21 @@
 The Jaccard distance is a metric, so distances to a pivot tell which documents may be near each other.
 
 1. Neighbourhoods. Two sets within the limit differ in at most D elements, and D follows from their sizes. Each set is split by
-   hash into D + 1 classes, one of which must be the same in both. A cell is one class with one content, so documents that
-   share no cell are too far apart, exactly; most cells hold one set only and end here.
-2. Voronoi regions. The documents of a cell are measured against the cell's pivot. Those within the limit form its region and
-   are linked; all of them keep their distance.
-3. Recursion. Cells whose documents have not all met in one component take another pivot.
-4. Boundaries. Pairs that are left in a cell, from different components, must lie within a window of the limit around equal
-   distances to the pivot (triangle inequality): documents are replicated to the neighbouring windows and compared exactly.
+   hash into more than D classes, some of which must be the same in both. A cell is one class with one content, so documents
+   that share no cell are too far apart, exactly; most cells hold one set only and end here.
+2. Voronoi regions. Documents tied together by cells form a region around one of them, its pivot. Documents of different
+   regions share no cell. All are measured against their pivot, and those within the limit are linked to it.
+3. Windows. In a region that is not one component yet, links lie between documents whose distances to the pivot differ by no more
+   than the limit (triangle inequality): each window of distances is compared with itself and the next one.
+4. Blocks. A window is dealt into blocks, every pair of blocks is a task, and a task multiplies the incidence matrices of its
+   sets, which gives all intersections exactly. Tasks return spanning links, never pairs.
 
 Documents with the same set are one point of the space from the start, so groups of copies cost one comparison.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,14 +25,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, joined, mixed, pieces, sieve, sifted, staged, text_bytes
+from .common import U64, groups, joined, mixed, pieces, sieve, sifted, staged, text_bytes
 from .graph import components
 
 SHINGLE, PERCENT = 3, 90
-#: How often cells take another pivot before their boundary pairs are compared.
-PIVOTS = 3
-#: Sizes fall into bands that grow by half; independent splittings tried before empty classes count as content.
-BAND, SPLITS = 1.5, 4
+#: Sets of a block, and columns of an incidence matrix held at once.
+BLOCK, COLUMNS = 256, 4096
+#: Sizes fall into bands that grow by half; classes beyond D + 1, as a share of them; splittings tried before empty classes count
+#: as content.
+BAND, SPARE, SPLITS = 1.5, 0.15, 6
 BASE = 0x9E3779B97F4A7C15 | 1
 FOLD = np.arange(256, dtype=np.uint8)
 FOLD[65:91] += 32
@@ -103,21 +106,26 @@ def set_keys(names: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return low, high
 
 
-def bands(percent: int) -> list[tuple[int, int, int]]:
-    """(first size, end, classes): sets of a band, or whose larger partner may lie in it, differ in fewer elements than classes."""
+def bands(percent: int) -> list[tuple[int, int, int, int]]:
+    """(first size, end, most differing elements, classes) of sets in a band, or whose larger partner may lie in it."""
     edges, at = [], 1
     while at < 1 << 40:
         edges.append(at)
         at = max(at + 1, int(at * BAND))
-    return [(a, b, 2 * (b - 1) * (100 - percent) // (100 + percent) + 1) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+    most = [2 * (b - 1) * (100 - percent) // (100 + percent) for b in edges[1:]]
+    return [(a, b, d, d + 1 + math.ceil(SPARE * (d + 1))) for a, b, d in zip(edges[:-1], edges[1:], most, strict=True)]
 
 
-def cells_of(names: np.ndarray, percent: int, table: list[tuple[int, int, int]]) -> np.ndarray:
-    """The cells of one set: for its own band, and for the next if a partner can lie there."""
+def cells_of(names: np.ndarray, percent: int, table: list[tuple[int, int, int, int]]) -> np.ndarray:
+    """The cells of one set: for its own band, and for those of larger partners.
+
+    D differing elements leave classes - D classes alike. Two sets miss each other only if all of these are empty, and then both
+    have that many empty classes and both try the next splitting.
+    """
     n, out = len(names), []
     most = n * 100 // percent
-    for j, (a, b, classes) in enumerate(table):
-        if not (a <= n < b or n < a <= most) or classes < 2:
+    for j, (a, b, differing, classes) in enumerate(table):
+        if not (a <= n < b or n < a <= most) or not differing:
             continue
         for split in range(SPLITS):
             which = (joined(names, np.full(1, split + 1, U64)) % U64(classes)).astype(np.int64)
@@ -127,7 +135,7 @@ def cells_of(names: np.ndarray, percent: int, table: list[tuple[int, int, int]])
             cell = joined(place, content)
             last = split == SPLITS - 1
             out.append(cell if last else cell[count > 0])
-            if count.all():
+            if (count == 0).sum() < classes - differing:
                 break
     return np.concatenate(out) if out else np.zeros(0, U64)
 
@@ -181,26 +189,6 @@ def shingles(docs: DataFrame, size: int) -> DataFrame:
     return _plain(docs).mapInArrow(build, "node long, shingles array<long>")
 
 
-def measured(pairs: DataFrame, sets: DataFrame, percent: int, name: str) -> DataFrame:
-    """`pairs` (a, b) with the exact Jaccard distance and whether they link."""
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("_a"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("_b"))
-    sizes = pairs.join(left, "a").join(right, "b").select(
-        *pairs.columns, F.size(F.array_intersect("_a", "_b")).cast("long").alias("common"), (F.size("_a") + F.size("_b")).cast("long").alias("total"))
-    union = F.col("total") - F.col("common")
-    return staged(sizes.select(*pairs.columns, (1 - F.col("common") / union).alias("distance"), (100 * F.col("common") >= percent * union).alias("linked")), name)
-
-
-def open_cells(members: DataFrame, found: DataFrame | None) -> DataFrame:
-    """Members of cells that lie in two or more components, with their component."""
-    if found is not None:
-        members = members.join(found, "node", "left").select("cell", "node", F.coalesce("component", "node").alias("component"))
-    else:
-        members = members.withColumn("component", F.col("node"))
-    apart = members.groupBy("cell").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("cell")
-    return staged(members.join(apart, "cell"), "open-cells")
-
-
 def link_documents(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id of every row: the smallest doc_id that links reach.
 
@@ -213,27 +201,15 @@ def link_documents(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT)
     if not points.filter("check <> other").isEmpty():
         raise ValueError("two different shingle sets have the same key")
     spread = cells(docs.filter("doc_id IS NOT NULL"), size, percent)
-    shared = staged(spread.groupBy("cell").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi").select("cell"), "shared-cells")
-    members = staged(spread.join(shared, "cell").distinct(), "cell-members")
-    involved = members.select("node").distinct().join(points, "node").select("doc_id", F.col("node").alias("_node"))
-    involved = staged(involved, "involved")
-    near = sifted(_plain(docs), "doc_id", sieve(involved, "doc_id")).join(involved.select("doc_id").distinct(), "doc_id", "left_semi")
-    sets = staged(shingles(near, size).join(involved.select(F.col("_node").alias("node")), "node", "left_semi").dropDuplicates(["node"]), "involved-sets")
-
-    found, links, distances = None, None, None
-    left = open_cells(members, None)
-    for turn in range(PIVOTS):
-        if left.isEmpty():
-            break
-        pivots = left.groupBy("cell").agg(F.min_by("node", F.xxhash64("node", F.lit(turn))).alias("pivot"))
-        stars = left.join(pivots, "cell").select(F.col("node").alias("a"), F.col("pivot").alias("b")).filter("a <> b").distinct()
-        distances = measured(stars, sets, percent, "distances")
-        links = distances.filter("linked").select("a", "b") if links is None else links.union(distances.filter("linked").select("a", "b"))
-        found = components(links)
-        placed = left.select("cell", "node").join(pivots, "cell")
-        left = open_cells(left.select("cell", "node"), found)
-    if links is not None and not left.isEmpty():
-        links = links.union(boundary(left, placed, distances, sets, percent))
+    shared = staged(spread.groupBy("cell").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi").select("cell", "lo"), "shared-cells")
+    ties = staged(sifted(spread, "cell", sieve(shared, "cell")).join(shared, "cell").select(F.col("node").alias("a"), F.col("lo").alias("b")).distinct(), "ties")
+    found = None
+    if not ties.isEmpty():
+        regions = staged(components(ties).select("node", F.col("component").alias("pivot")), "regions")
+        involved = staged(regions.join(points, "node").select("doc_id", "node"), "involved")
+        near = sifted(_plain(docs), "doc_id", sieve(involved, "doc_id")).join(involved.select("doc_id").distinct(), "doc_id", "left_semi")
+        sets = staged(shingles(near, size).join(regions, "node").dropDuplicates(["node"]), "involved-sets")
+        links = region_links(sets, percent)
         found = components(links)
     labels = points.select("node", "doc_id")
     if found is not None:
@@ -246,19 +222,80 @@ def link_documents(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT)
         "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id")).alias("component_id"))
 
 
-def boundary(left: DataFrame, placed: DataFrame, distances: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between members of one cell in different components that lie in the same or neighbouring windows around its last pivot."""
-    limit = 1 - percent / 100
-    far = distances.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "distance")
-    known = placed.join(far, ["node", "pivot"], "left").select("cell", "node", F.coalesce("distance", F.lit(0.0)).alias("distance"))
-    around = left.join(known, ["cell", "node"]).join(sets.select("node", F.size("shingles").alias("n")), "node")
-    window = F.floor(F.col("distance") / limit).cast("int")
-    one = around.select("cell", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("distance").alias("da"), F.col("n").alias("na"), window.alias("window"))
-    two = around.select("cell", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("distance").alias("db"), F.col("n").alias("nb"),
-                        F.explode(F.array(window - 1, window, window + 1)).alias("window"))
-    pairs = one.join(two, ["cell", "window"]).filter("a < b AND ca <> cb").filter(
-        (F.abs(F.col("da") - F.col("db")) <= limit + 1e-9) & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")))
-    return measured(pairs.select("a", "b").distinct(), sets, percent, "boundary").filter("linked").select("a", "b")
+def region_links(sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that span the components inside each region; `sets` has node, shingles and the region's pivot."""
+    pivots = sets.filter("node = pivot").select("pivot", F.col("shingles").alias("_p"))
+    sizes = sets.join(pivots, "pivot").withColumn("common", F.size(F.array_intersect("shingles", "_p"))).withColumn("union", F.size("shingles") + F.size("_p") - F.col("common"))
+    linked = 100 * F.col("common") >= percent * F.col("union")
+    stars = staged(sizes.select("node", "pivot", (1 - F.col("common") / F.col("union")).alias("distance"), linked.alias("linked")), "distances")
+    first = stars.filter("linked AND node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
+    # A region whose documents all hang on the pivot is one component.
+    unsettled = stars.groupBy("pivot").agg(F.min("linked").alias("all")).filter("NOT all").select("pivot")
+    window = F.floor(F.col("distance") * 100 / (100 - percent)).cast("int")
+    open_rows = staged(stars.join(unsettled, "pivot").select("node", "pivot", window.alias("window")), "windows")
+    counts = staged(open_rows.groupBy("pivot", "window").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "blocks")
+    placed = open_rows.join(counts, ["pivot", "window"])
+    for name, step in (("up", -1), ("down", 1)):
+        placed = placed.join(counts.select("pivot", (F.col("window") + step).alias("window"), F.col("blocks").alias(name)), ["pivot", "window"], "left")
+    own, none = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"), F.array().cast("array<struct<kind:int,at:int,x:int,y:int,side:int>>")
+
+    def task(kind: int, at, x, y, side):
+        return F.struct(F.lit(kind).alias("kind"), at.cast("int").alias("at"), x.cast("int").alias("x"), y.cast("int").alias("y"), side.cast("int").alias("side"))
+
+    def blocks(n: str):
+        return F.sequence(F.lit(0), F.col(n) - 1)
+
+    here = F.col("window")
+    tasks = F.concat(
+        F.transform(blocks("blocks"), lambda k: task(0, here, F.least("own", k), F.greatest("own", k), F.col("own") > k)),
+        F.when(F.col("up").isNotNull(), F.transform(blocks("up"), lambda k: task(1, here, F.col("own"), k, F.lit(0)))).otherwise(none),
+        F.when(F.col("down").isNotNull(), F.transform(blocks("down"), lambda k: task(1, here - 1, k, F.col("own"), F.lit(1)))).otherwise(none))
+    dealt = placed.withColumn("own", own).select("node", "pivot", F.explode(tasks).alias("t")).select("node", "pivot", "t.*")
+    keys = ["task", "pivot", "kind", "at", "x", "y"]
+    dealt = dealt.withColumn("task", F.xxhash64("pivot", "kind", "at", "x", "y")).join(sets.select("node", "shingles"), "node")
+    dealt = dealt.select(*keys, "side", "node", "shingles").repartition("task").sortWithinPartitions(*keys)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in groups(batches, keys):
+            yield _spanning(rows, percent)
+
+    return first.union(staged(dealt.mapInArrow(compare, "a long, b long"), "window-links"))
+
+
+def _spanning(rows: pa.Table, percent: int) -> pa.RecordBatch:
+    """Links that span the components among the sets of one task."""
+    lists = rows["shingles"].combine_chunks()
+    node, sizes = rows["node"].to_numpy(), lists.value_lengths().to_numpy().astype(np.int64)
+    values, owner = lists.flatten().to_numpy(), np.repeat(np.arange(len(sizes)), sizes)
+    side = rows["side"].to_numpy()
+    inner = rows["kind"][0].as_py() == 0 and rows["x"][0].as_py() == rows["y"][0].as_py()
+    left, right = (np.arange(len(sizes)),) * 2 if inner else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
+    _, column, count = np.unique(values, return_inverse=True, return_counts=True)
+    often = count > 1  # others are in no intersection
+    number = np.cumsum(often) - 1
+    keep = often[column]
+    column, owner = number[column[keep]], owner[keep]
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    common = np.zeros((len(left), len(right)), np.float32)
+    for start in range(0, int(often.sum()), COLUMNS):
+        a, b = np.searchsorted(column, (start, start + COLUMNS))
+        part = np.zeros((len(sizes), COLUMNS), np.float32)
+        part[owner[a:b], column[a:b] - start] = 1
+        common += part[left] @ part[right].T
+    common = common.astype(np.int64)
+    hit = 100 * common >= percent * (sizes[left][:, None] + sizes[right][None, :] - common)
+    x, y = np.nonzero(np.triu(hit, 1) if inner else hit)
+    x, y, root = left[x], right[y], np.arange(len(sizes))
+    while True:
+        before = root.copy()
+        np.minimum.at(root, x, root[y])
+        np.minimum.at(root, y, root[x])
+        root = root[root]
+        if (root == before).all():
+            break
+    moved = np.flatnonzero(root != np.arange(len(sizes)))
+    return pa.RecordBatch.from_arrays([pa.array(node[moved]), pa.array(node[root[moved]])], ["a", "b"])
 
 
 def one_of_each_group(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
