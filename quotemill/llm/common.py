@@ -29,7 +29,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = 1 << 18) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that each holds about `limit` bytes of text, or one row if that row is longer."""
     for batch in batches:
         sizes = batch.column(column).cast(pa.large_binary())
@@ -52,9 +52,12 @@ def text_bytes(batch: pa.RecordBatch, column: str = "text") -> tuple[np.ndarray,
 
 def mixed(x: np.ndarray) -> np.ndarray:
     """Scatter the bits of 64-bit words (the finaliser of SplitMix64, wrapping)."""
-    x = (x ^ (x >> U64(30))) * U64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> U64(27))) * U64(0x94D049BB133111EB)
-    return x ^ (x >> U64(31))
+    x = x ^ (x >> U64(30))
+    x *= U64(0xBF58476D1CE4E5B9)
+    x ^= x >> U64(27)
+    x *= U64(0x94D049BB133111EB)
+    x ^= x >> U64(31)
+    return x
 
 
 def joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -93,3 +96,23 @@ def sifted(df: DataFrame, column: str, kept: np.ndarray, inside: bool = True) ->
 
     bit = F.xxhash64(column).bitwiseAND(F.lit((1 << SIEVE_BITS) - 1)).alias("_bit")
     return df.select("*", bit).mapInArrow(sift, df.schema)
+
+
+def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The groups of a task's rows, which are sorted by `keys` (integers without nulls); one group is held at a time."""
+    held: pa.Table | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        part = pa.Table.from_batches([batch])
+        rows = part if held is None else pa.concat_tables([held, part])
+        new = np.zeros(len(rows), bool)
+        for key in keys:
+            x = rows[key].to_numpy()
+            new[1:] |= x[1:] != x[:-1]
+        edges = [0, *np.flatnonzero(new).tolist()]
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            yield rows.slice(a, b - a)
+        held = rows.slice(edges[-1])
+    if held is not None:
+        yield held
