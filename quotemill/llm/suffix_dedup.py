@@ -32,6 +32,8 @@ from .common import U64, eight_bytes, joined, pieces, sieve, sifted, staged, tex
 LENGTH, RANK, CELL = 200, 64, 17
 #: Starts a string offers to the choice, and how many positions one choice looks at (an offset fits in BITS).
 STARTS, BITS = LENGTH - RANK + 1, 20
+#: Bytes of text ranked at once: the arrays of a piece stay in the processor's cache. A longer text is one piece.
+PIECE = 1 << 16
 
 
 def ranks(raw: np.ndarray, length: int) -> np.ndarray:
@@ -50,7 +52,8 @@ def paired(long: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
 
 def runs(raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
     """Text, first start, last start (places within the text), anchor, its rank and the rank of the stretch, for each run."""
-    short, long = ranks(raw, RANK), ranks(raw, 128)
+    short = ranks(raw, RANK)
+    long = joined(short[:-RANK], short[RANK:]) if len(short) > RANK else short[:0]
     step, none = (1 << BITS) - 2 * LENGTH, np.zeros(0, np.int64)
     found: list[tuple[np.ndarray, ...]] = []
     for begin in range(0, max(len(raw) - LENGTH + 1, 0), step):
@@ -110,7 +113,7 @@ def all_runs(texts: DataFrame, kept: np.ndarray | None = None) -> DataFrame:
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for batch in pieces(batches, limit=(1 << BITS) - 4 * LENGTH):
+        for batch in pieces(batches, limit=PIECE):
             batch = _once(batch, seen)
             text, lo, hi, anchor, rank, stretch = runs(*text_bytes(batch))
             key = batch["key"].to_numpy()[text]
@@ -169,7 +172,7 @@ def _each(count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The cells of open runs: starts whose distance to the anchor is of one stretch of CELL, cut to the run."""
-    for batch in pieces(batches):
+    for batch in pieces(batches, limit=PIECE):
         raw, starts = text_bytes(batch)
         long = ranks(raw, 128)
         text, at, last, anchor = _open(batch, "at", "last", "anchor")
@@ -189,7 +192,7 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The strings of open cells, one by one."""
-    for batch in pieces(batches):
+    for batch in pieces(batches, limit=PIECE):
         raw, starts = text_bytes(batch)
         long = ranks(raw, 128)
         text, at, last, core = _open(batch, "at", "last", "core")
