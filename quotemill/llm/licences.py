@@ -1,9 +1,10 @@
 """Licence scans with a positional rare-token index (operator 8).
 
-The templates' words form a small index: word -> (template, position). Each file is looked up by its rarest template words
-(highest inverse document frequency, counted over all documents); a posting votes for the place where its template would
-have to start, so postings agree only if they stand at the same relative positions. The best places are compared word by word
-with the template, and a label holds only if every mandatory phrase of the template stands inside that stretch.
+The templates' words form a small index: word -> (template, position). A stretch may differ from its template in a fixed share
+of the words only, so of any larger number of positions one stands in place: each template is looked up at so many of its rarest
+positions (highest inverse document frequency, counted over all documents), which misses no stretch, whatever else a file holds.
+A posting votes for the place where its template would have to start. These places are compared word by word with the template,
+and a label holds only if every mandatory phrase of the template stands inside that stretch.
 """
 
 from __future__ import annotations
@@ -36,8 +37,8 @@ TEMPLATES = (
     ("mpl-2.0", "subject to the terms of the mozilla public license v 2 0", ("mozilla public license",)),
     ("unlicense", "this is free and unencumbered software released into the public domain", ("public domain",)),
 )
-#: Rarest words looked up in a file, and the share of a template's words that must stand in place.
-LOOKUPS, LEAST_SHARE = 8, 0.6
+#: The share of a template's words that must stand in place.
+LEAST_SHARE = 0.6
 
 
 def words_of(text: str) -> list[str]:
@@ -53,27 +54,38 @@ class Index:
         for t, (_, words, _) in enumerate(self.templates):
             for i, w in enumerate(words):
                 self.postings[w].append((t, i))
-        self.vocabulary = frozenset(self.postings)
+        #: Words without which a template's mandatory phrases cannot stand in a file.
+        self.needed = [frozenset(w for p in must for w in p) for _, _, must in self.templates]
+        self.vocabulary = frozenset(self.postings).union(*self.needed)
+
+    def lookups(self, idf: dict[str, float]) -> list[list[tuple[str, int]]]:
+        """(word, position) of each template's rarest positions: one more than a stretch may differ in."""
+        out = []
+        for _, words, _ in self.templates:
+            least = next(k for k in range(len(words) + 1) if k / len(words) >= LEAST_SHARE)
+            at = sorted(range(len(words)), key=lambda i: (-idf[words[i]], words[i], i))
+            out.append([(words[i], i) for i in at[: len(words) - least + 1]])
+        return out
 
     def base(self, words: list[str], present: set[str]) -> list[tuple[int, str]]:
         if not present & self.first:
             return []
         return [(i, label) for i, w in enumerate(words) if w in self.first for p, label in self.phrases if words[i: i + len(p)] == p]
 
-    def scan(self, words: list[str], present: set[str], idf: dict[str, float]) -> list[tuple[str, float, int]]:
+    def scan(self, words: list[str], present: set[str], lookups: list[list[tuple[str, int]]]) -> list[tuple[str, float, int]]:
         """(label, share of words in place, start) of each verified stretch."""
-        rare = set(sorted(present & self.vocabulary, key=lambda w: (-idf[w], w))[:LOOKUPS])
-        votes: Counter = Counter()
-        if not any(len(self.postings[w]) for w in rare):
+        rare: dict[str, list[tuple[int, int]]] = defaultdict(list)
+        for t, needed in enumerate(self.needed):
+            if needed <= present:
+                for w, p in lookups[t]:
+                    rare[w].append((t, p))
+        if present.isdisjoint(rare):
             return []
-        for i, w in enumerate(words):
-            if w in rare:
-                for t, p in self.postings[w]:
-                    votes[t, i - p] += idf[w]
+        votes = {(t, i - p) for i, w in enumerate(words) if w in rare for t, p in rare[w]}
         out = []
-        for (t, start), weight in votes.items():
+        for t, start in votes:
             label, pattern, must = self.templates[t]
-            if start < 0 or weight < 0.3 * sum(idf[w] for w in pattern if w in rare):
+            if start < 0:
                 continue
             stretch = words[start: start + len(pattern)]
             share = sum(a == b for a, b in zip(stretch, pattern, strict=False)) / len(pattern)
@@ -106,7 +118,7 @@ def scan(docs: DataFrame, index: Index | None = None) -> DataFrame:
     `places` lists label:start of the verified stretches; score is the best share of a template's words in place.
     """
     index = index or Index()
-    idf = word_weights(docs, index)
+    lookups = index.lookups(word_weights(docs, index))
     schema = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, places array<string>"
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,7 +128,7 @@ def scan(docs: DataFrame, index: Index | None = None) -> DataFrame:
                 words = words_of(text.as_py() or "")
                 present = index.vocabulary.intersection(words)
                 present |= index.first.intersection(words)
-                base, found = index.base(words, present), index.scan(words, present, idf)
+                base, found = index.base(words, present), index.scan(words, present, lookups)
                 labels = {x for _, x in base}
                 places = sorted({(start, label) for label, _, start in found})
                 out.append((len(words), len(base), base[0][0] if base else None, base[-1][0] if base else None, ",".join(sorted(labels)),

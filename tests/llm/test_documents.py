@@ -195,6 +195,27 @@ def test_base_phrases_equal_brute_force(real):
             len(words), len(places), places[0][0] if places else None, places[-1][0] if places else None, ",".join(sorted({x for _, x in places})))
 
 
+def test_no_notice_hides_another(spark):
+    index = licences.Index()
+    filler = " ".join(sorted(index.vocabulary)) + " "
+    notices = [words for _, words, _ in licences.TEMPLATES]
+    isc = notices[[x for x, _, _ in licences.TEMPLATES].index("isc")]
+    files = [f"{isc} . Licensed under the Apache License, Version 2.0", " zz ".join(notices), *((filler * 9).join(["", *notices[k:], *notices[:k], ""]) for k in range(len(notices))), filler * 40]
+    commons = [" ".join(w for w in sorted(index.vocabulary) if w not in isc.split())] * 30  # the words of one notice are the rare ones
+    for others in ([], commons):
+        rows = [(i, text, "en", "s", 1) for i, text in enumerate([*files, *others])]
+        got = {r["doc_id"]: r["places"] for r in licences.scan(documents(spark, rows)).collect()}
+        for i, text in enumerate(files):
+            words, want = licences.words_of(text), set()
+            for label, pattern, must in index.templates:
+                for start in range(len(words)):
+                    stretch = words[start: start + len(pattern)]
+                    share = sum(a == b for a, b in zip(stretch, pattern, strict=False)) / len(pattern)
+                    if share >= licences.LEAST_SHARE and all(f" {' '.join(p)} " in f" {' '.join(stretch)} " for p in must):
+                        want.add(f"{label}:{start}")
+            assert set(got[i]) == want and (i == len(files) - 1 or want)
+
+
 # --- mixing
 
 
