@@ -225,14 +225,15 @@ def link_documents(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT)
 def region_links(sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) that span the components inside each region; `sets` has node, shingles and the region's pivot."""
     pivots = sets.filter("node = pivot").select("pivot", F.col("shingles").alias("_p"))
-    sizes = sets.join(pivots, "pivot").withColumn("common", F.size(F.array_intersect("shingles", "_p"))).withColumn("union", F.size("shingles") + F.size("_p") - F.col("common"))
+    sizes = sets.join(pivots, "pivot").withColumn("common", F.size(F.array_intersect("shingles", "_p")).cast("long")).withColumn("union", F.size("shingles") + F.size("_p") - F.col("common"))
     linked = 100 * F.col("common") >= percent * F.col("union")
-    stars = staged(sizes.select("node", "pivot", (1 - F.col("common") / F.col("union")).alias("distance"), linked.alias("linked")), "distances")
+    # In whole numbers: fractions would put distances that lie on the limit's multiples one window off, and linked sets two apart.
+    window = F.expr(f"100 * (union - common) div (union * {100 - percent})").cast("int")
+    stars = staged(sizes.select("node", "pivot", window.alias("window"), linked.alias("linked")), "distances")
     first = stars.filter("linked AND node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
     # A region whose documents all hang on the pivot is one component.
     unsettled = stars.groupBy("pivot").agg(F.min("linked").alias("all")).filter("NOT all").select("pivot")
-    window = F.floor(F.col("distance") * 100 / (100 - percent)).cast("int")
-    open_rows = staged(stars.join(unsettled, "pivot").select("node", "pivot", window.alias("window")), "windows")
+    open_rows = staged(stars.join(unsettled, "pivot").select("node", "pivot", "window"), "windows")
     counts = staged(open_rows.groupBy("pivot", "window").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "blocks")
     placed = open_rows.join(counts, ["pivot", "window"])
     for name, step in (("up", -1), ("down", 1)):

@@ -336,6 +336,26 @@ def test_join_equals_brute_force(spark, odd, real, size, percent):
         assert got == plain_components(texts(docs), size, percent)
 
 
+@pytest.mark.parametrize(("size", "percent"), [(5, 80), (3, 90)])
+def test_excerpts_at_the_limit_are_linked_whatever_the_pivot(spark, size, percent):
+    heads, tail = ((80, 100), 80) if percent == 80 else ((80, 88, 97, 100), 90)
+    families, pivots, k = [], set(), 0
+    while len(pivots) < 3 or len(families) < 12:  # each of the three sets at the limit is the smallest of some family
+        words = [f"k{k}w{j}" for j in range(100 + size - 1)]
+        family = [" ".join(words[: n + size - 1]) for n in heads] + [" ".join(words[100 - tail:])]
+        ends = family[:1] + family[-2:]
+        raws = [x.encode() for x in family]
+        keys = jaccard_join.set_keys(*jaccard_join.shingle_sets(np.frombuffer(b"".join(raws), np.uint8), np.cumsum([0, *map(len, raws)]), size))[0].view(np.int64)
+        if family[int(keys.argmin())] in ends and (ends.index(family[int(keys.argmin())]) not in pivots or len(families) < 12):
+            pivots.add(ends.index(family[int(keys.argmin())]))
+            families.append(family)
+        k += 1
+    rows = [(i, text, "en", "s", 1) for i, text in enumerate(x for family in families for x in family)]
+    docs = documents(spark, rows)
+    got = collections.Counter(map(tuple, jaccard_join.link_documents(docs, size, percent).collect()))
+    assert got == plain_components(texts(docs), size, percent) and len({c for _, _, c in got}) == len(families)
+
+
 def test_one_of_each_group(spark, odd):
     kept = jaccard_join.one_of_each_group(odd)
     assert kept.columns == odd.columns
