@@ -57,22 +57,60 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def novel_spans(text: str, base: list[tuple[int, int, int]], least: float = LEAST_NOVEL) -> list[tuple[int, int, int]]:
-    low = text.lower()
-    if not any(k in low for k in SENSITIVE_PARTS):
-        return []
+def candidates(text: str) -> list[tuple[int, int]]:
+    """(start, end) of the strings that begin shortly after a sensitive word, in order."""
     out, done = [], 0
     for word in SENSITIVE.finditer(text):
         for m in CANDIDATE.finditer(text, max(word.end(), done), min(len(text), word.end() + REACH)):
             m = CANDIDATE.match(text, m.start()) or m  # to its own end, beyond the reach
-            if m.start() < done:
-                continue
-            done = m.end()
-            found = m[0]
-            if any(a < m.end() and m.start() < b for a, _, b in base) or found.isalpha() or found.isdigit():
-                continue
-            if added_bytes(text[max(0, m.start() - AROUND): m.start()], found, text[m.end(): m.end() + AROUND]) >= least * len(found):
-                out.append((m.start(), 3, m.end()))
+            if m.start() >= done:
+                done = m.end()
+                out.append((m.start(), done))
+    return out
+
+
+def value_of(found: str) -> str:
+    """The longest part between equals signs, if it is long enough to be a candidate: what `name=value` has in common with its copies."""
+    part = max(found.split("="), key=len)
+    return part if CANDIDATE.fullmatch(part) else found
+
+
+def without(text: str, start: int, end: int, cut: list[tuple[int, int]]) -> str:
+    out = []
+    for a, b in sorted(cut):
+        if a < end and b > start:
+            out.append(text[start:max(a, start)])
+            start = max(start, min(b, end))
+    return "".join([*out, text[start:end]])
+
+
+def novel_spans(text: str, base: list[tuple[int, int, int]], least: float = LEAST_NOVEL) -> list[tuple[int, int, int]]:
+    """Copies of a candidate explain it only if they stand before all that follow a sensitive word; later ones are taken out of the
+    surroundings, so that a secret that is repeated is reported at each place."""
+    low = text.lower()
+    if not any(k in low for k in SENSITIVE_PARTS):
+        return []
+    spans, out, first = candidates(text), [], {}
+    values = [value_of(text[a:b]) for a, b in spans]
+    for value, (a, _) in zip(values, spans, strict=True):
+        first.setdefault(value, a)
+    for i, ((start, end), value) in enumerate(zip(spans, values, strict=True)):
+        found = text[start:end]
+        if any(a < end and start < b for a, _, b in base) or found.isalpha() or found.isdigit():
+            continue
+        lo, hi, cut = max(0, start - AROUND), min(len(text), end + AROUND), []
+        for step in (-1, 1):
+            k = i + step
+            while 0 <= k < len(spans) and spans[k][1] > lo and spans[k][0] < hi:
+                if value in text[slice(*spans[k])] or values[k] in found:
+                    cut.append(spans[k])
+                k += step
+        at = text.find(value, max(first[value], lo - len(value)))
+        while 0 <= at < hi:
+            cut.append((at, at + len(value)))
+            at = text.find(value, at + 1)
+        if added_bytes(without(text, lo, start, cut), found, without(text, end, hi, cut)) >= least * len(found):
+            out.append((start, 3, end))
     return out
 
 

@@ -157,6 +157,24 @@ def test_novel_strings_are_reported_and_known_ones_are_not():
     assert secrets.novel_spans(twice, []) == []
 
 
+def test_repeated_secrets_are_reported_at_each_place(spark):
+    value = "Zx8Qp2Lk9Vt4Rw7Nm1Bc6Yd3"
+    line = 'curl -H "Authorization: Bearer {}" https://api.example.com/v1/{}\n'
+    texts = [line.format(value, "users") + line.format(value, "orders"), "".join(line.format(value, f"page{k}") for k in range(6)),
+             *(line.format(value, "users") + "x. " * n + line.format(value, "orders") for n in range(120, 180, 3)),  # one copy is cut by the window's edge
+             f"https://api.example.com/?session_id={value}\n" + line.format(value, "users")]
+    for text in texts:
+        found = [text[a:b].removeprefix("=") for a, _, b in secrets.novel_spans(text, secrets.base_spans(text))]
+        assert found == [value] * text.count(value), text
+    assigned = f'password = "{value}"\n' + line.format(value, "users")
+    later = line.format(value, "users") + f"then {value} was sent\n" + line.format(value, "orders")
+    docs = documents(spark, [(i, x, "en", "s", 1) for i, x in enumerate([*texts, assigned, later])])
+    clean = {r["doc_id"]: r["text"] for r in secrets.redact(docs).collect()}
+    assert not any(value in clean[i] for i in range(len(texts) + 1)) and clean[len(texts) + 1].count(value) == 1
+    name = "the bearer of access 2024_quarterly_report_2024_quarterly_report_2024_quarterly_report is known"
+    assert secrets.novel_spans(name, []) == []
+
+
 def test_secret_rows_and_redaction(spark, odd, real):
     got = {r["doc_id"]: r for r in secrets.scan(real).collect()}
     for i, t in texts(real):
