@@ -31,9 +31,9 @@ IDENTIFIERS = (
     "xxxxxxxxxxxxxxxxxxxxxxxx 0123456789abcdef 1234567890 abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ 00000000000000000000000000000000 "
     "environment configuration connection_string database_url localhost application development production settings default_value"
 )
-#: Characters after a sensitive word in which a candidate may begin; characters around it that prime the compressor; least share of
-#: its bytes that it must add.
-REACH, AROUND, LEAST_NOVEL = 48, 512, 0.6
+#: Most characters between a sensitive word and a candidate, and least ones of a candidate; characters around it that prime the
+#: compressor; least share of its bytes that it must add.
+REACH, LEAST_LENGTH, AROUND, LEAST_NOVEL = 48, 16, 512, 0.6
 
 
 def added_bytes(before: str, candidate: str, after: str) -> int:
@@ -61,7 +61,7 @@ def candidates(text: str) -> list[tuple[int, int]]:
     """(start, end) of the strings that begin shortly after a sensitive word, in order."""
     out, done = [], 0
     for word in SENSITIVE.finditer(text):
-        for m in CANDIDATE.finditer(text, max(word.end(), done), min(len(text), word.end() + REACH)):
+        for m in CANDIDATE.finditer(text, max(word.end(), done), min(len(text), word.end() + REACH + LEAST_LENGTH)):
             m = CANDIDATE.match(text, m.start()) or m  # to its own end, beyond the reach
             if m.start() >= done:
                 done = m.end()

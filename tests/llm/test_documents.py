@@ -157,6 +157,15 @@ def test_novel_strings_are_reported_and_known_ones_are_not():
     assert secrets.novel_spans(twice, []) == []
 
 
+def test_candidates_begin_anywhere_within_the_reach():
+    told = "credential of the production database is now: Xk39fQpL82mZtRw7YbN4"
+    for value in ("Xk39fQpL82mZtRw7YbN4", "Xk39fQpL82mZtRw7", "Xk39fQpL82mZtRw7YbN4Gh5Jd6Sa1Pq0Vn8Cm3Ke2Ub9Ti"):
+        for offset in range(50):
+            text = "the bearer" + (" of" * 17)[:max(0, offset - 1)] + " " * bool(offset) + value + " thanks"
+            assert [text[a:b] for a, _, b in secrets.novel_spans(text, [])] == [value] * (offset <= 48), (offset, value)
+    assert [told[a:b] for a, _, b in secrets.novel_spans(told, [])] == ["Xk39fQpL82mZtRw7YbN4"]
+
+
 def test_repeated_secrets_are_reported_at_each_place(spark):
     value = "Zx8Qp2Lk9Vt4Rw7Nm1Bc6Yd3"
     line = 'curl -H "Authorization: Bearer {}" https://api.example.com/v1/{}\n'
