@@ -195,6 +195,17 @@ def link_documents(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT)
     A row without words or with a null text links with nothing, nor does a row without doc_id (its component is null). Rows
     that repeat a text are copies; rows that repeat a doc_id are judged one by one and share the number.
     """
+    rows, labels = _linked(docs, size, percent)
+    return _numbered(rows, labels)
+
+
+def _numbered(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    return rows.join(labels, "node", "left").select(
+        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id")).alias("component_id"))
+
+
+def _linked(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The sets of all rows, and (node, least doc_id, component) of each set."""
     rows = staged(sets_of(docs, size), "shingle-sets")
     named = rows.filter("doc_id IS NOT NULL AND node IS NOT NULL")
     points = staged(named.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n"), F.min("check").alias("check"), F.max("check").alias("other")), "points")
@@ -215,11 +226,11 @@ def link_documents(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT)
     if found is not None:
         joint = labels.join(found, "node")
         least = joint.groupBy("component").agg(F.min("doc_id").alias("least"))
-        labels = labels.join(joint.join(least, "component").select("node", "least"), "node", "left").select("node", F.coalesce("least", "doc_id").alias("least"))
+        labels = labels.join(joint.join(least, "component").select("node", "least", "component"), "node", "left").select(
+            "node", F.coalesce("least", "doc_id").alias("least"), F.coalesce("component", "node").alias("component"))
     else:
-        labels = labels.select("node", F.col("doc_id").alias("least"))
-    return rows.join(staged(labels, "labels"), "node", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id")).alias("component_id"))
+        labels = labels.select("node", F.col("doc_id").alias("least"), F.col("node").alias("component"))
+    return rows, staged(labels, "labels")
 
 
 def region_links(sets: DataFrame, percent: int) -> DataFrame:
@@ -300,12 +311,32 @@ def _spanning(rows: pa.Table, percent: int) -> pa.RecordBatch:
 
 
 def one_of_each_group(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The rows of `docs` whose doc_id is the smallest of its group; of rows that repeat a doc_id one stays. Rows without doc_id stay."""
-    linked = link_documents(docs, size, percent)
-    keep = staged(linked.filter("doc_id = component_id").select("doc_id").distinct(), "representatives")
+    """One row of `docs` for each group, of the smallest doc_id in it. Rows that repeat a doc_id are judged one by one: those of
+    different groups all stay, of those in one group the one with the smallest set key. Rows without doc_id stay."""
+    rows, labels = _linked(docs, size, percent)
+    keep = staged(_numbered(rows, labels).filter("doc_id = component_id").select("doc_id").distinct(), "representatives")
     named = docs.join(keep, "doc_id", "left_semi").select(*docs.columns)
-    again = named.groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    again = staged(named.groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated-ids")
     if again.isEmpty():
         return named.union(docs.filter("doc_id IS NULL"))
-    twice = named.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.join(again, "doc_id", "left_anti").select(*docs.columns).union(twice.select(*docs.columns)).union(docs.filter("doc_id IS NULL"))
+    own = rows.join(again, "doc_id", "left_semi").join(labels, "node", "left").filter("node IS NULL OR least = doc_id")
+    chosen = staged(own.groupBy("doc_id", "component").agg(F.min("node").alias("node")).select("doc_id", "node"), "chosen-sets")
+    twice = _with_node(named.join(again, "doc_id", "left_semi").select(*docs.columns), size)
+    same = (twice["row.doc_id"].cast("long") == chosen["doc_id"]) & twice["node"].eqNullSafe(chosen["node"])
+    one = twice.join(chosen, same, "left_semi").withColumn("_id", F.col("row.doc_id")).dropDuplicates(["_id", "node"]).select("row.*")
+    return named.join(again, "doc_id", "left_anti").select(*docs.columns).union(one).union(docs.filter("doc_id IS NULL"))
+
+
+def _with_node(docs: DataFrame, size: int) -> DataFrame:
+    """(row, node) with the key of each row's set, null without words."""
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes = []
+            for text in batch["_text"]:
+                raw = (text.as_py() or "").encode()
+                names, first = shingle_sets(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), size)
+                nodes.append(int(set_keys(names, first)[0].view(np.int64)[0]) if len(names) else None)
+            yield pa.RecordBatch.from_arrays([batch["row"], pa.array(nodes, pa.int64())], ["row", "node"])
+
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("text").cast("string").alias("_text"))
+    return rows.mapInArrow(build, rows.select("row", F.lit(None).cast("long").alias("node")).schema)

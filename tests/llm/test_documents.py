@@ -390,6 +390,20 @@ def test_one_of_each_group(spark, odd):
     same_with_odd_columns(jaccard_join.link_documents, odd)
 
 
+def test_rows_that_share_an_id_are_judged_one_by_one(spark):
+    one, two, three = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
+    near = two + " more"
+    rows = [(1, one), (2, two), (2, three), (2, near), (3, three), (2, three), (4, one), (5, "own text of five"), (5, "another text of five"), (6, None), (6, ""), (6, "words of six")]
+    docs = documents(spark, [(i, x, "en", "s", 1) for i, x in rows])
+    for parts in (1, 3, 7):
+        got = [(r["doc_id"], r["text"] or "") for r in jaccard_join.one_of_each_group(docs.repartition(parts)).collect()]
+        assert sorted(x for x in got if x[0] != 2) == [(1, one), (5, "another text of five"), (5, "own text of five"), (6, ""), (6, "words of six")]
+        second = sorted(x for i, x in got if i == 2)
+        assert second in ([two, three], [three, two], sorted([near, three]))
+        assert parts == 1 or second == before
+        before = second
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.sets(st.integers(0, 2**63), min_size=1, max_size=120), st.integers(0, 200), st.sampled_from([80, 90]))
 def test_sets_within_the_limit_share_a_cell(base, edits, percent):
