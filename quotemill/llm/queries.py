@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_chunks, divergence, itq, jaccard_join, licences, mixing, secrets, suffix_dedup, toxicity, warc
+from . import bpe_chunks, divergence, fill_middle, itq, jaccard_join, licences, mixing, piece_codec, secrets, suffix_dedup, toxicity, turn_repair, warc
 from .common import table
 
 
@@ -49,9 +49,21 @@ def op10_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.derive(warc.responses(table(spark, sf_dir, "pages")))
 
 
+def op11_turn_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.repair_conversations(turn_repair.damage(table(spark, sf_dir, "conversations")))
+
+
+def op12_skip_list_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digests(table(spark, sf_dir, "documents"))
+
+
+def op13_piece_backtracking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_codec.encode_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_jaccard_join, op3_suffix_doubling, op4_distribution_divergence, op5_bpe_chunk_reuse, op6_secret_novelty, op7_poisson_mixing, op8_licence_index, op9_itq_near_duplicates,
-    op10_warc_derivatives,
+    op10_warc_derivatives, op11_turn_alignment, op12_skip_list_fim, op13_piece_backtracking,
 )}
 #: The other queries train, compress, hash bytes or encode; tests hold them against brute force.
-ORACLES: dict[str, str] = {"op7_poisson_mixing": mixing.ORACLE}
+ORACLES: dict[str, str] = {"op7_poisson_mixing": mixing.ORACLE, "op12_skip_list_fim": fill_middle.ORACLE}
