@@ -251,8 +251,7 @@ def resume_actions(planned: DataFrame, log: DataFrame) -> DataFrame:
 def reset_failed(log: DataFrame, version: int | Column) -> DataFrame:
     """New pending versions of the failed units, one attempt further, ready to append. The version may be
     an expression over the old `_version`."""
-    kept = log.select(*STATE.keys, "status", "attempts", STATE.version)
-    failed = current(kept, STATE.keys).filter(F.col("status") == "failed")
+    failed = units(log, "status", "attempts", STATE.version).filter(F.col("status") == "failed")
     never = F.lit(NEVER).cast("timestamp_ntz")
     return failed.select(
         *STATE.keys,
@@ -267,8 +266,9 @@ def reset_failed(log: DataFrame, version: int | Column) -> DataFrame:
 
 
 def stale_units(log: DataFrame, as_of: Column, minutes: int = 10, version: Column | int | None = None) -> DataFrame:
-    """New partial versions of running units whose heartbeat is too old."""
-    rows = units(log, "status", "rows", "last_success_at", "heartbeat_at", "attempts").filter(
+    """New partial versions of running units whose heartbeat is too old. The version is that of `as_of` unless given; it may be an expression
+    over the old `_version`."""
+    rows = units(log, "status", "rows", "last_success_at", "heartbeat_at", "attempts", STATE.version).filter(
         (F.col("status") == "running") & (F.col("heartbeat_at") < as_of - F.expr(f"interval {minutes} minutes"))
     )
     stamp = F.unix_millis(as_of.cast("timestamp")) if version is None else version

@@ -6,13 +6,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..model import STATE
-from ..operators import calls
-from ..operators.versions import current
+from ..operators import calls, state
 from ..session import scratch_path
 from ..sources.domain import Domain
 from ..streaming import sink, stale, upsert, windows
-from .data_queries import HOURLY, RPM, SLIDING, SPLIT, capped_sql
+from .data_queries import HOURLY, RPM, SLIDING, SPLIT, STALE, capped_sql
 from .registry import query
+from .state_queries import NOW, as_of
 
 
 def _events(t):
@@ -57,16 +57,20 @@ def _(t):
     return windows.windowed(_calls(t), *_folders(t, "sliding"), "60 seconds", F.count(F.lit(1)).alias("calls"), slide="10 seconds", by=("bucket",))
 
 
-@query("r5_stream_stale_units", """SELECT interface, scope_key, 'partial' AS status, rows, epoch_us(heartbeat_at) // 1000 AS heartbeat_ms,
-  attempts, 'heartbeat timeout' AS last_error, _version FROM units
-  WHERE status = 'running' AND epoch_us(heartbeat_at) // 1000 + 600000 < (SELECT epoch_us(max(heartbeat_at)) // 1000 - 60000 FROM state_log)""")
+@query("r5_stream_stale_units", STALE)
 def _(t):
-    log = Domain.state_from(_events(t))
-    path = scratch_path(t.spark, "stale")
-    sink.drain(stale.flag_stale(log), f"{path}/rows", f"{path}/checkpoint", "append")
-    flags = sink.read(t.spark, f"{path}/rows").drop(sink.BATCH)
-    newest = current(t.state_log.select(*STATE.keys, STATE.version), STATE.keys)
-    return flags.join(newest, [*STATE.keys, STATE.version], "left_semi")
+    rows, checkpoint = _folders(t, "stale")
+    stale.follow(Domain.state_from(_events(t)), rows, checkpoint)
+    return stale.flag_stale(t.spark, rows, as_of())
+
+
+@query("r5_stream_flagged_log", f"""SELECT status, count(*) AS units, CAST(sum(rows) AS BIGINT) AS total_rows FROM (
+  SELECT CASE WHEN status = 'running' AND heartbeat_at < {NOW} - INTERVAL 10 MINUTE THEN 'partial' ELSE status END AS status, rows FROM units) GROUP BY status""")
+def _(t):
+    # The flags are versions like any other: appended to the log, they make their units partial.
+    rows, checkpoint = _folders(t, "stale")
+    stale.follow(Domain.state_from(_events(t)), rows, checkpoint)
+    return state.by_status(t.state_log.unionByName(stale.flag_stale(t.spark, rows, as_of())))
 
 
 @query("r6_stream_upsert", "SELECT * FROM units")

@@ -2,46 +2,47 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..model import STATE
+from ..operators.state import stale_units
+from ..operators.versions import current
+from . import sink
+
+COLUMNS = (*STATE.keys, "status", "rows", "last_success_at", "heartbeat_at", "attempts", "last_error", STATE.version)
+
+
+def follow(log: DataFrame, path: str, checkpoint: str) -> None:
+    """Keep the newest version of each unit that a micro-batch brings.
+
+    The rows are resolved on the map side before they move, so a unit with very many versions costs one row a task. There is no
+    watermark: a file that is read late, with whatever event times, still counts.
+    """
+    sink.drain(log, path, checkpoint, "append", lambda batch: current(batch.select(*COLUMNS), STATE.keys))
+
+
+def board(spark: SparkSession, path: str) -> DataFrame:
+    """The newest version of each unit followed so far."""
+    return current(sink.read(spark, path).drop(sink.BATCH), STATE.keys)
 
-OUTPUT = "interface string, scope_key string, status string, rows bigint, heartbeat_ms bigint, attempts int, last_error string, _version bigint"
-KEPT = "version bigint, status string, rows bigint, heartbeat_ms bigint, attempts int"
+
+def flag_stale(spark: SparkSession, path: str, as_of: Column | None = None, minutes: int = 10, version: Column | int | None = None) -> DataFrame:
+    """A full `partial` version, ready to append to the log, of every followed unit that is still `running` with a heartbeat more than
+    `minutes` before `as_of`, or before the newest heartbeat of any unit. Whatever the order of arrival, an older version never
+    revives a unit, and the flag is newer than the row that it judges.
+    """
+    rows = board(spark, path)
+    clock = as_of if as_of is not None else rows.agg(F.max("heartbeat_at")).scalar()
+    if version is None:
+        version = F.greatest(F.unix_millis(clock.cast("timestamp")), F.col(STATE.version) + 1)
+    return stale_units(rows, clock, minutes, version)
 
 
-def flag_stale(log: DataFrame, minutes: int = 10, delay: str = "1 minute") -> DataFrame:
-    """A partial version for every unit that stays in `running` while event time moves `minutes` past its
-    last heartbeat.
+def release(spark: SparkSession, path: str, to: str) -> None:
+    """Write what was followed to a new path, one row for each unit; later batches may go on there.
 
-    State is the newest version of a unit, so an older one arriving late cannot revive it. Each flag
-    carries the version of the row it judges; it stands while that row is the newest.
+    Of units that have ended (`done` or `biz_err`) only key, status and version stay, so that a late older version is known as such.
     """
-    wait = minutes * 60_000
-
-    def step(key: tuple[str, str], batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            version, status, rows, heartbeat, attempts = state.get
-            state.update((version, "partial", rows, heartbeat, attempts))
-            yield pd.DataFrame([(*key, "partial", rows, heartbeat, attempts, "heartbeat timeout", version)],
-                               columns=["interface", "scope_key", "status", "rows", "heartbeat_ms", "attempts", "last_error", "_version"])
-            return
-        newest = state.get if state.exists else None
-        for batch in batches:
-            row = batch.loc[batch["_version"].idxmax()]
-            if newest is None or row["_version"] > newest[0]:
-                newest = (int(row["_version"]), row["status"], None if pd.isna(row["rows"]) else int(row["rows"]), int(row["heartbeat_ms"]), int(row["attempts"]))
-        state.update(newest)
-        if newest[1] == "running":
-            state.setTimeoutTimestamp(max(newest[3] + wait, state.getCurrentWatermarkMs() + 1))
-        yield from ()
-
-    at = F.col("heartbeat_at").cast("timestamp")
-    rows = log.select(*STATE.keys, "status", "rows", "attempts", STATE.version, at.alias("at"), F.unix_millis(at).alias("heartbeat_ms"))
-    return rows.withWatermark("at", delay).groupBy(*STATE.keys).applyInPandasWithState(
-        step, OUTPUT, KEPT, "append", GroupStateTimeout.EventTimeTimeout
-    )
+    ended, kept = F.col("status").isin("done", "biz_err"), (*STATE.keys, "status", STATE.version)
+    rows = board(spark, path).select(*[F.col(c) if c in kept else F.when(~ended, F.col(c)).alias(c) for c in COLUMNS])
+    rows.write.mode("overwrite").parquet(f"{to}/{sink.BATCH}=-1")

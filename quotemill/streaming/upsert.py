@@ -17,9 +17,9 @@ from . import sink
 def upsert(spark: SparkSession, stream: DataFrame, keys: Sequence[str], path: str, checkpoint: str,
            version: str = VERSION) -> DataFrame:
     """Append row versions batch by batch and return the current rows. Order of arrival does not matter:
-    a late, older version never replaces a newer one, and no row is too late. Exact replays are dropped inside a
-    micro-batch; those in different ones resolve to the same row."""
-    sink.drain(stream, path, checkpoint, "append", lambda batch: batch.dropDuplicates([*keys, version]))
+    a late, older version never replaces a newer one, and no row is too late. Rows equal in every column are dropped inside a
+    micro-batch; rows that tie on the version are kept and resolve by the rule of `current`, as they do in a batch."""
+    sink.drain(stream, path, checkpoint, "append", lambda batch: batch.dropDuplicates())
     return current(sink.read(spark, path).drop(sink.BATCH), keys, version)
 
 

@@ -4,7 +4,8 @@ import random
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quotemill.operators import calls
+from quotemill.operators import calls, state
+from quotemill.operators.versions import current
 from quotemill.streaming import sink, stale, upsert, windows
 
 from .conftest import rows
@@ -98,10 +99,27 @@ def test_stale_flags(spark, tmp_path):
         [unit("b", "b:1", "running", 1, at=at(14))],  # late: older than the known version
         [unit("e", "e:1", "running", 5, at=at(15))],
     ]
-    stream = feed(spark, str(tmp_path / "in"), batches, LOG_SCHEMA)
-    sink.drain(stale.flag_stale(stream), str(tmp_path / "out"), str(tmp_path / "cp"), "append")
-    got = sink.read(spark, str(tmp_path / "out"))
-    assert rows(got.select("scope_key", "status", "last_error", "_version")) == [("b:1", "partial", "heartbeat timeout", 2)]
+    log = spark.createDataFrame([r for batch in batches for r in batch], LOG_SCHEMA)
+    want = rows(state.stale_units(log, F.lit(at(15)).cast("timestamp_ntz"), version=99))
+    assert [r[1] for r in want] == ["b:1"]
+    for name, order in (("on", batches), ("back", batches[::-1])):
+        stream = feed(spark, str(tmp_path / f"in-{name}"), order, LOG_SCHEMA)
+        stale.follow(stream, str(tmp_path / name), str(tmp_path / f"cp-{name}"))
+        assert rows(stale.flag_stale(spark, str(tmp_path / name), version=99)) == want
+        # The flag is a version of the log: it makes the unit partial, whatever the clock of its row.
+        flags = stale.flag_stale(spark, str(tmp_path / name))
+        after = state.units(log.unionByName(flags), "status")
+        assert rows(after.filter("status = 'partial'").select("scope_key")) == [("b:1",)] and rows(after.filter("status = 'running'").select("scope_key")) == [("d:1",), ("e:1",)]
+        stale.release(spark, str(tmp_path / name), str(tmp_path / f"small-{name}"))
+        assert rows(stale.flag_stale(spark, str(tmp_path / f"small-{name}"), version=99)) == want
+        assert stale.board(spark, str(tmp_path / f"small-{name}")).filter("scope_key = 'a:1'").first()["heartbeat_at"] is None
+
+
+def test_ties_resolve_on_a_stream_as_in_a_batch(spark, tmp_path):
+    tied = [unit("a", f"a:{k % 3}", "done", 1, error=f"e{k}") for k in range(24)]
+    stream = feed(spark, str(tmp_path / "in"), [tied[k::4] + tied[k::4] for k in range(4)], LOG_SCHEMA)
+    got = upsert.upsert(spark, stream, ["interface", "scope_key"], str(tmp_path / "out"), str(tmp_path / "cp"))
+    assert rows(got) == rows(current(spark.createDataFrame(tied, LOG_SCHEMA), ["interface", "scope_key"]))
 
 
 def test_load_stream_takes_each_file_once(spark, tmp_path):

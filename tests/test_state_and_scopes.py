@@ -83,6 +83,12 @@ def test_reset_and_resume(log, spark):
     assert rows(keep) == [("income", "income:20231231")] and rows(orphans.select("scope_key")) == [("basic:full",)]
 
 
+def test_a_reset_sees_the_row_that_the_counts_see(spark):
+    tied = spark.createDataFrame([unit("a", f"a:{k // 2}", ("failed", "done")[k % 2], 1, n=k, error=f"e{k}") for k in range(80)], LOG_SCHEMA)
+    counted = {r["status"]: r["units"] for r in state.by_status(tied).collect()}
+    assert 0 < counted["failed"] < 40 and state.reset_failed(tied, 2).count() == counted["failed"]
+
+
 def test_stale_units(log):
     as_of = F.lit("2024-01-10 12:10:01").cast("timestamp_ntz")
     assert [(r["scope_key"], r["status"], r["last_error"]) for r in state.stale_units(log, as_of).collect()] == [("daily:20240110", "partial", "heartbeat timeout")]
