@@ -116,6 +116,20 @@ def test_sql_gate_reads_no_paths_and_calls_no_methods(spark, tmp_path):
     assert spark.sql(f"SELECT * FROM parquet.`{tmp_path}/t`").count() == 1
 
 
+@pytest.mark.parametrize("text", [
+    "SELECT * FROM gate_secret", "SELECT 1 FROM gate_bars WHERE EXISTS (SELECT 1 FROM gate_secret)", "SELECT (SELECT max(id) FROM gate_secret) FROM gate_bars",
+    "WITH gate_secret AS (SELECT * FROM gate_secret) SELECT * FROM gate_secret", "SELECT * FROM gate_bars, LATERAL (SELECT * FROM gate_secret)",
+    "SELECT * FROM (WITH gate_secret AS (SELECT 1) SELECT * FROM gate_secret), gate_secret", "SELECT * FROM default.gate_bars", "SELECT * FROM range(5)",
+    "SELECT * FROM IDENTIFIER('gate_secret')", "SELECT TRANSFORM(*) USING 'cat' FROM gate_bars", "DESCRIBE gate_secret", "DESCRIBE QUERY SELECT * FROM gate_secret",
+    "SHOW CREATE TABLE gate_secret", "WITH a AS (SELECT 1) SELECT * FROM gate_bars UNION ALL SELECT * FROM gate_secret",
+])
+def test_sql_gate_reads_the_given_views_only(spark, bars, text):
+    spark.range(3).createOrReplaceTempView("gate_secret")
+    with pytest.raises(ValueError, match="allowed|given"):
+        query_sql(spark, text, views={"gate_bars": bars})
+    spark.catalog.dropTempView("gate_secret")
+
+
 @pytest.mark.parametrize("text", [
     "DROP TABLE gate_bars", "INSERT INTO gate_bars VALUES (1)", "SELECTED x", "; SELECT 1", "DELETE FROM gate_bars",
     "CREATE TABLE t AS SELECT 1", "",
