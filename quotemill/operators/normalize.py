@@ -61,10 +61,10 @@ def normalize(df: DataFrame, schema: T.StructType) -> DataFrame:
     its type. Columns outside the schema pass through, parsed only when named like a date.
     """
     declared = {f.name: f for f in schema.fields}
-    # Two projections: Catalyst keeps them apart because the parsed values are used more than once above.
-    parsed = df.select("*", *[
+    # A generator of one row is a barrier: no filter or projection above it repeats the parsing below.
+    parsed = df.select("*", F.inline(F.array(F.struct(*[
         typed_value(f.name, declared.get(f.name), f.dataType).alias(f"_v_{f.name}") for f in df.schema.fields
-    ])
+    ])))) if df.columns else df
     values, rejects = [], []
     for source in df.schema.fields:
         name, field, value = source.name, declared.get(source.name), F.col(f"_v_{source.name}")
@@ -76,7 +76,8 @@ def normalize(df: DataFrame, schema: T.StructType) -> DataFrame:
         if field is not None and not field.nullable:
             if is_text:
                 value = F.when(stripped(value) != "", value)
-            default = _default(T.DateType() if day else field.dataType)
+            # A column named like a date becomes one unless it is declared text, which stays text.
+            default = _default(T.DateType() if day and not isinstance(field.dataType, T.StringType) else field.dataType)
             if default is not None:
                 value = F.coalesce(value, default)
         values.append(value.alias(name))

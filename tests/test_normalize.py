@@ -129,6 +129,18 @@ def test_declared_text_with_a_date_name_stays_text(spark):
     assert out["update_flag"] == "2024-01-02" and isinstance(out["end_date"], str | None) and out["_rejects"] == ["end_date"]
 
 
+def test_required_text_with_a_date_name_stays_text(spark):
+    for raw, want in (("20240102", "2024-01-02"), ("1", ""), ("", ""), (None, "")):
+        assert one(spark, {"update_flag": raw}, T.StructField("update_flag", T.StringType(), False))["update_flag"] == want
+
+
+def test_a_filter_does_not_repeat_the_parsing(spark):
+    df = spark.createDataFrame([("x", "2024-01-02", "1.5")], "k string, end_date string, amount string")
+    schema = T.StructType([T.StructField("end_date", T.DateType()), T.StructField("amount", T.DoubleType())])
+    plain, kept = (x._jdf.queryExecution().optimizedPlan().toString() for x in (normalize(df, schema), normalize(df, schema).filter(F.size("_rejects") > 0)))
+    assert kept.count("translate(") == plain.count("translate(") > 0 and "Filter" in kept
+
+
 def test_drift_survives_a_value_the_type_cannot_hold(spark):
     out = with_drift(spark.createDataFrame([("a", 1.0)], "k string, v double"), spark.createDataFrame([("b", "n/a")], "k string, v string"))
     assert sorted(tuple(r) for r in out.collect()) == [("a", 1.0), ("b", None)]
