@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import day_text, quarter_ends
@@ -14,7 +14,7 @@ from ..functions.units import readable_quantity
 from ..model import SCOPE_DATE_COLUMNS, TableSpec, VERSION
 from .calendar import latest_trade_date, trade_dates
 from .state import with_state_counts
-from .versions import current, scope_keys, scope_shapes
+from .versions import SHAPE, current, same_scope, scope_names, scope_shapes, scope_values, with_scope
 
 
 def union_all(parts: Sequence[DataFrame]) -> DataFrame:
@@ -56,6 +56,21 @@ def gap_report(gaps: DataFrame, cal: DataFrame) -> DataFrame:
     ).withColumn("date_range", bounds.scalar())
 
 
+def gap_runs(gaps: DataFrame, cal: DataFrame, min_days: int = 1) -> DataFrame:
+    """Runs of consecutive missing open days per dataset: first and last day and how many open days; runs of fewer than `min_days` are noise.
+
+    Islands by ordinals: the number of an open day less the number of a missing day within its dataset is the same along a run. Both
+    windows are as long as the calendar.
+    """
+    opened = cal.filter(F.col("is_open") == 1).select(F.col("cal_date").alias("day")).distinct()
+    numbered = opened.agg(F.array_sort(F.collect_list("day")).alias("days")).select(F.posexplode("days").alias("ordinal", "day"))
+    along = Window.partitionBy("dataset").orderBy("day")
+    runs = gaps.join(numbered, "day").withColumn("run", F.col("ordinal") - F.row_number().over(along))
+    return runs.groupBy("dataset", "run").agg(
+        F.min("day").alias("first_day"), F.max("day").alias("last_day"), F.count(F.lit(1)).alias("open_days"),
+    ).filter(F.col("open_days") >= min_days).drop("run")
+
+
 def period_gaps(df: DataFrame, by: str, period: str = "end_date", declared: DataFrame | None = None) -> DataFrame:
     """Quarter ends missing per dataset, from the first to the last full year seen.
 
@@ -126,35 +141,65 @@ def fingerprint_audit(tables: Mapping[str, tuple[DataFrame, TableSpec]], cal: Da
     return union_all(parts)
 
 
+def day_fingerprints(df: DataFrame, spec: TableSpec, columns: Sequence[str], portable: bool = False) -> DataFrame:
+    """(day, row_count, fingerprint, max_version) of the current rows of every day of a dated table."""
+    rows = current(df.select(*dict.fromkeys([*spec.keys, spec.date_column, *columns, spec.version])), spec.keys)
+    return fingerprint(rows, [spec.date_column], columns, spec.version, portable).withColumnRenamed(spec.date_column, "day")
+
+
+def advance_fingerprints(days: DataFrame, before: DataFrame, appended: DataFrame, spec: TableSpec, columns: Sequence[str], portable: bool = False) -> DataFrame:
+    """Day fingerprints after an append, from those before it: only keys with appended versions are read and hashed.
+
+    XOR is its own inverse: rows that are superseded go out by being added once more, and their successors come in. The
+    date column must be a key, so that a row never changes its day; `before` is the log without the appended rows.
+    """
+    keys = list(spec.keys)
+    needed = list(dict.fromkeys([*keys, spec.date_column, *columns, spec.version]))
+    touched = before.select(*needed).join(appended.select(*keys).distinct(), keys, "left_semi")
+    old = day_fingerprints(touched, spec, columns, portable)
+    new = day_fingerprints(touched.unionByName(appended.select(*needed)), spec, columns, portable)
+    parts = union_all([days, new, old.withColumn("row_count", -F.col("row_count"))])
+    return parts.groupBy("day").agg(
+        F.sum("row_count").alias("row_count"), F.bit_xor("fingerprint").alias("fingerprint"), F.max("max_version").alias("max_version"),
+    ).filter(F.col("row_count") > 0)
+
+
+def run_differences(first: DataFrame, second: DataFrame) -> DataFrame:
+    """Where two runs' fingerprints (dataset, day, row_count, fingerprint) disagree; empty when the data stayed the same."""
+    left = first.select("dataset", "day", F.col("row_count").alias("first_rows"), F.col("fingerprint").alias("first_print"))
+    right = second.select("dataset", "day", F.col("row_count").alias("second_rows"), F.col("fingerprint").alias("second_print"))
+    both = left.join(right, ["dataset", "day"], "full")
+    differs = ~(F.col("first_print").eqNullSafe(F.col("second_print")) & F.col("first_rows").eqNullSafe(F.col("second_rows")))
+    return both.filter(differs).select("dataset", "day", F.coalesce("first_rows", F.lit(0)).alias("first_rows"), F.coalesce("second_rows", F.lit(0)).alias("second_rows"))
+
+
 def scope_counts(units: DataFrame, data: DataFrame, keys: Sequence[str], date_column: str | None = None) -> DataFrame:
     """Current rows found for each unit's scope, with the range of a date column.
 
-    Units carry unit_id and the nullable scope columns. Data are aggregated once per scope shape and
-    joined on equality, never row by row. A unit without any scope column owns the whole table.
+    Units carry unit_id and the nullable scope columns. One pass over the data counts every scope shape as a grouping set, and one join on
+    shape and values answers all units. A unit without any scope column owns the whole table; one that sets only columns the table lacks is left out.
     """
     used = {c for c in (*units.columns, date_column) if c in data.columns}
     if "period" in units.columns:
         used.add("end_date")
     # When a scope is told by key columns alone, distinct keys count the same as resolved rows, at less cost.
     rows = data.select(*keys).distinct() if used <= set(keys) else current(data, keys)
-    parts = []
-    for shape, mine in scope_shapes(data, units):
-        names = [f"_s_{c}" for c in shape]
-        extra = [F.min(date_column).alias("min_date"), F.max(date_column).alias("max_date")] if date_column else []
-        found = (
-            rows.select(*scope_keys(rows, shape), *([date_column] if date_column else []))
-            .groupBy(*names).agg(F.count(F.lit(1)).alias("found"), *extra)
-        )
-        parts.append(mine.join(found, names, "left").drop(*names))
-    scope_columns = [c for c in units.columns if c in ("ts_code", "period", *SCOPE_DATE_COLUMNS)]
-    unscoped = units
-    for name in scope_columns:
-        unscoped = unscoped.filter(F.col(name).isNull())
-    unscoped = unscoped.withColumn("found", rows.agg(F.count(F.lit(1))).scalar())
-    if date_column:
-        unscoped = unscoped.withColumn("min_date", rows.agg(F.min(date_column)).scalar())
-        unscoped = unscoped.withColumn("max_date", rows.agg(F.max(date_column)).scalar())
-    return union_all([*parts, unscoped]).fillna({"found": 0})
+    names = scope_names(data, units)
+    columns = [f"_s_{n}" for n in names]
+    extra = [F.min("_date").alias("min_date"), F.max("_date").alias("max_date")] if date_column else []
+    valued = rows.select(*scope_values(names), *([F.col(date_column).alias("_date")] if date_column else []))
+    every = (1 << len(names)) - 1
+    if names:
+        sets = [[F.col(f"_s_{n}") for n in shape] for shape in scope_shapes(names)]
+        found = valued.groupingSets(sets, *columns).agg(F.count(F.lit(1)).alias("found"), *extra, (F.lit(every) - F.grouping_id()).alias(SHAPE))
+    else:
+        found = valued.agg(F.count(F.lit(1)).alias("found"), *extra).withColumn(SHAPE, F.lit(0).cast("bigint"))
+    mine = with_scope(units, names)
+    lacking = [c for c in units.columns if c in ("ts_code", "period", *SCOPE_DATE_COLUMNS) and c not in names]
+    for name in lacking:
+        mine = mine.filter((F.col(SHAPE) > 0) | F.col(name).isNull())
+    out = mine.join(found, same_scope(mine, found, names), "left")
+    return out.select(*units.columns, "found", *(["min_date", "max_date"] if date_column else [])).fillna({"found": 0})
 
 
 def write_check(units: DataFrame, data: DataFrame, keys: Sequence[str], date_column: str | None = None) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
 from ..functions.units import migration_scale, relative_difference
@@ -137,12 +137,17 @@ def sum_check(source: DataFrame, target: DataFrame, columns: Sequence[str], limi
     return joined.withColumn("diff_pct", diff).withColumn("passed", F.col("diff_pct") < limit)
 
 
-def day_checkpoints(current_rows: DataFrame, interface: str, date_column: str | None) -> DataFrame:
-    """One done checkpoint per distinct day with its row count; one `full` row for an undated table."""
+def day_checkpoints(current_rows: DataFrame, interface: str, date_column: str | None, as_of: Column) -> DataFrame:
+    """One done checkpoint per distinct day with its row count; one `full` row for an undated table. The rows have all columns of the
+    load-state log, so they can be appended to it; `as_of` is their moment and gives their version."""
     if date_column is None:
         out = current_rows.agg(F.count(F.lit(1)).alias("rows")).withColumn("scope_key", F.lit("full"))
     else:
         out = current_rows.groupBy(date_column).agg(F.count(F.lit(1)).alias("rows")).withColumn(
             "scope_key", F.concat(F.lit(f"{interface}:"), F.date_format(date_column, "yyyyMMdd"))
         )
-    return out.select(F.lit(interface).alias("interface"), "scope_key", F.lit("done").alias("status"), "rows")
+    moment = as_of.cast("timestamp_ntz")
+    return out.select(
+        F.lit(interface).alias("interface"), "scope_key", F.lit("done").alias("status"), "rows", moment.alias("last_success_at"),
+        moment.alias("heartbeat_at"), F.lit(0).alias("attempts"), F.lit("").alias("last_error"),
+        F.unix_millis(moment.cast("timestamp")).alias(VERSION))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
 
 from ..model import SCOPE_DATE_COLUMNS, VERSION
 from ..session import scratch_path
@@ -92,57 +92,123 @@ def compact(spark: SparkSession, df: DataFrame, keys: Sequence[str], partition:
 
 
 def write_clustered(df: DataFrame, path: str, keys: Sequence[str], partition: str | None = None,
-                    mode: str = "errorifexists") -> None:
-    """Range-cluster by partition and keys, so files carry tight min/max statistics and a partition that
-    holds most rows is still written by many tasks."""
-    by = [c for c in ([partition] if partition else []) + list(keys)]
-    writer = df.repartitionByRange(*by).sortWithinPartitions(*by).write.mode(mode).option("maxRecordsPerFile", 20_000_000)
+                    mode: str = "errorifexists") -> int:
+    """Write rows together by partition (by the first key without one) and sorted by keys, so row groups carry tight statistics; returns how many.
+
+    The rebalancing shuffle reads its input once: nothing is sampled. Adaptive execution splits a partition that holds most rows
+    among many tasks, by measured size, and joins small ones. With mode `overwrite` and a partition, only the partitions that `df` has rows of are
+    replaced, at the commit of the job.
+    """
+    seen = Observation()
+    by = [*([partition] if partition else []), *keys]
+    rows = df.observe(seen, F.count(F.lit(1)).alias("rows")).hint("rebalance", F.col(by[0])).sortWithinPartitions(*by)
+    writer = rows.write.mode(mode).option("maxRecordsPerFile", 20_000_000).option("partitionOverwriteMode", "dynamic" if partition else "static")
     (writer.partitionBy(partition) if partition else writer).parquet(path)
+    return seen.get["rows"]
 
 
-def scope_shapes(df: DataFrame, scopes: DataFrame) -> list[tuple[tuple[str, ...], DataFrame]]:
-    """Split scopes by which columns they set, so each shape is a plain equi-join.
+def compact_months(spark: SparkSession, path: str, keys: Sequence[str], partition: str, since: int, version: str = VERSION) -> list[int]:
+    """Compact, in place, only the partitions that hold a version above `since`; returns their values. The others keep their files.
 
-    Columns: ts_code, the date columns of the model (the first one set counts), and period (eight digits,
-    matched on the month of end_date). Each part keeps all columns of `scopes` and adds the scope values
-    as `_s_` columns. Only shapes the table can answer are produced.
+    The newest rows are written aside first, then replace their partitions in one commit, so an executor or a job that is lost on
+    the way leaves a table that reads the same and can be compacted again.
     """
-    has = [c for c in ("ts_code", *SCOPE_DATE_COLUMNS) if c in scopes.columns and c in df.columns]
-    dates = [c for c in has if c != "ts_code"]
-    by_month = "period" in scopes.columns and "end_date" in df.columns
-    shapes = []
-    for code in ("ts_code", None) if "ts_code" in has else (None,):
-        for date in (*dates, None):
-            for period in ("period", None) if by_month else (None,):
-                shape = tuple(c for c in (code, date, period) if c)
-                if shape:
-                    unset = [c for c in ("ts_code", "period") if c not in shape and (c in has or (c == "period" and by_month))]
-                    unset += dates[: dates.index(date)] if date else dates
-                    keep = F.lit(True)
-                    for name in shape:
-                        keep = keep & F.col(name).isNotNull()
-                    for name in unset:
-                        keep = keep & F.col(name).isNull()
-                    values = [
-                        (F.substring(c, 1, 6) if c == "period" else F.col(c)).alias(f"_s_{c}") for c in shape
-                    ]
-                    shapes.append((shape, scopes.filter(keep).select("*", *values)))
-    return shapes
-
-
-def scope_keys(df: DataFrame, shape: Sequence[str]) -> list[Column]:
-    """The table-side columns of a scope shape."""
-    return [(F.date_format("end_date", "yyyyMM") if c == "period" else F.col(c)).alias(f"_s_{c}") for c in shape]
+    table = spark.read.parquet(path)
+    touched = sorted(r[0] for r in table.filter(F.col(version) > since).select(partition).distinct().collect())  # a calendar's months at most
+    if touched:
+        aside = scratch_path(spark, "compact-months")
+        current(table.filter(F.col(partition).isin(touched)), [partition, *keys], version).write.partitionBy(partition).parquet(aside)
+        rows = spark.read.schema(table.schema).parquet(aside)
+        write_clustered(rows.select(*table.columns), path, keys, partition, mode="overwrite")
+    return touched
+
+
+SHAPE = "_shape"
+
+
+def scope_names(df: DataFrame, scopes: DataFrame) -> list[str]:
+    """The columns by which scopes can name rows of a table: ts_code, the date columns of the model, and period (eight digits,
+    matched on the month of end_date)."""
+    names = [c for c in ("ts_code", *SCOPE_DATE_COLUMNS) if c in scopes.columns and c in df.columns]
+    return [*names, "period"] if "period" in scopes.columns and "end_date" in df.columns else names
+
+
+def scope_shapes(names: Sequence[str]) -> list[tuple[str, ...]]:
+    """Which columns a scope can set together: a code, one date column, a period, each or none."""
+    codes, periods = [[n, None] if n in names else [None] for n in ("ts_code", "period")]
+    dates = [*(n for n in names if n in SCOPE_DATE_COLUMNS), None]
+    return [tuple(c for c in (code, day, period) if c) for code in codes for day in dates for period in periods]
+
+
+def shape_number(names: Sequence[str], shape: Sequence[str]) -> int:
+    """The shape as bits, the first name's the highest, as grouping_id counts them."""
+    return sum(1 << (len(names) - 1 - i) for i, n in enumerate(names) if n in shape)
+
+
+def with_scope(scopes: DataFrame, names: Sequence[str]) -> DataFrame:
+    """`scopes` with the values that count, as `_s_` columns (the first date column that is set; the month of a period), and their shape."""
+    values: dict[str, Column] = {}
+    earlier = F.lit(True)
+    for name in names:
+        value = F.col(name)
+        if name in SCOPE_DATE_COLUMNS:
+            value, earlier = F.when(earlier, value), earlier & value.isNull()
+        values[name] = F.substring(value, 1, 6) if name == "period" else value
+    shape = F.lit(0)
+    for name, value in values.items():
+        shape = shape + F.when(value.isNotNull(), shape_number(names, [name])).otherwise(0)
+    return scopes.select("*", *[v.alias(f"_s_{n}") for n, v in values.items()], shape.cast("bigint").alias(SHAPE))
+
+
+def scope_values(names: Sequence[str]) -> list[Column]:
+    """The table's side of the same columns."""
+    return [(F.date_format("end_date", "yyyyMM") if n == "period" else F.col(n)).alias(f"_s_{n}") for n in names]
+
+
+def same_scope(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
+    same = left[SHAPE] == right[SHAPE]
+    for n in names:
+        same = same & left[f"_s_{n}"].eqNullSafe(right[f"_s_{n}"])
+    return same
+
+
+def _named(df: DataFrame, scopes: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
+    """The rows of `df` with their scope values, and the distinct scope values that some scope names."""
+    names = scope_names(df, scopes)
+    rows = df.select("*", *scope_values(names))
+    columns = [f"_s_{n}" for n in names]
+    # Every value tuple once for each shape it could be named by; columns outside the shape are null, as on the scopes' side.
+    forms = F.explode(F.array(*[
+        F.struct(F.lit(shape_number(names, shape)).cast("bigint").alias(SHAPE),
+                 *[(F.col(f"_s_{n}") if n in shape else F.lit(None)).cast(rows.schema[f"_s_{n}"].dataType).alias(f"_f_{n}") for n in names])
+        for shape in scope_shapes(names) if shape]))
+    tuples = rows.select(*columns).distinct().withColumn("_form", forms).select(*columns, "_form.*")
+    wanted = with_scope(scopes, names).filter(F.col(SHAPE) > 0).select(SHAPE, *columns).distinct()
+    hit = tuples[SHAPE] == wanted[SHAPE]
+    for n in names:
+        hit = hit & tuples[f"_f_{n}"].eqNullSafe(wanted[f"_s_{n}"])
+    return rows, tuples.join(wanted, hit, "left_semi").select(*columns).distinct(), columns
+
+
+def _scoped(df: DataFrame, scopes: DataFrame, how: str) -> DataFrame:
+    if not scope_names(df, scopes):
+        return df if how == "left_anti" else df.limit(0)
+    rows, named, columns = _named(df, scopes)
+    same = F.lit(True)
+    for c in columns:
+        same = same & rows[c].eqNullSafe(named[c])
+    return rows.join(named, same, how).select(*df.columns)
 
 
 def delete_scopes(df: DataFrame, scopes: DataFrame) -> DataFrame:
     """Rows outside every scope. A scope names a code, the first date column it sets, and/or a period
-    month; a scope that names nothing deletes nothing."""
-    for shape, part in scope_shapes(df, scopes):
-        names = [f"_s_{c}" for c in shape]
-        doomed = part.select(*names).distinct()
-        df = df.select("*", *scope_keys(df, shape)).join(doomed, names, "left_anti").select(*df.columns)
-    return df
+    month; a scope that names nothing deletes nothing. Whatever shapes the scopes have, the table takes part in one join."""
+    return _scoped(df, scopes, "left_anti")
+
+
+def within_scopes(df: DataFrame, scopes: DataFrame) -> DataFrame:
+    """Rows that some scope names: those that `delete_scopes` leaves out."""
+    return _scoped(df, scopes, "left_semi")
 
 
 def duplicate_ratio(tables: dict[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from ..functions.dates import not_before_epoch, parse_day, parse_moment
 from ..functions.fingerprint import fingerprint
 from ..functions.units import MONEY, SHARES, relative_difference
-from ..model import ADJ_FACTOR, BARS, STATE
+from ..model import ADJ_FACTOR, BARS, FINANCIALS, INDEX_WEIGHT, MONEYFLOW, STATE
 from ..operators import audit, calls, migrate, normalize, state, versions
 from ..sources import payloads, tables
 from ..session import scratch_path
@@ -183,12 +183,12 @@ def _(t):
 def _(t):
     rows = t.target_rows.select("ts_code", "trade_date", "record_id", "grade", "amount")
     return tables.rewrite(t.spark, rows, ["ts_code", "trade_date"], {"ts_code": "con_code"},
-                          {"record_id": "int", "grade": "int"}, {"note": "string"})
+                          {"record_id": "int", "grade": "int"}, {"note": "string"}, date_column="trade_date").drop(tables.MONTH)
 
 
 @query("n13_rekeyed_rebuild", "SELECT * FROM financials")
 def _(t):
-    return tables.rebuild(t.spark, t.financials, ["end_date", "ts_code", "statement"])
+    return tables.rebuild(t.spark, t.financials, ["end_date", "ts_code", "statement"], date_column="end_date").drop(tables.MONTH)
 
 
 @query("m2_relative_difference", """SELECT record_id, abs(t.amount - s.amount * 10000) / greatest(abs(s.amount * 10000), 1.0) AS rel_amount,
@@ -228,6 +228,14 @@ def _(t):
     return audit.gap_report(_gaps(t), t.trade_cal)
 
 
+@query("v1_gap_runs", f"""WITH o AS (SELECT cal_date, row_number() OVER (ORDER BY cal_date) AS n FROM (SELECT DISTINCT cal_date FROM trade_cal WHERE is_open = 1))
+SELECT dataset, min(day) AS first_day, max(day) AS last_day, count(*) AS open_days FROM (
+  SELECT g.dataset, g.day, o.n - row_number() OVER (PARTITION BY g.dataset ORDER BY g.day) AS run FROM {GAPS_SQL} g JOIN o ON o.cal_date = g.day)
+GROUP BY dataset, run HAVING count(*) >= 2""")
+def _(t):
+    return audit.gap_runs(_gaps(t), t.trade_cal, 2)
+
+
 PERIODS = """(SELECT ts_code, CAST(q + INTERVAL 3 MONTH - INTERVAL 1 DAY AS DATE) AS day, lo, hi FROM (SELECT ts_code, lo, hi,
   unnest(generate_series(date_trunc('year', lo), date_trunc('year', hi) + INTERVAL 9 MONTH, INTERVAL 3 MONTH)) AS q
   FROM (SELECT ts_code, min(end_date) AS lo, max(end_date) AS hi FROM financials GROUP BY ts_code)))"""
@@ -290,16 +298,72 @@ def _(t):
     return fingerprint(versions.current(t.bars, BARS.keys), ["trade_date"], PRINTED, portable=True)
 
 
-@query("v4_fingerprint_audit", f"""SELECT trade_date, row_count, fingerprint, max_version, dataset FROM (
-  SELECT trade_date, count(*) AS row_count, bit_xor({PRINT_BARS}) AS fingerprint, max(_version) AS max_version, 'bars' AS dataset FROM bars_now GROUP BY trade_date
-  UNION ALL SELECT trade_date, count(*), bit_xor(('0x' || substr(md5(concat_ws('|', ts_code, CAST(trade_date AS VARCHAR), {_scaled('adj_factor')}, CAST(_version AS VARCHAR))), 1, 15))::BIGINT),
-    max(_version), 'adj_factor' FROM adj_now GROUP BY trade_date)
-WHERE trade_date = (SELECT max(cal_date) FROM trade_cal WHERE is_open = 1 AND cal_date <= DATE '2001-10-31')""")
+#: Per dated table: its newest rows in SQL, its date column, and the columns of a fingerprint; fractions are marked with a star.
+FLOWS = tuple(f"{side}_{label}_{what}" for label in ("sm", "md", "lg", "elg") for side in ("buy", "sell") for what in ("vol", "amount*"))
+PRINTS = {
+    "bars": ("bars_now", "trade_date", ("ts_code", "trade_date", "open*", "high*", "low*", "close*", "vol*", "amount*", "_version")),
+    "adj_factor": ("adj_now", "trade_date", ("ts_code", "trade_date", "adj_factor*", "_version")),
+    "moneyflow": ("flow_now", "trade_date", ("ts_code", "trade_date", *FLOWS, "_version")),
+    "financials": ("fin_now", "end_date", ("statement", "ts_code", "end_date", "ann_date", "total_revenue*", "_version")),
+    "index_weight": ("index_now", "trade_date", ("index_code", "con_code", "trade_date", "weight*", "_version")),
+}
+SPECS = {"bars": BARS, "adj_factor": ADJ_FACTOR, "moneyflow": MONEYFLOW, "financials": FINANCIALS, "index_weight": INDEX_WEIGHT}
+
+
+def _printed(name):
+    return [c.rstrip("*") for c in PRINTS[name][2]]
+
+
+def _prints_sql(name, rows=None):
+    table, day, columns = PRINTS[name]
+    cells = ", ".join(_scaled(c[:-1]) if c.endswith("*") else f"CAST({c} AS VARCHAR)" for c in columns)
+    return f"""SELECT '{name}' AS dataset, {day} AS day, count(*) AS row_count, bit_xor(('0x' || substr(md5(concat_ws('|', {cells})), 1, 15))::BIGINT) AS fingerprint,
+  max(_version) AS max_version FROM {rows or table} GROUP BY {day}"""
+
+
+def _all_prints(t):
+    return audit.union_all([
+        audit.day_fingerprints(getattr(t, n), SPECS[n], _printed(n), portable=True).withColumn("dataset", F.lit(n)) for n in PRINTS])
+
+
+@query("v4_day_fingerprints", " UNION ALL ".join(_prints_sql(n) for n in PRINTS))
+def _(t):
+    return _all_prints(t)
+
+
+@query("v4_fingerprint_audit", "SELECT day AS trade_date, row_count, fingerprint, max_version, dataset FROM ("
+       + " UNION ALL ".join(_prints_sql(n) for n in PRINTS) + """)
+WHERE day = (SELECT max(cal_date) FROM trade_cal WHERE is_open = 1 AND cal_date <= DATE '2001-10-31')""")
 def _(t):
-    sets = {"bars": (t.bars.select(*PRINTED), BARS), "adj_factor": (t.adj_factor, ADJ_FACTOR)}
+    sets = {n: (getattr(t, n).select(*_printed(n)), SPECS[n]) for n in PRINTS}
     return audit.fingerprint_audit(sets, t.trade_cal, F.lit("2001-10-31").cast("date"), portable=True)
 
 
+EARLIER = "(SELECT * FROM bars WHERE _version % 86400000 <> 3 QUALIFY row_number() OVER (PARTITION BY ts_code, trade_date ORDER BY _version DESC) = 1)"
+
+
+def _advanced(t):
+    """Fingerprints of the bars without their last versions, and those advanced by them."""
+    last, columns = F.col("_version") % 86_400_000 == 3, _printed("bars")
+    before, appended = t.bars.filter(~last), t.bars.filter(last)
+    first = audit.day_fingerprints(before, BARS, columns, portable=True)
+    return first, audit.advance_fingerprints(first, before, appended, BARS, columns, portable=True)
+
+
+@query("a10_advanced_fingerprints", f"SELECT day, row_count, fingerprint, max_version FROM ({_prints_sql('bars')})")
+def _(t):
+    return _advanced(t)[1]
+
+
+@query("v4_run_differences", f"""SELECT coalesce(a.dataset, b.dataset) AS dataset, coalesce(a.day, b.day) AS day, coalesce(a.row_count, 0) AS first_rows, coalesce(b.row_count, 0) AS second_rows
+FROM ({_prints_sql('bars', EARLIER)}) a FULL JOIN ({_prints_sql('bars')}) b ON a.day = b.day
+WHERE a.fingerprint IS DISTINCT FROM b.fingerprint OR a.row_count IS DISTINCT FROM b.row_count""")
+def _(t):
+    # A day is named when a newer version of one of its rows arrived between the two runs; the second run is read from the table anew.
+    first = _advanced(t)[0].withColumn("dataset", F.lit("bars"))
+    return audit.run_differences(first, _all_prints(t).filter("dataset = 'bars'"))
+
+
 LOAD_UNITS = """(SELECT ts_code || ':' || strftime(trade_date, '%Y%m%d') AS unit_id, ts_code, trade_date, count(*) * 12 AS rows_written FROM trades GROUP BY ALL
   UNION ALL SELECT ts_code, ts_code, NULL, count(*) * 30 FROM trades GROUP BY ts_code
   UNION ALL SELECT strftime(trade_date, '%Y%m%d'), NULL, trade_date, count(*) * 15 FROM trades GROUP BY trade_date
@@ -307,17 +371,13 @@ LOAD_UNITS = """(SELECT ts_code || ':' || strftime(trade_date, '%Y%m%d') AS unit
 
 
 def _load_units(t):
-    day = F.date_format("trade_date", "yyyyMMdd")
-    wrote = lambda k: (F.count(F.lit(1)) * k).alias("rows_written")
-    none, no_day = F.lit(None).cast("string"), F.lit(None).cast("date")
-    pair = t.trades.groupBy("ts_code", "trade_date").agg(wrote(12)).select(
-        F.concat_ws(":", "ts_code", day).alias("unit_id"), "ts_code", "trade_date", "rows_written")
-    symbol = t.trades.groupBy("ts_code").agg(wrote(30)).select(
-        F.col("ts_code").alias("unit_id"), "ts_code", no_day.alias("trade_date"), "rows_written")
-    daily = t.trades.groupBy("trade_date").agg(wrote(15)).select(
-        day.alias("unit_id"), none.alias("ts_code"), "trade_date", "rows_written")
-    whole = t.trades.agg(wrote(1)).select(F.lit("full").alias("unit_id"), none.alias("ts_code"), no_day.alias("trade_date"), "rows_written")
-    return audit.union_all([pair, symbol, daily, whole])
+    """One unit a code and day, a code, a day, and one for the whole table, counted in one pass."""
+    code, day = F.col("ts_code"), F.col("trade_date")
+    kind = F.grouping_id().cast("int").alias("kind")
+    counts = t.trades.groupingSets([[code, day], [code], [day], []], "ts_code", "trade_date").agg(F.count(F.lit(1)).alias("n"), kind)
+    written = F.element_at(F.array(*[F.lit(k) for k in (12, 30, 15, 1)]), F.col("kind") + 1)
+    name = F.when(F.col("kind") == 3, "full").otherwise(F.concat_ws(":", code, F.date_format(day, "yyyyMMdd")))
+    return counts.select(name.alias("unit_id"), "ts_code", "trade_date", (F.col("n") * written).alias("rows_written"))
 
 
 @query("v5_write_check", f"""WITH u AS (SELECT * FROM {LOAD_UNITS}),
@@ -432,10 +492,18 @@ def _(t):
     return audit.null_profile(t.source_rows, ["ts_code", "vol", "grade", "updated_at"])
 
 
-@query("a18_day_checkpoints", """SELECT 'bars' AS interface, 'bars:' || strftime(trade_date, '%Y%m%d') AS scope_key, 'done' AS status, count(*) AS rows
-  FROM bars_now GROUP BY trade_date""")
+@query("a18_day_checkpoints", f"""SELECT 'bars' AS interface, 'bars:' || strftime(trade_date, '%Y%m%d') AS scope_key, 'done' AS status, count(*) AS rows,
+  {NOW} AS last_success_at, {NOW} AS heartbeat_at, 0 AS attempts, '' AS last_error, CAST(epoch_ms({NOW}) AS BIGINT) AS _version FROM bars_now GROUP BY trade_date""")
+def _(t):
+    rows = versions.current(t.bars.select(*BARS.keys, BARS.version), BARS.keys)
+    return migrate.day_checkpoints(rows, "bars", "trade_date", as_of())
+
+
+@query("a18_appended_checkpoints", f"""SELECT status, count(*) AS units, CAST(sum(rows) AS BIGINT) AS total_rows FROM (
+  SELECT status, rows FROM units UNION ALL SELECT 'done', count(*) FROM bars_now GROUP BY trade_date) GROUP BY status""")
 def _(t):
-    return migrate.day_checkpoints(versions.current(t.bars.select(*BARS.keys, BARS.version), BARS.keys), "bars", "trade_date")
+    rows = versions.current(t.bars.select(*BARS.keys, BARS.version), BARS.keys)
+    return state.by_status(t.state_log.unionByName(migrate.day_checkpoints(rows, "bars", "trade_date", as_of())))
 
 
 READABLE = """CASE WHEN row_count >= 1000000000000 THEN {tr} WHEN row_count >= 1000000000 THEN {b} WHEN row_count >= 1000000 THEN {m}
@@ -501,6 +569,13 @@ def _(t):
     return migrate.aligned(t.source_rows, TARGET_COLUMNS, {"trade_date": "cal_date"})
 
 
+@query("f9_column_differences", """SELECT * FROM (VALUES ('ts_code', 'both'), ('cal_date', 'both'), ('amount', 'both'), ('vol', 'both'), ('grade', 'both'),
+  ('record_id', 'source_only'), ('_version', 'target_only')) x(column_name, side)""")
+def _(t):
+    target = t.target_rows.withColumnRenamed("trade_date", "cal_date").select(*TARGET_COLUMNS)
+    return migrate.column_differences(t.source_rows, target, {"trade_date": "cal_date"})
+
+
 @query("u2_cross_part_duplicates", """SELECT a.part || ' & source_default' AS pair, count(*) AS duplicates FROM
   (SELECT DISTINCT part, ts_code, trade_date FROM source_union WHERE part IN ('source_1999', 'source_2000')) a
   JOIN (SELECT DISTINCT ts_code, trade_date FROM source_union WHERE part = 'source_default') b USING (ts_code, trade_date) GROUP BY a.part""")
@@ -610,8 +685,22 @@ def _(t):
     return calls.retain(t.api_calls, 10)
 
 
-@query("r5_stale_units", f"""SELECT interface, scope_key, 'partial' AS status, rows, last_success_at, heartbeat_at, attempts, 'heartbeat timeout' AS last_error,
-  CAST(epoch_ms({NOW}) AS BIGINT) AS _version FROM units WHERE status = 'running' AND heartbeat_at < {NOW} - INTERVAL 10 MINUTE""")
+@query("s10_dropped_days", "SELECT * FROM api_calls WHERE CAST(started_at AS DATE) >= (SELECT CAST(max(started_at) AS DATE) - 10 FROM api_calls)")
+def _(t):
+    path = scratch_path(t.spark, "calls")
+    tables.append_by_day(t.api_calls, path, "started_at")
+    log = tables.open_table(t.spark, path)
+    oldest = log.agg(F.date_sub(F.max("_day"), 10).cast("string")).first()[0]
+    if oldest is not None:
+        tables.drop_before(t.spark, path, "_day", oldest)
+    return tables.open_table(t.spark, path, log.schema).drop("_day")
+
+
+STALE = f"""SELECT interface, scope_key, 'partial' AS status, rows, last_success_at, heartbeat_at, attempts, 'heartbeat timeout' AS last_error,
+  CAST(epoch_ms({NOW}) AS BIGINT) AS _version FROM units WHERE status = 'running' AND heartbeat_at < {NOW} - INTERVAL 10 MINUTE"""
+
+
+@query("r5_stale_units", STALE)
 def _(t):
     return state.stale_units(t.state_log, as_of())
 

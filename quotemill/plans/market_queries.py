@@ -9,6 +9,7 @@ from ..functions.dates import is_day_text
 from ..model import ADJ_FACTOR, BARS, FINANCIALS, INDEX_WEIGHT, MONEYFLOW, STATE
 from ..operators import calendar, market, state, versions
 from ..sources import tables
+from ..session import scratch_path
 from ..sources.sql_gate import query_sql
 from .oracle_tables import code
 from .registry import query
@@ -138,12 +139,38 @@ def _(t):
     return versions.current(t.bars, BARS.keys)
 
 
+#: What is added to versions that arrive late, and taken off again.
+LATE = 10**15
+
+
 @query("d2_compact", "SELECT *, CAST(year(trade_date) * 100 + month(trade_date) AS INTEGER) AS _month FROM bars_now")
 def _(t):
     placed, month = tables.with_month(t.bars, "trade_date")
     return versions.compact(t.spark, placed, BARS.keys, month)
 
 
+@query("d2_touched_months", "SELECT *, CAST(year(trade_date) * 100 + month(trade_date) AS INTEGER) AS _month FROM bars_now")
+def _(t):
+    # The last version of each day arrives after the others are compacted: only its months are compacted again.
+    path, last = scratch_path(t.spark, "bars"), F.col("_version") % 86_400_000 == 3
+    tables.append(t.bars.filter(~last), path, BARS)
+    versions.compact_months(t.spark, path, BARS.keys, tables.MONTH, -1)
+    table = tables.open_table(t.spark, path)
+    tables.append(t.bars.filter(last).withColumn("_version", F.col("_version") + LATE), path, BARS)
+    versions.compact_months(t.spark, path, BARS.keys, tables.MONTH, LATE)
+    version = F.when(F.col("_version") > LATE, F.col("_version") - LATE).otherwise(F.col("_version"))
+    return tables.open_table(t.spark, path, table.schema).withColumn("_version", version)
+
+
+@query("s1_month_scan", "SELECT * FROM bars WHERE ts_code IN (SELECT max(ts_code) FROM bars) AND trade_date BETWEEN DATE '1995-03-10' AND DATE '1997-02-20'")
+def _(t):
+    path = scratch_path(t.spark, "bars")
+    tables.append(t.bars, path, BARS)
+    table = tables.open_table(t.spark, path, tables.with_month(t.bars, "trade_date")[0].schema)
+    last = table.agg(F.max("ts_code")).first()[0]
+    return tables.scan(table, last, "19950310", "19970220")
+
+
 @query("d3_idempotent_upsert", "SELECT * FROM bars_now")
 def _(t):
     # Replaying the whole log must not change the current rows.
@@ -188,10 +215,7 @@ def _(t):
 def _(t):
     units = t.financials.filter("statement = 'income'").select(
         "ts_code", F.date_format("end_date", "yyyyMMdd").alias("period")).distinct()
-    ((shape, part), *_) = [s for s in versions.scope_shapes(t.financials, units) if s[0] == ("ts_code", "period")]
-    names = [f"_s_{c}" for c in shape]
-    keyed = t.financials.select("*", *versions.scope_keys(t.financials, shape))
-    return keyed.join(part.select(*names).distinct(), names, "left_semi").drop(*names)
+    return versions.within_scopes(t.financials, units)
 
 
 VERSIONED = {"bars": "ts_code, trade_date", "adj_factor": "ts_code, trade_date", "moneyflow": "ts_code, trade_date",
@@ -235,8 +259,6 @@ def _(t):
 
 @query("s6_versioned_append", "SELECT ts_code, trade_date, close, CAST(1714000000000 AS BIGINT) AS _version FROM bars_now")
 def _(t):
-    from ..session import scratch_path
-
     path = scratch_path(t.spark, "append")
     rows = market.ohlcv(t.bars, adjust="none").select("ts_code", "trade_date", "close")
     tables.append(rows, path, BARS, 1_714_000_000_000)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from ..model import TableSpec
@@ -23,13 +23,32 @@ def with_month(df: DataFrame, date_column: str | None) -> tuple[DataFrame, str |
 
 def append(df: DataFrame, path: str, spec: TableSpec, version: int | Column | None = None) -> bool:
     """Append a versioned batch, placed by month; returns whether it held rows. An empty batch leaves the
-    table as it was. Emptiness is observed while writing, so the batch is not computed twice."""
+    table as it was. Rows are counted while they are written, so the batch is not computed twice."""
     if version is not None:
         df = with_version(df, version, spec.version)
-    seen = Observation()
-    placed, month = with_month(df.observe(seen, F.count(F.lit(1)).alias("rows")), spec.date_column)
-    write_clustered(placed, path, spec.keys, month, mode="append")
-    return seen.get["rows"] > 0
+    placed, month = with_month(df, spec.date_column)
+    return write_clustered(placed, path, spec.keys, month, mode="append") > 0
+
+
+def append_by_day(df: DataFrame, path: str, time: str, day: str = "_day") -> int:
+    """Append rows of a log to the folders of their days."""
+    return write_clustered(df.withColumn(day, F.col(time).cast("date")), path, [time], day, mode="append")
+
+
+def drop_before(spark: SparkSession, path: str, partition: str, bound: str) -> list[str]:
+    """Remove the partition folders of a table whose value is below `bound`, without reading a row; returns the values removed.
+
+    Values compare as text, which suits days and months. Removing again what a lost run had begun to remove is harmless.
+    """
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    gone = []
+    for status in files.listStatus(root):  # one entry a partition
+        name = status.getPath().getName()
+        if name.startswith(f"{partition}=") and not name.endswith("__HIVE_DEFAULT_PARTITION__") and name.split("=", 1)[1] < bound:
+            files.delete(status.getPath(), True)
+            gone.append(name.split("=", 1)[1])
+    return sorted(gone)
 
 
 def append_with_row_version(df: DataFrame, path: str, spec: TableSpec, loaded_at: Column) -> bool:
@@ -106,28 +125,28 @@ def table_or_none(spark: SparkSession, name: str) -> DataFrame | None:
 
 def rewrite(spark: SparkSession, df: DataFrame, keys: Sequence[str], renames: Mapping[str, str] | None = None,
             casts: Mapping[str, str] | None = None, adds: Mapping[str, str] | None = None,
-            path: str | None = None) -> DataFrame:
-    """Rewrite a table with columns renamed, retyped, then added, into a new path. Values that do not fit
+            path: str | None = None, date_column: str | None = None) -> DataFrame:
+    """Rewrite a table with columns renamed, retyped, then added, into a new path, in month folders of `date_column` (its new name). Values that do not fit
     a new type become NULL. The caller swaps paths after the row counts agree, which is checked here."""
     out = df.withColumnsRenamed(dict(renames or {}))
     out = out.withColumns({c: F.col(c).try_cast(t) for c, t in (casts or {}).items()})
     out = out.withColumns({c: F.lit(None).cast(t) for c, t in (adds or {}).items() if c not in out.columns})
     path = path or scratch_path(spark, "rewrite")
     keys = [(renames or {}).get(k, k) for k in keys]
-    write_clustered(out, path, keys)
-    return _verified(spark, df, path)
+    return _placed(spark, out, keys, path, date_column)
 
 
-def rebuild(spark: SparkSession, df: DataFrame, keys: Sequence[str], path: str | None = None) -> DataFrame:
-    """Copy a table into a new key order, so files are clustered by the new keys; counts are checked."""
-    path = path or scratch_path(spark, "rebuild")
-    write_clustered(df, path, keys)
-    return _verified(spark, df, path)
+def rebuild(spark: SparkSession, df: DataFrame, keys: Sequence[str], path: str | None = None, date_column: str | None = None) -> DataFrame:
+    """Copy a table into a new key order, so files are clustered by the new keys, in month folders of `date_column`; counts are checked."""
+    return _placed(spark, df, keys, path or scratch_path(spark, "rebuild"), date_column)
 
 
-def _verified(spark: SparkSession, before: DataFrame, path: str) -> DataFrame:
-    after = spark.read.parquet(path)
-    wrote, had = after.count(), before.count()
+def _placed(spark: SparkSession, df: DataFrame, keys: Sequence[str], path: str, date_column: str | None) -> DataFrame:
+    """Write, and compare the rows that passed the write with those in the footers of its files."""
+    placed, month = with_month(df.drop(MONTH), date_column)
+    had = write_clustered(placed, path, keys, month)
+    after = spark.read.schema(placed.schema).parquet(path)
+    wrote = after.count()
     if wrote != had:
         raise ValueError(f"rewrite lost rows: {had} before, {wrote} after")
     return after

@@ -91,6 +91,8 @@ def test_write_check(spark):
         ("quarter", "A", None, None, "20240331", 150), ("loss", "A", None, None, "20240331", 5000), ("day", None, None, DAY(2024, 6, 30), None, 40),
         ("table", None, None, None, None, 200), ("table_loss", None, None, None, None, 999)], UNIT)
     got = {r["unit_id"]: (r["found"], r["verdict"]) for r in audit.write_check(units, data, ["ts_code", "k"]).collect()}
+    plan = audit.write_check(units, data, ["ts_code", "k"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and plan.count("Expand") == 1
     assert got == {"whole": (10, "ok"), "zero": (0, "no_rows"), "silent": (0, "ok"), "quarter": (10, "ok"), "loss": (10, "heavy_loss"),
                    "day": (2, "ok"), "table": (12, "ok"), "table_loss": (12, "heavy_loss")}
 
@@ -163,7 +165,31 @@ def test_a_target_log_counts_newest_versions(spark):
 
 
 def test_checkpoints_of_an_undated_table(spark):
-    assert tuple(migrate.day_checkpoints(spark.range(3), "basic", None).first()) == ("basic", "full", "done", 3)
+    at = dt.datetime(2024, 1, 2, 3)
+    got = migrate.day_checkpoints(spark.range(3), "basic", None, F.lit(at).cast("timestamp_ntz"))
+    assert tuple(got.first()) == ("basic", "full", "done", 3, at, at, 0, "", 1704164400000)
+    assert got.columns == spark.createDataFrame([], LOG_SCHEMA).columns
+
+
+def test_gap_runs_leave_out_noise(spark):
+    days = [DAY(2024, 1, d) for d in (2, 3, 4, 5, 8, 9, 10)]
+    data = spark.createDataFrame([(days[0],), (days[3],), (days[5],)], "trade_date date")
+    gaps = audit.trading_day_gaps(calendar_of(spark, *days), audit.dataset_days({"bars": (data, "trade_date")}))
+    runs = lambda n: rows(audit.gap_runs(gaps, calendar_of(spark, *days), n).select("first_day", "last_day", "open_days"))
+    assert runs(1) == [(days[1], days[2], 2), (days[4], days[4], 1), (days[6], days[6], 1)] and runs(2) == [(days[1], days[2], 2)]
+
+
+def test_advanced_fingerprints_equal_full_ones(spark):
+    before = spark.createDataFrame([("A", DAY(2024, 1, 2), 1.0, 1), ("B", DAY(2024, 1, 2), 2.0, 1), ("A", DAY(2024, 1, 3), 3.0, 1)], "ts_code string, trade_date date, close double, _version bigint")
+    appended = spark.createDataFrame([("A", DAY(2024, 1, 2), 9.0, 2), ("C", DAY(2024, 1, 4), 4.0, 1), ("B", DAY(2024, 1, 2), 7.0, 0)], before.schema)
+    columns = before.columns
+    for portable in (False, True):
+        first = audit.day_fingerprints(before, BARS, columns, portable)
+        second = audit.day_fingerprints(before.unionByName(appended), BARS, columns, portable)
+        assert rows(audit.advance_fingerprints(first, before, appended, BARS, columns, portable)) == rows(second)
+        named = [df.withColumn("dataset", F.lit("bars")) for df in (first, second)]
+        assert rows(audit.run_differences(*named)) == [("bars", DAY(2024, 1, 2), 2, 2), ("bars", DAY(2024, 1, 4), 0, 1)]
+        assert audit.run_differences(named[0], named[0]).count() == 0
 
 
 def test_table_counts_equal_resolved_counts(tables):

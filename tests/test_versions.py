@@ -1,3 +1,4 @@
+import datetime as dt
 import random
 
 import pytest
@@ -93,6 +94,72 @@ def test_scope_deletes_use_the_first_date_set(spark):
     assert versions.delete_scopes(data, scope).count() == 0
 
 
+def test_scopes_of_all_shapes_take_one_join_of_the_table(spark):
+    import itertools
+
+    codes, days = ["A", "B", None], [dt.date(2024, 1, 31), dt.date(2024, 2, 29), None]
+    data = [(c, a, b) for c in codes for a in days for b in days]
+    table = spark.createDataFrame(data, "ts_code string, end_date date, ann_date date")
+    scopes = [("A", None, days[0], None), (None, days[1], None, None), ("B", None, None, "20240115"), (None, None, None, None), (None, days[0], days[1], "20240201")]
+    for chosen in itertools.combinations(scopes, 2):
+        def hit(row):
+            for code, end, ann, period in chosen:
+                end_first = end if end is not None else None
+                named = [row[0] == code] if code else []
+                named += [row[1] == end_first] if end else [row[2] == ann] if ann else []
+                named += [row[1] is not None and row[1].strftime("%Y%m") == period[:6]] if period else []
+                if named and all(named):
+                    return True
+            return False
+
+        df = spark.createDataFrame(chosen, "ts_code string, end_date date, ann_date date, period string")
+        kept = versions.delete_scopes(table, df)
+        assert sorted(map(tuple, kept.collect()), key=str) == sorted((r for r in data if not hit(r)), key=str)
+        assert sorted(map(tuple, versions.within_scopes(table, df).collect()), key=str) == sorted((r for r in data if hit(r)), key=str)
+    assert kept._jdf.queryExecution().optimizedPlan().toString().count("LeftAnti") == 1
+
+
+def test_only_touched_months_are_compacted(spark, tmp_path):
+    path = str(tmp_path / "bars")
+    day = lambda s: F.lit(s).cast("date")
+    base = spark.range(3).select(F.concat(F.lit("00000"), F.col("id"), F.lit(".SH")).alias("ts_code"), F.col("id").cast("double").alias("close"))
+    for when in ("2024-01-02", "2024-02-05"):
+        tables.append(base.withColumn("trade_date", day(when)), path, BARS, 1)
+    assert versions.compact_months(spark, path, BARS.keys, tables.MONTH, 0) == [202401, 202402]
+    untouched = sorted(p.name for p in (tmp_path / "bars" / "_month=202401").iterdir())
+    tables.append(base.withColumn("trade_date", day("2024-02-05")), path, BARS, 2)
+    tables.append(base.withColumn("trade_date", day("2024-03-05")), path, BARS, 3)
+    assert versions.compact_months(spark, path, BARS.keys, tables.MONTH, 1) == [202402, 202403]
+    assert sorted(p.name for p in (tmp_path / "bars" / "_month=202401").iterdir()) == untouched
+    spark.catalog.refreshByPath(path)
+    assert rows(spark.read.parquet(path).groupBy("_month").agg(F.count("*"), F.min("_version"))) == [(202401, 3, 1), (202402, 3, 2), (202403, 3, 3)]
+    assert versions.compact_months(spark, path, BARS.keys, tables.MONTH, 3) == []
+
+
+def test_expired_days_go_without_being_read(spark, tmp_path):
+    path = str(tmp_path / "calls")
+    log = spark.sql("SELECT id, TIMESTAMP_NTZ '2024-01-01 10:00:00' + make_dt_interval(CAST(id AS INT)) AS started_at FROM range(6)")
+    assert tables.append_by_day(log, path, "started_at") == 6
+    assert tables.drop_before(spark, path, "_day", "2024-01-04") == ["2024-01-01", "2024-01-02", "2024-01-03"]
+    assert rows(spark.read.parquet(path).select("id")) == [(3,), (4,), (5,)] and tables.drop_before(spark, path, "_day", "2024-01-04") == []
+
+
+def test_a_write_reads_its_input_once_and_keeps_months(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.sql("SELECT CAST(id % 7 AS STRING) AS k, date_add(DATE '2024-01-01', CAST(id % 90 AS INT)) AS d, id AS v FROM range(900)")
+    once = df.mapInArrow(count, df.schema)
+    out = tables.rewrite(spark, once, ["k", "d"], {"v": "w"}, path=str(tmp_path / "w"), date_column="d")
+    assert seen.value == 900 and out.count() == 900 and sorted(p.name for p in (tmp_path / "w").glob("_month=*")) == ["_month=202401", "_month=202402", "_month=202403"]
+    again = tables.rebuild(spark, out, ["d", "k"], str(tmp_path / "b"), "d")
+    assert rows(again.drop("_month")) == rows(out.drop("_month"))
+
+
 def test_duplicate_ratio_of_an_empty_table_is_null(log):
     got = versions.duplicate_ratio({"t": (log, ["k", "d"]), "none": (log.filter("false"), ["k"])}).orderBy("table_name").collect()
     assert [tuple(r) for r in got] == [("none", 0, 0, None), ("t", 5, 3, 5 / 3)]
