@@ -25,7 +25,7 @@ from pyspark.sql.types import ArrayType, IntegerType
 
 MARK = "▁"
 #: Stretches longer than this are not remembered; so many are in each of two generations.
-REMEMBERED_LENGTH, REMEMBERED = 48, 250_000
+REMEMBERED_LENGTH, REMEMBERED = 48, 400_000
 
 
 def _each_byte(error: UnicodeError) -> tuple[str, int]:
@@ -71,13 +71,14 @@ class PieceCodec:
         inner = "".join(map(re.escape, sorted(self.alphabet - {MARK})))
         self.stretch = re.compile(f"[{MARK}{inner}]+|[^{MARK}{inner}]" if across else f"{MARK}+[{inner}]*|[{inner}]+|[^{MARK}{inner}]", re.DOTALL)
         self.automaton = ahocorasick.Automaton()
-        for piece in self.ids:
-            self.automaton.add_word(piece, len(piece))
+        for piece in self.ids:  # every character of a stretch is a piece anyway
+            if len(piece) > 1:
+                self.automaton.add_word(piece, (len(piece), len(piece) - 1))
         self.automaton.make_automaton()
         #: Pairs that have been merged anew: whether they stand next to each other.
         self.stands: dict[tuple[str, str], bool] = {}
-        self.memory: dict[str, tuple[tuple[int, ...], str]] = {}
-        self.older: dict[str, tuple[tuple[int, ...], str]] = {}
+        self.memory: dict[str, tuple[int, str, str]] = {}
+        self.older: dict[str, tuple[int, str, str]] = {}
 
     def merged(self, text: str) -> list[str]:
         """The pieces of a short text by merging the best pair, the leftmost of equals, over and over."""
@@ -104,11 +105,10 @@ class PieceCodec:
     def backtracked(self, text: str) -> list[str]:
         """The pieces of a stretch whose characters are all pieces."""
         size, ids, stand = len(text), self.ids, self.stand
-        longest = bytearray(size)
-        for end, length in self.automaton.iter(text):
-            start = end - length + 1
-            if length > longest[start]:
-                longest[start] = length
+        longest = bytearray(b"\1") * size
+        for end, (length, back) in self.automaton.iter(text):
+            if length > longest[end - back]:
+                longest[end - back] = length
         failed = bytearray((size >> 3) + 1)
         out: list[str] = []
         at, length = 0, longest[0]
@@ -135,14 +135,14 @@ class PieceCodec:
             return [self.byte_ids[b] for b in text.encode()] if self.fallback else [self.unknown]
         return [self.ids[p] for p in self.backtracked(text)]
 
-    def known(self, stretch: str) -> tuple[tuple[int, ...], str]:
-        """The ids of a stretch, and the same as text. Two generations are remembered, so frequent stretches stay when one is full."""
+    def known(self, stretch: str) -> tuple[int, str, str]:
+        """How many ids a stretch has, the ids as text, and what they read as. Two generations are remembered, so frequent stretches stay when one is full."""
         found = self.memory.get(stretch)
         if found is None:
             found = self.older.get(stretch)
             if found is None:
                 ids = self.encode_stretch(stretch)
-                found = (tuple(ids), ",".join(map(str, ids)))
+                found = (len(ids), ",".join(map(str, ids)), self.read(ids))
             if len(stretch) <= REMEMBERED_LENGTH:
                 if len(self.memory) >= REMEMBERED:
                     self.older, self.memory = self.memory, {}
@@ -150,10 +150,10 @@ class PieceCodec:
         return found
 
     def encode(self, text: str) -> list[int]:
-        return [i for s in self.stretch.findall(self.normalize(text)) for i in self.known(s)[0]]
+        return [int(i) for s in self.stretch.findall(self.normalize(text)) for i in self.known(s)[1].split(",")]
 
-    def decode(self, ids: list[int]) -> str:
-        """The text of any ids: the blank put before the text goes, runs of byte pieces are read as UTF-8."""
+    def read(self, ids: list[int]) -> str:
+        """The text of any ids; runs of byte pieces are read as UTF-8."""
         out: list[str] = []
         held = bytearray()
         for i in ids:
@@ -165,13 +165,15 @@ class PieceCodec:
                 out.append(held.decode("utf-8", "each_byte"))
                 held.clear()
             out.append(part)
-        out.append(held.decode("utf-8", "each_byte"))
-        first = next((k for k, i in enumerate(ids) if self.reads[i] != ""), None)
-        if first is not None and ids[first] in self.spaced:
-            k = next(k for k, x in enumerate(out) if x)
-            out[k] = out[k][1:]
+        if held:
+            out.append(held.decode("utf-8", "each_byte"))
         return "".join(out)
 
+    def decode(self, ids: list[int]) -> str:
+        """The text of any ids without the blank that was put before it."""
+        first = next((i for i in ids if self.reads[i] != ""), None)
+        return self.read(ids)[first in self.spaced:]
+
 
 @cache
 def codec(model_path: str) -> PieceCodec:
@@ -201,12 +203,13 @@ def encode_documents(docs: DataFrame, model: str | None = None, with_ids: bool =
             counts, digests, texts, lists = [], [], [], []
             for text in batch["_text"]:
                 found = [c.known(s) for s in c.stretch.findall(c.normalize(text.as_py()))]
-                ids = [i for x, _ in found for i in x]
-                counts.append(len(ids))
-                digests.append(hashlib.sha256(",".join([x for _, x in found]).encode()).hexdigest())
-                texts.append(hashlib.sha256(c.decode(ids).encode()).hexdigest())
+                counts.append(sum([x[0] for x in found]))
+                digests.append(hashlib.sha256(",".join([x[1] for x in found]).encode()).hexdigest())
+                # A stretch holds whole characters, so what its ids read as does not depend on its neighbours.
+                read = "".join([x[2] for x in found])
+                texts.append(hashlib.sha256(read[bool(found) and int(found[0][1].split(",", 1)[0]) in c.spaced:].encode()).hexdigest())
                 if with_ids:
-                    lists.append(ids)
+                    lists.append([int(i) for x in found for i in x[1].split(",")])
             columns = [batch.column(batch.schema.get_field_index(x)) for x in keep]
             columns += [pa.array(counts, pa.int64()), pa.array(digests, pa.string()), pa.array(texts, pa.string())]
             columns += [pa.array(lists, pa.list_(pa.int32()))] if with_ids else []
