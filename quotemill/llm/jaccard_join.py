@@ -5,11 +5,14 @@ The Jaccard distance is a metric, so distances to a pivot tell which documents m
 1. Neighbourhoods. Two sets within the limit differ in at most D elements, and D follows from their sizes. Each set is split by
    hash into more than D classes, some of which must be the same in both. A cell is one class with one content, so documents
    that share no cell are too far apart, exactly; most cells hold one set only and end here.
-2. Voronoi regions. Documents tied together by cells form a region around one of them, its pivot. Documents of different
-   regions share no cell. All are measured against their pivot, and those within the limit are linked to it.
-3. Windows. In a region that is not one component yet, links lie between documents whose distances to the pivot differ by no more
+2. Regions. Documents tied together by cells form a region around one of them, its pivot. Documents of different regions share
+   no cell. Passages that many documents share tie them all, near or not, so a large region is joined again within itself by the
+   shingles that are rarest in it, of which near sets must share one, and parted into smaller regions. This goes on until regions are
+   small enough for blocks or do not get smaller.
+3. Pivots. The sets of a region are measured against its pivot, and those within the limit are linked to it.
+4. Windows. In a region that is not one component yet, links lie between documents whose distances to the pivot differ by no more
    than the limit (triangle inequality): each window of distances is compared with itself and the next one.
-4. Blocks. A window is dealt into blocks, every pair of blocks is a task, and a task multiplies the incidence matrices of its
+5. Blocks. A region of one block is one task. Otherwise a window is dealt into blocks, every pair of blocks is a task, and a task multiplies the incidence matrices of its
    sets, which gives all intersections exactly. Tasks return spanning links, never pairs.
 
 Documents with the same set are one point of the space from the start, so groups of copies cost one comparison.
@@ -29,6 +32,9 @@ from .common import U64, groups, joined, mixed, pieces, sieve, sifted, staged, t
 from .graph import components
 
 SHINGLE, PERCENT = 3, 90
+#: A region of more sets is parted by rare shingles, which reads its sets a few times; a smaller one is compared block by block, which copies
+#: each set to as many tasks as there are blocks in its windows. Both are exact.
+PARTED = 4096
 #: Sets of a block, and columns of an incidence matrix held at once.
 BLOCK, COLUMNS = 256, 4096
 #: Sizes fall into bands that grow by half; classes beyond D + 1, as a share of them; splittings tried before empty classes count
@@ -219,8 +225,8 @@ def _linked(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFr
         regions = staged(components(ties).select("node", F.col("component").alias("pivot")), "regions")
         involved = staged(regions.join(points, "node").select("doc_id", "node"), "involved")
         near = sifted(_plain(docs), "doc_id", sieve(involved, "doc_id")).join(involved.select("doc_id").distinct(), "doc_id", "left_semi")
-        sets = staged(shingles(near, size).join(regions, "node").dropDuplicates(["node"]), "involved-sets")
-        links = region_links(sets, percent)
+        sets = staged(shingles(near, size).join(regions.select("node"), "node").dropDuplicates(["node"]), "involved-sets")
+        links = region_links(sets.join(parted(sets, regions, percent), "node"), percent)
         found = components(links)
     labels = points.select("node", "doc_id")
     if found is not None:
@@ -233,6 +239,41 @@ def _linked(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFr
     return rows, staged(labels, "labels")
 
 
+def parted(sets: DataFrame, regions: DataFrame, percent: int) -> DataFrame:
+    """`regions` (node, pivot) with those of more than PARTED sets parted as far as rare shingles tell; sets tied to nothing are left out.
+
+    A set within the limit of x lacks at most a known number of x's shingles. So among so many and one more of the rarest of each
+    (rarity within the region, one order for all) one is common to both. Shingles that no other set has need not be named, only counted.
+    """
+    done: list[DataFrame] = []
+    while True:
+        counts = regions.groupBy("pivot").agg(F.count("*").alias("members"))
+        large = staged(counts.filter(F.col("members") > PARTED), "large-regions")
+        if large.isEmpty():
+            break
+        done.append(regions.join(large, "pivot", "left_anti").select("node", "pivot"))
+        wide = regions.join(large, "pivot")
+        own = sets.join(wide, "node").select("node", F.size("shingles").cast("long").alias("n"), F.explode("shingles").alias("s"), "pivot")
+        own = own.select("node", "n", F.xxhash64("pivot", "s").alias("cell"))
+        often = staged(own.groupBy("cell").agg(F.count("*").alias("often")).filter("often > 1"), "shared-shingles")
+        found = own.join(often, "cell").groupBy("node", "n").agg(F.collect_list(F.struct("often", "cell")).alias("found"))
+        first = F.expr(f"slice(sort_array(found), 1, greatest(0, cast(n * {100 - percent} div 100 + 1 - (n - size(found)) AS int)))")
+        rare = staged(found.select("node", F.explode(first).alias("x")).select("node", "x.cell"), "rare-shingles")
+        least = rare.groupBy("cell").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi").select("cell", "lo")
+        ties = staged(rare.join(least, "cell").select(F.col("node").alias("a"), F.col("lo").alias("b")).distinct(), "ties")
+        if ties.isEmpty():
+            regions = regions.limit(0)
+            break
+        smaller = components(ties).select("node", F.col("component").alias("pivot"))
+        now = smaller.groupBy("pivot").agg(F.count("*").alias("now"))
+        sized = staged(smaller.join(now, "pivot").join(wide.select("node", "members"), "node"), "smaller-regions")
+        done.append(sized.filter("now = members").select("node", "pivot"))
+        regions = sized.filter("now < members").select("node", "pivot")
+    for part in done:
+        regions = regions.select("node", "pivot").union(part)
+    return staged(regions, "parted-regions")
+
+
 def region_links(sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) that span the components inside each region; `sets` has node, shingles and the region's pivot."""
     pivots = sets.filter("node = pivot").select("pivot", F.col("shingles").alias("_p"))
@@ -243,8 +284,8 @@ def region_links(sets: DataFrame, percent: int) -> DataFrame:
     stars = staged(sizes.select("node", "pivot", window.alias("window"), linked.alias("linked")), "distances")
     first = stars.filter("linked AND node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
     # A region whose documents all hang on the pivot is one component.
-    unsettled = stars.groupBy("pivot").agg(F.min("linked").alias("all")).filter("NOT all").select("pivot")
-    open_rows = staged(stars.join(unsettled, "pivot").select("node", "pivot", "window"), "windows")
+    unsettled = stars.groupBy("pivot").agg(F.min("linked").alias("all"), F.count("*").alias("n")).filter("NOT all").select("pivot", "n")
+    open_rows = staged(stars.join(unsettled, "pivot").select("node", "pivot", F.when(F.col("n") <= BLOCK, 0).otherwise(F.col("window")).alias("window")), "windows")
     counts = staged(open_rows.groupBy("pivot", "window").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "blocks")
     placed = open_rows.join(counts, ["pivot", "window"])
     for name, step in (("up", -1), ("down", 1)):

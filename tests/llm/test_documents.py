@@ -298,9 +298,23 @@ def test_neutral_mentions_do_not_move_the_score(spark):
     assert fair("vermin live in town") > fair("people live in town")
 
 
+def test_labels_that_nothing_tells_apart_call_no_text_toxic(spark):
+    docs = documents(spark, [(i, f"clean text {i}", "en", "s", 1) for i in range(50)])
+    labels = spark.createDataFrame([(1, 1, 1), (2, 1, 0), (3, 1, 1), (4, 1, 1)], "doc_id long, quality int, toxic int")
+    assert not any(r["predicted"] for r in toxicity.judge(docs, toxicity.train(docs, labels)).collect())
+
+
+def test_few_labels_are_enough_for_a_plain_difference(spark):
+    docs = documents(spark, [(i, f"{'vermin' if i % 2 else 'people'} live here {i}", "en", "s", 1) for i in range(30)])
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(16)], "doc_id long, quality int, toxic int")
+    assert all(r["predicted"] == r["doc_id"] % 2 for r in toxicity.judge(docs, toxicity.train(docs, labels)).collect())
+
+
 def test_toxicity_of_odd_rows(spark, odd):
     labels = spark.createDataFrame([(4, None, 1), (5, 1, None), (None, 1, 1), (6, 1, 0), (6, 1, 1)], "doc_id long, quality int, toxic int")
     same_with_odd_columns(lambda d: toxicity.judge(d, toxicity.train(d, labels)), odd)
+    only = spark.createDataFrame([(i, 1, 1) for i in range(1, 9)], labels.schema)
+    assert not any(r["predicted"] for r in toxicity.judge(odd, toxicity.train(odd, only)).collect())
     none = toxicity.judge(odd, toxicity.train(odd, labels.limit(0))).collect()
     assert len(none) == 13 and all(0 < r["score"] < 0.5 and r["predicted"] == 0 for r in none)
 
@@ -383,6 +397,32 @@ def test_excerpts_at_the_limit_are_linked_whatever_the_pivot(spark, size, percen
     assert got == plain_components(texts(docs), size, percent) and len({c for _, _, c in got}) == len(families)
 
 
+def passages(copies=4):
+    """Documents that share one of two passages, 60 of 100 words, with a few near copies among them and some that hold little else."""
+    rows = []
+    for g in range(2):
+        shared = [f"p{g}w{k}" for k in range(60)]
+        rows += [[*shared, *(f"d{g}x{i}y{k}" for k in range(40))] for i in range(150)]
+        rows += [[*shared, *(f"s{g}x{i}y{k}" for k in range(i % 9))] for i in range(30)]
+    for i in range(copies):
+        rows.append([*rows[7][:-1], f"last{i}"])
+    return [(i, " ".join(x), "en", "s", 1) for i, x in enumerate(rows)]
+
+
+@pytest.mark.parametrize(("size", "percent"), [(3, 90), (5, 80)])
+def test_regions_tied_by_a_passage_are_parted(spark, monkeypatch, size, percent):
+    monkeypatch.setattr(jaccard_join, "BLOCK", 8)
+    monkeypatch.setattr(jaccard_join, "PARTED", 8)
+    docs, seen = documents(spark, passages()), []
+    link = jaccard_join.region_links
+    monkeypatch.setattr(jaccard_join, "region_links", lambda sets, p: seen.append(sets.count()) or link(sets, p))
+    got = collections.Counter(map(tuple, jaccard_join.link_documents(docs, size, percent).collect()))
+    assert got == plain_components(texts(docs), size, percent)
+    assert sum(seen) < 120  # the 300 that share nothing but a passage are in no region any more
+    near = documents(spark, near_rows())
+    assert collections.Counter(map(tuple, jaccard_join.link_documents(near, size, percent).collect())) == plain_components(texts(near), size, percent)
+
+
 def test_one_of_each_group(spark, odd):
     kept = jaccard_join.one_of_each_group(odd)
     assert kept.columns == odd.columns
