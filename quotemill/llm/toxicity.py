@@ -39,7 +39,7 @@ TRAIN_ROWS, FEATURES, EVIDENCE = 12_000, 1024, 14.0
 PREFIXES = range(4, 9)
 RIDGE, FAIRNESS, STEPS = 2e-4, 1.0, 400
 #: Words remembered by a task with their features.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 
 def held_out() -> Column:
