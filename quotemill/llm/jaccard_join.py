@@ -37,6 +37,8 @@ SHINGLE, PERCENT = 3, 90
 PARTED = 4096
 #: Sets of a block, and columns of an incidence matrix held at once.
 BLOCK, COLUMNS = 256, 4096
+#: Rows of cells that a task combines at a time.
+HELD = 1 << 19
 #: Sizes fall into bands that grow by half; classes beyond D + 1, as a share of them; splittings tried before empty classes count
 #: as content.
 BAND, SPARE, SPLITS = 1.5, 0.15, 6
@@ -164,25 +166,61 @@ def _plain(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
+def _cells(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Cells and nodes of the sets of a task, piece by piece; a set's cells are given once, however many copies the task reads."""
+    table, seen = bands(percent), set()
+    for batch in pieces(batches):
+        names, first = shingle_sets(*text_bytes(batch), size)
+        low = set_keys(names, first)[0]
+        found, owner = [np.zeros(0, U64)], [np.zeros(0, U64)]
+        for t, node in enumerate(low.tolist()):
+            if node not in seen:
+                seen.add(node)
+                own = cells_of(names[first[t]: first[t + 1]], percent, table)
+                found.append(own)
+                owner.append(np.full(len(own), node, U64))
+        yield np.concatenate(found).view(np.int64), np.concatenate(owner).view(np.int64)
+
+
+def _ends(cell: np.ndarray, node: np.ndarray) -> pa.RecordBatch:
+    """(cell, lo, hi): the smallest and largest node of each cell."""
+    order = np.argsort(cell, kind="stable")
+    cell, node = cell[order], node[order]
+    start = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1])))
+    columns = cell[start], np.minimum.reduceat(node, start), np.maximum.reduceat(node, start)
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["cell", "lo", "hi"])
+
+
 def cells(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """(cell, node) of every set; a task gives the cells of a set once, however many copies it reads."""
+    """(cell, node) of every set."""
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, seen = bands(percent), set()
-        for batch in pieces(batches):
-            names, first = shingle_sets(*text_bytes(batch), size)
-            low = set_keys(names, first)[0]
-            found, owner = [np.zeros(0, U64)], [np.zeros(0, U64)]
-            for t, node in enumerate(low.tolist()):
-                if node not in seen:
-                    seen.add(node)
-                    own = cells_of(names[first[t]: first[t + 1]], percent, table)
-                    found.append(own)
-                    owner.append(np.full(len(own), node, U64))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).view(np.int64)) for x in (found, owner)], ["cell", "node"])
+        for cell, node in _cells(batches, size, percent):
+            yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(node)], ["cell", "node"])
 
     return _plain(docs).mapInArrow(build, "cell long, node long")
 
 
+def shared_cells(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """(cell, lo) of the cells that several sets have, with the smallest node.
+
+    Nearly all cells have one set, so a hash table of them before the shuffle would be as large as the rows themselves. Runs of HELD rows
+    are combined where they are made, which is enough for cells that many sets have, and Spark aggregates behind the shuffle.
+    """
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        for part in _cells(batches, size, percent):
+            if len(part[0]):
+                held.append(part)
+            if sum(len(cell) for cell, _ in held) >= HELD:
+                yield _ends(*map(np.concatenate, zip(*held, strict=True)))
+                held = []
+        if held:
+            yield _ends(*map(np.concatenate, zip(*held, strict=True)))
+
+    ends = _plain(docs).mapInArrow(build, "cell long, lo long, hi long").repartition("cell")
+    return ends.groupBy("cell").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).filter("lo <> hi").select("cell", "lo")
+
+
 def shingles(docs: DataFrame, size: int) -> DataFrame:
     """(node, shingles) of each row of `docs` that has words."""
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,9 +255,9 @@ def _linked(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFr
     points = staged(named.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n"), F.min("check").alias("check"), F.max("check").alias("other")), "points")
     if not points.filter("check <> other").isEmpty():
         raise ValueError("two different shingle sets have the same key")
-    spread = cells(docs.filter("doc_id IS NOT NULL"), size, percent)
-    shared = staged(spread.groupBy("cell").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi").select("cell", "lo"), "shared-cells")
-    ties = staged(sifted(spread, "cell", sieve(shared, "cell")).join(shared, "cell").select(F.col("node").alias("a"), F.col("lo").alias("b")).distinct(), "ties")
+    known = docs.filter("doc_id IS NOT NULL")
+    shared = staged(shared_cells(known, size, percent), "shared-cells")
+    ties = staged(sifted(cells(known, size, percent), "cell", sieve(shared, "cell")).join(shared, "cell").select(F.col("node").alias("a"), F.col("lo").alias("b")).distinct(), "ties")
     found = None
     if not ties.isEmpty():
         regions = staged(components(ties).select("node", F.col("component").alias("pivot")), "regions")
