@@ -52,6 +52,15 @@ def _(t):
     return windows.latency(_calls(t), *_folders(t, "latency")).withColumn("latency_ms", F.round("latency_ms", 4))
 
 
+@query("r3_stream_latency_sketch", """SELECT date_trunc('hour', started_at) AS window_start, count(*) AS calls, true AS within_error
+  FROM api_calls GROUP BY 1""")
+def _(t):
+    # A sketch is random, so its error is what can be told: the rank of every window's percentile against all calls of the window.
+    got = windows.latency_from_sketches(_calls(t), *_folders(t, "sketch"))
+    off = calls.rank_error(t.api_calls, got)
+    return off.select("window_start", "calls", (F.col("rank_error") <= calls.SKETCH_ERROR).alias("within_error"))
+
+
 @query("r4_stream_sliding_rate", SLIDING)
 def _(t):
     return windows.windowed(_calls(t), *_folders(t, "sliding"), "60 seconds", F.count(F.lit(1)).alias("calls"), slide="10 seconds", by=("bucket",))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..operators.calls import per_window
+from ..operators.calls import latency_sketch, per_window, sketched_latency
 from . import sink
 
 
@@ -26,3 +26,9 @@ def latency(stream: DataFrame, path: str, checkpoint: str, q: float = 0.99, widt
     counted = windowed(stream, path, checkpoint, width, F.count(F.lit(1)).alias("n"), by=("duration_ms",))
     return counted.groupBy("window_start", "window_end").agg(
         F.percentile("duration_ms", q, F.col("n")).alias("latency_ms"), F.sum("n").alias("calls"))
+
+
+def latency_from_sketches(stream: DataFrame, path: str, checkpoint: str, q: float = 0.99, width: str = "1 hour") -> DataFrame:
+    """Percentile of duration_ms per window within a stated rank error: micro-batches write one sketch per window, reading merges them."""
+    sink.drain(stream, path, checkpoint, "append", lambda batch: latency_sketch(batch, width))
+    return sketched_latency(sink.read(stream.sparkSession, path), q)

@@ -85,6 +85,20 @@ def test_late_keys_and_late_calls_are_kept(spark, tmp_path):
     assert rows(got.select("window_start", "latency_ms", "calls")) == rows(want)
 
 
+def test_sketches_of_micro_batches_keep_the_rank_error(spark, tmp_path):
+    rng = random.Random(5)
+    data = [("b", T0 + dt.timedelta(seconds=rng.randint(0, 7000)), int(rng.paretovariate(1.2) * 1000), 200) for _ in range(6000)]
+    frame = spark.createDataFrame(data, CALLS)
+    stream = feed(spark, str(tmp_path / "in"), [data[i::3] for i in range(3)], CALLS)
+    got = windows.latency_from_sketches(stream, str(tmp_path / "out"), str(tmp_path / "cp"), 0.9)
+    for estimate in (got, calls.sketched_latency(calls.latency_sketch(frame), 0.9)):
+        off = calls.rank_error(frame, estimate, 0.9).collect()
+        assert len(off) == 2 and sum(r["calls"] for r in off) == 6000
+        assert all(r["rank_error"] <= calls.SKETCH_ERROR for r in off)
+    wrong = got.withColumn("latency_ms", F.col("latency_ms") * 2)
+    assert all(r["rank_error"] > calls.SKETCH_ERROR for r in calls.rank_error(frame, wrong, 0.9).collect())
+
+
 def test_stream_without_input_gives_no_rows(spark, tmp_path):
     (tmp_path / "none").mkdir()
     stream = spark.readStream.schema(spark.createDataFrame([], CALLS).schema).parquet(str(tmp_path / "none"))
