@@ -85,8 +85,8 @@ def latency_sketch(calls: DataFrame, width: str = "1 hour", k: int = SKETCH_K) -
 
 
 def sketched_latency(sketches: DataFrame, q: float = 0.99) -> DataFrame:
-    """The percentile per window from any number of sketches of it. With SKETCH_K its rank is off by no more than SKETCH_ERROR of the
-    calls (KLL states half a percent at 99 % confidence); `latency_percentile` is the exact form."""
+    """The percentile per window from any number of sketches of it. With SKETCH_K its rank is off by more than SKETCH_ERROR of the
+    calls only by rare chance (about half a percent at 99 % confidence); `latency_percentile` is the exact form."""
     return sketches.groupBy("window_start").agg(F.kll_merge_agg_bigint("sketch").alias("sketch"), F.sum("calls").alias("calls")).select(
         "window_start", F.kll_sketch_get_quantile_bigint("sketch", F.lit(q)).alias("latency_ms"), "calls")
 
