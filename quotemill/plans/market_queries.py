@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import checks
@@ -106,6 +108,24 @@ def _(t):
     return bars.join(factors, list(BARS.keys))
 
 
+def _bucketed(t, df, spec):
+    """The log as a table of its own, in as many buckets as shuffles have partitions."""
+    buckets = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    return tables.append_bucketed(df, f"quotemill_{uuid.uuid4().hex}", spec, buckets)
+
+
+@query("d1_bucketed_current", "SELECT * FROM bars_now")
+def _(t):
+    return versions.current(_bucketed(t, t.bars, BARS), BARS.keys)
+
+
+@query("j1_bucketed_factor_join", "SELECT b.ts_code, b.trade_date, b.close, f.adj_factor FROM bars_now b JOIN adj_now f USING (ts_code, trade_date)")
+def _(t):
+    bars = versions.current(_bucketed(t, t.bars, BARS).select(*BARS.keys, "close", BARS.version), BARS.keys).drop(BARS.version)
+    factors = versions.current(_bucketed(t, t.adj_factor, ADJ_FACTOR), ADJ_FACTOR.keys).drop(ADJ_FACTOR.version)
+    return bars.join(factors, list(BARS.keys))
+
+
 @query("j2_latest_factor_join", f"SELECT b.ts_code, b.trade_date, b.close, l.latest AS latest_factor FROM bars_now b {LATEST}")
 def _(t):
     bars = versions.current(t.bars.select(*BARS.keys, "close", BARS.version), BARS.keys).drop(BARS.version)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from ..model import TableSpec
-from ..operators.versions import row_version, with_version, write_clustered
+from ..operators.versions import current, row_version, with_version, write_clustered
 from ..session import scratch_path
 
 MONTH = "_month"
@@ -30,6 +30,20 @@ def append(df: DataFrame, path: str, spec: TableSpec, version: int | Column | No
     return write_clustered(placed, path, spec.keys, month, mode="append") > 0
 
 
+def append_bucketed(df: DataFrame, name: str, spec: TableSpec, buckets: int, path: str | None = None) -> DataFrame:
+    """Append the newest rows of a versioned batch to a catalog table dealt into `buckets` by its keys, and return the table.
+
+    Resolving the table on its keys, and joining it with others of the same keys and buckets, then needs no shuffle. The batch is
+    resolved first: older versions of a key leave before rows are dealt, so one with very many of them fills no bucket, and a resolved
+    table holds a row per key and batch at most. A bucket is one file a batch; `path` is where a new table lies.
+    """
+    spark = df.sparkSession
+    rows = current(df, spec.keys, spec.version).repartition(buckets, *spec.keys)
+    writer = rows.write.mode("append").format("parquet").bucketBy(buckets, *spec.keys).sortBy(*spec.keys)
+    (writer if spark.catalog.tableExists(name) else writer.option("path", path or scratch_path(spark, "bucketed"))).saveAsTable(name)
+    return spark.table(name)
+
+
 def append_by_day(df: DataFrame, path: str, time: str, day: str = "_day") -> int:
     """Append rows of a log to the folders of their days."""
     return write_clustered(df.withColumn(day, F.col(time).cast("date")), path, [time], day, mode="append")

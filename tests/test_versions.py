@@ -220,3 +220,27 @@ def test_delete_where_keeps_unknowns(spark):
     df = spark.createDataFrame([("a", "failed"), ("b", None), ("c", "done")], "interface string, status string")
     kept, doomed = versions.delete_where(df, F.col("status") == "failed")
     assert rows(kept.select("interface")) == [("b",), ("c",)] and rows(doomed) == [("failed", 1)]
+
+
+def test_bucketed_tables_resolve_and_join_without_a_shuffle(spark, tmp_path):
+    spec, other = TableSpec("left", ("k", "d"), None), TableSpec("right", ("k", "d"), None)
+    hot = spark.range(4000).selectExpr("IF(id % 3 = 0, 'hot', concat('k', id % 90)) k", "cast(IF(id % 3 = 0, 1, id % 7) AS int) d", "id val", "id % 1000 _version")
+    names = [f"bucketed_{tmp_path.name.replace('-', '_')}_{x}" for x in "ab"]
+    for batch in (hot.filter("id < 2500"), hot.filter("id >= 2500"), hot.limit(0)):
+        left = tables.append_bucketed(batch, names[0], spec, 4, str(tmp_path / "a"))
+    right = tables.append_bucketed(hot.selectExpr("k", "d", "-val AS other", "_version"), names[1], other, 4, str(tmp_path / "b"))
+    assert left.filter("k = 'hot'").count() == 2  # one row of a batch
+    resolved = versions.current(left, spec.keys)
+    assert rows(resolved) == rows(versions.current(hot, spec.keys))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = resolved.drop("_version").join(versions.current(right, other.keys).drop("_version"), ["k", "d"])
+        assert joined.count() == resolved.count()
+        for df in (resolved, joined):
+            assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        for name in names:
+            spark.sql(f"DROP TABLE {name}")
