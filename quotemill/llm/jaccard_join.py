@@ -21,7 +21,7 @@ Documents with the same set are one point of the space from the start, so groups
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +32,8 @@ from .common import U64, groups, joined, mixed, pieces, sieve, sifted, staged, t
 from .graph import components
 
 SHINGLE, PERCENT = 3, 90
+#: Two keys of each of a batch's sets, from the names in them and where each set starts.
+Keys = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 #: A region of more sets is parted by rare shingles, which reads its sets a few times; a smaller one is compared block by block, which copies
 #: each set to as many tasks as there are blocks in its windows. Both are exact.
 PARTED = 4096
@@ -148,14 +150,14 @@ def cells_of(names: np.ndarray, percent: int, table: list[tuple[int, int, int, i
     return np.concatenate(out) if out else np.zeros(0, U64)
 
 
-def sets_of(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
+def sets_of(docs: DataFrame, size: int = SHINGLE, keys: Keys = set_keys) -> DataFrame:
     """doc_id, n_shingles, node and check (the two keys of the set; null without words) of each row."""
     schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("check", pa.int64())])
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
             names, first = shingle_sets(*text_bytes(batch), size)
-            low, high = set_keys(names, first)
+            low, high = keys(names, first)
             empty = np.diff(first) == 0
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(np.diff(first), pa.int64()), *(pa.array(x.view(np.int64), mask=empty) for x in (low, high))], schema=schema)
 
@@ -166,16 +168,15 @@ def _plain(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-def _cells(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _cells(batches: Iterator[pa.RecordBatch], size: int, percent: int, keys: Keys) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Cells and nodes of the sets of a task, piece by piece; a set's cells are given once, however many copies the task reads."""
     table, seen = bands(percent), set()
     for batch in pieces(batches):
         names, first = shingle_sets(*text_bytes(batch), size)
-        low = set_keys(names, first)[0]
         found, owner = [np.zeros(0, U64)], [np.zeros(0, U64)]
-        for t, node in enumerate(low.tolist()):
-            if node not in seen:
-                seen.add(node)
+        for t, (node, check) in enumerate(zip(*(x.tolist() for x in keys(names, first)), strict=True)):
+            if (node, check) not in seen:
+                seen.add((node, check))
                 own = cells_of(names[first[t]: first[t + 1]], percent, table)
                 found.append(own)
                 owner.append(np.full(len(own), node, U64))
@@ -191,16 +192,16 @@ def _ends(cell: np.ndarray, node: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["cell", "lo", "hi"])
 
 
-def cells(docs: DataFrame, size: int, percent: int) -> DataFrame:
+def cells(docs: DataFrame, size: int, percent: int, keys: Keys = set_keys) -> DataFrame:
     """(cell, node) of every set."""
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for cell, node in _cells(batches, size, percent):
+        for cell, node in _cells(batches, size, percent, keys):
             yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(node)], ["cell", "node"])
 
     return _plain(docs).mapInArrow(build, "cell long, node long")
 
 
-def shared_cells(docs: DataFrame, size: int, percent: int) -> DataFrame:
+def shared_cells(docs: DataFrame, size: int, percent: int, keys: Keys = set_keys) -> DataFrame:
     """(cell, lo) of the cells that several sets have, with the smallest node.
 
     Nearly all cells have one set, so a hash table of them before the shuffle would be as large as the rows themselves. Runs of HELD rows
@@ -208,7 +209,7 @@ def shared_cells(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
-        for part in _cells(batches, size, percent):
+        for part in _cells(batches, size, percent, keys):
             if len(part[0]):
                 held.append(part)
             if sum(len(cell) for cell, _ in held) >= HELD:
@@ -221,25 +222,24 @@ def shared_cells(docs: DataFrame, size: int, percent: int) -> DataFrame:
     return ends.groupBy("cell").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).filter("lo <> hi").select("cell", "lo")
 
 
-def shingles(docs: DataFrame, size: int) -> DataFrame:
-    """(node, shingles) of each row of `docs` that has words."""
+def shingles(docs: DataFrame, size: int, keys: Keys = set_keys) -> DataFrame:
+    """(node, check, shingles) of each row of `docs` that has words."""
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
             names, first = shingle_sets(*text_bytes(batch), size)
-            low = set_keys(names, first)[0]
             lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(names.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([pa.array(low.view(np.int64)), lists], ["node", "shingles"]).filter(pa.array(np.diff(first) > 0))
+            yield pa.RecordBatch.from_arrays([*(pa.array(x.view(np.int64)) for x in keys(names, first)), lists], ["node", "check", "shingles"]).filter(pa.array(np.diff(first) > 0))
 
-    return _plain(docs).mapInArrow(build, "node long, shingles array<long>")
+    return _plain(docs).mapInArrow(build, "node long, check long, shingles array<long>")
 
 
-def link_documents(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+def link_documents(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, keys: Keys = set_keys) -> DataFrame:
     """doc_id, n_shingles and component_id of every row: the smallest doc_id that links reach.
 
     A row without words or with a null text links with nothing, nor does a row without doc_id (its component is null). Rows
     that repeat a text are copies; rows that repeat a doc_id are judged one by one and share the number.
     """
-    rows, labels = _linked(docs, size, percent)
+    rows, labels, _ = _linked(docs, size, percent, keys)
     return _numbered(rows, labels)
 
 
@@ -248,22 +248,45 @@ def _numbered(rows: DataFrame, labels: DataFrame) -> DataFrame:
         "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id")).alias("component_id"))
 
 
-def _linked(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """The sets of all rows, and (node, least doc_id, component) of each set."""
-    rows = staged(sets_of(docs, size), "shingle-sets")
+def _points(rows: DataFrame) -> DataFrame:
     named = rows.filter("doc_id IS NOT NULL AND node IS NOT NULL")
-    points = staged(named.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n"), F.min("check").alias("check"), F.max("check").alias("other")), "points")
-    if not points.filter("check <> other").isEmpty():
-        raise ValueError("two different shingle sets have the same key")
+    return named.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n"), F.min("check").alias("check"), F.max("check").alias("other"))
+
+
+def _apart(rows: DataFrame, twins: DataFrame | None) -> DataFrame:
+    """`rows` with a node of its own for each set: of different sets with one key, the one with the least check keeps it, and the others
+    take a key made of both. `twins` has (node, least) of such keys; few tables have any, as the key has 64 bits."""
+    if twins is None:
+        return rows
+    node = F.when(F.col("check") != F.col("least"), F.xxhash64("node", "check")).otherwise(F.col("node"))
+    return rows.join(twins, "node", "left").withColumn("node", node).select(*rows.columns)
+
+
+def _linked(docs: DataFrame, size: int, percent: int, keys: Keys = set_keys) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """The sets of all rows, (node, least doc_id, component) of each set, and the keys that several sets have, if any.
+
+    A set is known by both keys, 128 bits. Cells carry the first only: where it stands for several sets, these are tied, and from there on each has its own node.
+    """
+    rows, twins, doubled = staged(sets_of(docs, size, keys), "shingle-sets"), None, None
+    points = staged(_points(rows), "points")
+    shared_keys = points.filter("check <> other").select("node", F.col("check").alias("least"))
+    if not shared_keys.isEmpty():
+        twins = staged(shared_keys, "shared-keys")
+        again = rows.join(twins, "node").filter("doc_id IS NOT NULL AND check <> least")
+        doubled = staged(again.select(F.xxhash64("node", "check").alias("a"), F.col("node").alias("b")).distinct(), "parted-keys")
+        rows = _apart(rows, twins)
+        points = staged(_points(rows), "points")
     known = docs.filter("doc_id IS NOT NULL")
-    shared = staged(shared_cells(known, size, percent), "shared-cells")
-    ties = staged(sifted(cells(known, size, percent), "cell", sieve(shared, "cell")).join(shared, "cell").select(F.col("node").alias("a"), F.col("lo").alias("b")).distinct(), "ties")
+    shared = staged(shared_cells(known, size, percent, keys), "shared-cells")
+    ties = staged(sifted(cells(known, size, percent, keys), "cell", sieve(shared, "cell")).join(shared, "cell").select(F.col("node").alias("a"), F.col("lo").alias("b")).distinct(), "ties")
+    if doubled is not None:
+        ties = ties.union(doubled)
     found = None
     if not ties.isEmpty():
         regions = staged(components(ties).select("node", F.col("component").alias("pivot")), "regions")
         involved = staged(regions.join(points, "node").select("doc_id", "node"), "involved")
         near = sifted(_plain(docs), "doc_id", sieve(involved, "doc_id")).join(involved.select("doc_id").distinct(), "doc_id", "left_semi")
-        sets = staged(shingles(near, size).join(regions.select("node"), "node").dropDuplicates(["node"]), "involved-sets")
+        sets = staged(_apart(shingles(near, size, keys), twins).select("node", "shingles").join(regions.select("node"), "node").dropDuplicates(["node"]), "involved-sets")
         links = region_links(sets.join(parted(sets, regions, percent), "node"), percent)
         found = components(links)
     labels = points.select("node", "doc_id")
@@ -274,7 +297,7 @@ def _linked(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFr
             "node", F.coalesce("least", "doc_id").alias("least"), F.coalesce("component", "node").alias("component"))
     else:
         labels = labels.select("node", F.col("doc_id").alias("least"), F.col("node").alias("component"))
-    return rows, staged(labels, "labels")
+    return rows, staged(labels, "labels"), twins
 
 
 def parted(sets: DataFrame, regions: DataFrame, percent: int) -> DataFrame:
@@ -389,10 +412,10 @@ def _spanning(rows: pa.Table, percent: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(node[moved]), pa.array(node[root[moved]])], ["a", "b"])
 
 
-def one_of_each_group(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+def one_of_each_group(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, keys: Keys = set_keys) -> DataFrame:
     """One row of `docs` for each group, of the smallest doc_id in it. Rows that repeat a doc_id are judged one by one: those of
     different groups all stay, of those in one group the one with the smallest set key. Rows without doc_id stay."""
-    rows, labels = _linked(docs, size, percent)
+    rows, labels, twins = _linked(docs, size, percent, keys)
     keep = staged(_numbered(rows, labels).filter("doc_id = component_id").select("doc_id").distinct(), "representatives")
     named = docs.join(keep, "doc_id", "left_semi").select(*docs.columns)
     again = staged(named.groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated-ids")
@@ -400,22 +423,23 @@ def one_of_each_group(docs: DataFrame, size: int = SHINGLE, percent: int = PERCE
         return named.union(docs.filter("doc_id IS NULL"))
     own = rows.join(again, "doc_id", "left_semi").join(labels, "node", "left").filter("node IS NULL OR least = doc_id")
     chosen = staged(own.groupBy("doc_id", "component").agg(F.min("node").alias("node")).select("doc_id", "node"), "chosen-sets")
-    twice = _with_node(named.join(again, "doc_id", "left_semi").select(*docs.columns), size)
+    twice = _apart(_with_node(named.join(again, "doc_id", "left_semi").select(*docs.columns), size, keys), twins)
     same = (twice["row.doc_id"].cast("long") == chosen["doc_id"]) & twice["node"].eqNullSafe(chosen["node"])
     one = twice.join(chosen, same, "left_semi").withColumn("_id", F.col("row.doc_id")).dropDuplicates(["_id", "node"]).select("row.*")
     return named.join(again, "doc_id", "left_anti").select(*docs.columns).union(one).union(docs.filter("doc_id IS NULL"))
 
 
-def _with_node(docs: DataFrame, size: int) -> DataFrame:
-    """(row, node) with the key of each row's set, null without words."""
+def _with_node(docs: DataFrame, size: int, keys: Keys = set_keys) -> DataFrame:
+    """(row, node, check) with the keys of each row's set, null without words."""
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes = []
+            found = []
             for text in batch["_text"]:
                 raw = (text.as_py() or "").encode()
                 names, first = shingle_sets(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), size)
-                nodes.append(int(set_keys(names, first)[0].view(np.int64)[0]) if len(names) else None)
-            yield pa.RecordBatch.from_arrays([batch["row"], pa.array(nodes, pa.int64())], ["row", "node"])
+                found.append([int(x.view(np.int64)[0]) if len(names) else None for x in keys(names, first)])
+            yield pa.RecordBatch.from_arrays([batch["row"], *(pa.array([x[k] for x in found], pa.int64()) for k in (0, 1))], ["row", "node", "check"])
 
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("text").cast("string").alias("_text"))
-    return rows.mapInArrow(build, rows.select("row", F.lit(None).cast("long").alias("node")).schema)
+    none = F.lit(None).cast("long")
+    return rows.mapInArrow(build, rows.select("row", none.alias("node"), none.alias("check")).schema)

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from quotemill.llm import bpe_chunks, divergence, jaccard_join, licences, mixing, secrets, suffix_dedup, toxicity
 from tests.llm.fixtures import BASE, SCHEMA, clashing, documents
@@ -423,6 +424,19 @@ def test_regions_tied_by_a_passage_are_parted(spark, monkeypatch, size, percent)
     assert collections.Counter(map(tuple, jaccard_join.link_documents(near, size, percent).collect())) == plain_components(texts(near), size, percent)
 
 
+def test_different_sets_with_one_key_are_told_apart(spark):
+    def few(names, first):
+        low, high = jaccard_join.set_keys(names, first)
+        return low % np.uint64(5), high
+
+    near = documents(spark, near_rows())
+    got = collections.Counter(map(tuple, jaccard_join.link_documents(near, keys=few).collect()))
+    assert got == plain_components(texts(near), 3, 90)
+    again = near.unionByName(near.filter("doc_id < 9").withColumn("text", F.concat("text", F.lit(" of its own and more words, ten of them at least"))))
+    kept = jaccard_join.one_of_each_group(again, keys=few)  # with ids that repeat over different texts
+    assert {r[0] for r in kept.select("doc_id").collect()} == {c for _, _, c in plain_components(texts(again), 3, 90)}
+
+
 def test_one_of_each_group(spark, odd):
     kept = jaccard_join.one_of_each_group(odd)
     assert kept.columns == odd.columns
