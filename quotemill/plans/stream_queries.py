@@ -10,7 +10,7 @@ from ..operators import calls, state
 from ..session import scratch_path
 from ..sources.domain import Domain
 from ..streaming import sink, stale, upsert, windows
-from .data_queries import HOURLY, RPM, SLIDING, SPLIT, STALE, capped_sql
+from .data_queries import HOURLY, RPM, SLIDING, SPLIT, capped_sql
 from .registry import query
 from .state_queries import NOW, as_of
 
@@ -66,11 +66,17 @@ def _(t):
     return windows.windowed(_calls(t), *_folders(t, "sliding"), "60 seconds", F.count(F.lit(1)).alias("calls"), slide="10 seconds", by=("bucket",))
 
 
-@query("r5_stream_stale_units", STALE)
+@query("r5_stream_stale_units", """SELECT interface, scope_key, 'partial' AS status, rows, last_success_at, heartbeat_at, epoch_us(heartbeat_at) // 1000 AS heartbeat_ms,
+  attempts, 'heartbeat timeout' AS last_error, _version, greatest(_version + 1, (SELECT epoch_us(max(heartbeat_at)) // 1000 - 60000 FROM state_log)) AS flag_version FROM units
+  WHERE status = 'running' AND epoch_us(heartbeat_at) // 1000 + 600000 < (SELECT epoch_us(max(heartbeat_at)) // 1000 - 60000 FROM state_log)""")
 def _(t):
+    # The clock is the log's own: a minute, in whole milliseconds, before the newest heartbeat of any version that the stream brought.
     rows, checkpoint = _folders(t, "stale")
     stale.follow(Domain.state_from(_events(t)), rows, checkpoint)
-    return stale.flag_stale(t.spark, rows, as_of())
+    clock = F.date_trunc("millisecond", stale.clock(t.spark, rows)).cast("timestamp_ntz") - F.expr("interval 1 minute")
+    flags = stale.flag_stale(t.spark, rows, clock, version=F.col(STATE.version))
+    millis = F.unix_millis(F.col("heartbeat_at").cast("timestamp")).alias("heartbeat_ms")
+    return flags.select(*flags.columns[:6], millis, *flags.columns[6:], stale.flag_version(clock).alias("flag_version"))
 
 
 @query("r5_stream_flagged_log", f"""SELECT status, count(*) AS units, CAST(sum(rows) AS BIGINT) AS total_rows FROM (

@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 from quotemill.operators import calls, state
 from quotemill.operators.versions import current
+from quotemill.plans import run
 from quotemill.streaming import sink, stale, upsert, windows
 
 from .conftest import rows
@@ -156,3 +157,16 @@ def test_load_stream_takes_each_file_once(spark, tmp_path):
 def test_increment_keeps_the_target_day(spark):
     df = spark.sql("SELECT explode(sequence(DATE '2024-01-01', DATE '2024-01-05')) AS trade_date")
     assert upsert.increment(df, F.lit("2024-01-03").cast("date")).count() == 1
+
+
+def test_stale_units_are_judged_by_the_clock_of_their_log(spark, tmp_path):
+    # k % 6 names the status: 1 running, 2 done. The days lie beyond any fixed date, and the newest heartbeat is of a version that a later event replaces.
+    start = dt.datetime(2031, 5, 6, 8)
+    events = [(i, user, "click", start + dt.timedelta(minutes=at), 7.5, f'{{"k": {k}}}') for i, user, at, k in (
+        (1, 1, 0, 1), (2, 2, 0, 2), (3, 3, 30, 1), (4, 4, 60, 1), (5, 4, 45, 2), (6, 5, 49, 1), (7, 6, 48, 1))]
+    spark.createDataFrame(events, "event_id long, user_id long, event_type string, ts timestamp_ntz, value double, props string").coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    got = run("r5_stream_stale_units", spark, str(tmp_path))
+    assert rows(got.select("interface", "_version", "heartbeat_at")) == [
+        (f"if_{u}_offset_paging", v, start + dt.timedelta(minutes=at)) for u, v, at in ((1, 1, 0), (3, 3, 30), (6, 7, 48))]
+    clock = int((start + dt.timedelta(minutes=59)).replace(tzinfo=dt.UTC).timestamp() * 1000)
+    assert {(r["flag_version"], r["status"], r["last_success_at"]) for r in got.collect()} == {(clock, "partial", dt.datetime(1970, 1, 1))}
