@@ -40,12 +40,14 @@ def payload_fields(df: DataFrame, payload: str) -> DataFrame:
 
 
 def read_payloads(spark: SparkSession, folder: str, names: Sequence[str] | None = None,
-                  pattern: str = "*.json") -> DataFrame:
-    """Whole payload files of a folder tree as (name, payload) rows; a name without a file gives no row."""
+                  pattern: str = "*.json", lines: bool = False) -> DataFrame:
+    """Payload files of a folder tree as (name, payload) rows; a name without a file gives no row. A file is one payload, or with
+    `lines` holds a payload a line: then any number of payloads needs few files, and a large file is read by many tasks."""
     glob = "{" + ",".join(names) + "}.json" if names else pattern
+    split = {"lineSep": "\n"} if lines else {"wholetext": "true"}
     df = (
         spark.read.option("ignoreMissingFiles", "true").option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", glob).option("wholetext", "true").format("text").load(folder)
+        .option("pathGlobFilter", glob).options(**split).format("text").load(folder)
     )
     name = F.regexp_replace("_metadata.file_name", r"\.[^.]*$", "")
     return df.select(name.alias("name"), F.col("value").alias("payload"))

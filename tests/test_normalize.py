@@ -208,3 +208,10 @@ def test_quarters_and_months(spark):
 def test_readable_counts(spark):
     df = spark.createDataFrame([(950,), (1250,), (81_750_000,), (7_000_000_000,)], "n bigint").select(readable_quantity(F.col("n")))
     assert [r[0] for r in df.collect()] == ["950", "1.25 thousand", "81.75 million", "7.00 billion"]
+
+
+def test_payloads_of_many_codes_share_a_file(spark, tmp_path):
+    texts = [f'{{"fields":["ts_code","vol"],"items":[["{k}",{k}]]}}' for k in range(50)]
+    spark.createDataFrame([(x,) for x in texts], "payload string").coalesce(2).write.text(str(tmp_path / "lines"))
+    got = read_payloads(spark, str(tmp_path / "lines"), pattern="*.txt", lines=True)
+    assert sorted(r["payload"] for r in got.collect()) == sorted(texts) and got.select("name").distinct().count() == 2
