@@ -117,7 +117,7 @@ def compact_months(spark: SparkSession, path: str, keys: Sequence[str], partitio
     touched = sorted(r[0] for r in table.filter(F.col(version) > since).select(partition).distinct().collect())  # a calendar's months at most
     if touched:
         aside = scratch_path(spark, "compact-months")
-        current(table.filter(F.col(partition).isin(touched)), [partition, *keys], version).write.partitionBy(partition).parquet(aside)
+        current(table.filter(F.col(partition).isin(touched)), [partition, *keys], version).write.parquet(aside)  # a file a task, not one for each month of each task
         rows = spark.read.schema(table.schema).parquet(aside)
         write_clustered(rows.select(*table.columns), path, keys, partition, mode="overwrite")
     return touched

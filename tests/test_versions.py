@@ -244,3 +244,14 @@ def test_bucketed_tables_resolve_and_join_without_a_shuffle(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
         for name in names:
             spark.sql(f"DROP TABLE {name}")
+
+
+def test_compaction_writes_a_file_a_task_aside(spark, tmp_path, monkeypatch):
+    path, aside = str(tmp_path / "bars"), tmp_path / "aside"
+    monkeypatch.setattr(versions, "scratch_path", lambda _, name: str(aside))
+    log = spark.sql("SELECT CAST(id % 9 AS STRING) AS ts_code, date_add(DATE '2020-01-01', CAST(id % 700 AS INT)) AS trade_date, id AS close, id AS _version FROM range(6300)")
+    tables.append(log, path, BARS)
+    assert len(versions.compact_months(spark, path, BARS.keys, tables.MONTH, -1)) == 23
+    assert len([*aside.rglob("*.parquet")]) <= 8  # not one for each month of each task
+    spark.catalog.refreshByPath(path)
+    assert rows(spark.read.parquet(path).select("ts_code", "trade_date", "_version")) == rows(versions.current(log, BARS.keys).select("ts_code", "trade_date", "_version"))
