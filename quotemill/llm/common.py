@@ -14,7 +14,16 @@ from quotemill.session import scratch_path
 U64 = np.uint64
 
 
+#: Rows that cross to Python at once: whole texts of a few KB make batches of a few MB, which a task holds on both sides.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -24,6 +33,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     Cuts lineage, lets Spark plan the next step with the real size, and survives a lost executor.
     """
     spark = df.sparkSession
+    small_batches(spark)
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -76,9 +86,12 @@ def eight_bytes(raw: np.ndarray) -> np.ndarray:
 SIEVE_BITS = 24
 
 
-def sieve(keys: DataFrame, column: str) -> np.ndarray:
-    """A bitmap of fixed size with the bit of every key set; two keys may share a bit, so it may keep too much, never too little."""
-    bit = F.xxhash64(column).bitwiseAND(F.lit((1 << SIEVE_BITS) - 1))
+def sieve(keys: DataFrame, column: str, hashed: bool = False) -> np.ndarray:
+    """A bitmap of fixed size with the bit of every key set; two keys may share a bit, so it may keep too much, never too little.
+
+    A key that is a hash itself (`hashed`) names its bit by its last bits, so that a task's own function can look it up (`held`).
+    """
+    bit = (F.col(column) if hashed else F.xxhash64(column)).bitwiseAND(F.lit((1 << SIEVE_BITS) - 1))
     words = keys.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 AS int))")).alias("bits")).toArrow()  # 2 ** 18 rows at most
     out = np.zeros(1 << (SIEVE_BITS - 6), np.int64)
@@ -86,6 +99,12 @@ def sieve(keys: DataFrame, column: str) -> np.ndarray:
     return out
 
 
+def held(kept: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which of the keys (hashes, as signed words) have their bit in a sieve of hashes: spares a task the second Python worker of `sifted`."""
+    bit = keys & ((1 << SIEVE_BITS) - 1)
+    return (kept[bit >> 6] >> (bit & 63)) & 1 == 1
+
+
 def sifted(df: DataFrame, column: str, kept: np.ndarray, inside: bool = True) -> DataFrame:
     """The rows whose key has its bit in the sieve (or, outside, has not): thins a table before its rows move to a join."""
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

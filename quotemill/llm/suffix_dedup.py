@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, eight_bytes, joined, pieces, sieve, sifted, staged, text_bytes
+from .common import U64, eight_bytes, held, joined, pieces, sieve, sifted, staged, text_bytes
 
 LENGTH, RANK, CELL = 200, 64, 17
 #: Starts a string offers to the choice, and how many positions one choice looks at (an offset fits in BITS).
@@ -98,17 +98,19 @@ def _once(batch: pa.RecordBatch, seen: set[int]) -> pa.RecordBatch:
 
 def _with_lists(texts: DataFrame, lists: DataFrame) -> DataFrame:
     """The texts named in `lists`, each once, with their list: few move, and copies leave before they do."""
+    kept = sieve(lists, "key", hashed=True)
+
     def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            yield _once(batch, seen)
+            yield _once(batch.filter(pa.array(held(kept, batch["key"].to_numpy()))), seen)
 
-    few = sifted(texts, "key", sieve(lists, "key")).mapInArrow(once, texts.schema)
+    few = texts.mapInArrow(once, texts.schema)
     return few.join(lists, "key").dropDuplicates(["key"])
 
 
 def all_runs(texts: DataFrame, kept: np.ndarray | None = None) -> DataFrame:
-    """The runs of every text, or those whose rank may be in a sieve; a task gives those of a text once, however many copies it reads."""
+    """The runs of every text, or those whose rank may be in a sieve of ranks; a task gives those of a text once, however many copies it reads."""
     names = ["rank", "stretch", "key", "at", "last", "anchor"]
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,10 +119,13 @@ def all_runs(texts: DataFrame, kept: np.ndarray | None = None) -> DataFrame:
             batch = _once(batch, seen)
             text, lo, hi, anchor, rank, stretch = runs(*text_bytes(batch))
             key = batch["key"].to_numpy()[text]
-            yield pa.RecordBatch.from_arrays([pa.array(rank.view(np.int64)), pa.array(stretch.view(np.int64)), pa.array(key), *(pa.array(x, pa.int32()) for x in (lo, hi, anchor))], names)
+            columns = [rank.view(np.int64), stretch.view(np.int64), key, lo, hi, anchor]
+            if kept is not None:
+                hit = held(kept, columns[0])
+                columns = [x[hit] for x in columns]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns[:3]), *(pa.array(x, pa.int32()) for x in columns[3:])], names)
 
-    found = texts.mapInArrow(build, "rank long, stretch long, key long, at int, last int, anchor int")
-    return found if kept is None else sifted(found, "rank", kept)
+    return texts.mapInArrow(build, "rank long, stretch long, key long, at int, last int, anchor int")
 
 
 def repeated(rows: DataFrame, rank: str, inner: str) -> DataFrame:
@@ -140,7 +145,7 @@ def settled(left: DataFrame, rank: str, inner: str, name: str, *place: str) -> t
 def repeated_starts(texts: DataFrame) -> DataFrame:
     """(key, at, last): ranges of starts of strings that also start elsewhere; `texts` has key and text."""
     found = staged(repeated(all_runs(texts), "rank", "stretch"), "repeated-ranks")
-    left = staged(all_runs(texts, sieve(found, "rank")).join(found, "rank"), "repeated-runs")
+    left = staged(all_runs(texts, sieve(found, "rank", hashed=True)).join(found, "rank"), "repeated-runs")
     whole, going_on = settled(left, "rank", "stretch", "stretches", "key", "at", "last", "anchor")
 
     # One run of each stretch goes on: what it finds settles a single stretch; the runs of a repeated one are settled already.
