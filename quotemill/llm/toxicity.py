@@ -40,6 +40,8 @@ PREFIXES = range(4, 9)
 RIDGE, FAIRNESS, STEPS = 2e-4, 1.0, 400
 #: Words remembered by a task with their features.
 REMEMBERED = 200_000
+#: Features whose sums a task holds before it hands them on; the sums of a feature meet again in the grouping.
+GATHERED = 50_000
 
 
 def held_out() -> Column:
@@ -112,23 +114,29 @@ def untold(clean: float, toxic: float) -> Model:
     return Model(min(math.log((toxic + 0.5) / (clean + 0.5)), math.log(0.49 / 0.51)))
 
 
+def _sums(sums: dict[str, list[float]]) -> pa.RecordBatch:
+    columns = [pa.array((row[i] for row in sums.values()), pa.float64(), size=len(sums)) for i in range(5)]
+    return pa.RecordBatch.from_arrays([pa.array(sums.keys(), pa.string(), size=len(sums)), *columns], ["key", "clean", "toxic", "v0", "v1", "vv"])
+
+
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, features: int = FEATURES, fairness: float = FAIRNESS) -> Model:
     """Fit on the labelled rows. Without both labels, or if no feature tells them apart, see `untold`."""
     sample = training_rows(docs, labels, rows)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[str, list[float]] = {"": [0.0] * 5}
+        sums: dict[str, list[float]] = {}
         for batch in batches:
             for toxic, text in zip(batch["_toxic"].to_pylist(), batch["text"], strict=True):
-                sums[""][toxic] += 1
+                sums.setdefault("", [0.0] * 5)[toxic] += 1
                 for key, v in _rates(_counts(text.as_py() or "")).items():
                     row = sums.setdefault(key, [0.0] * 5)
                     row[toxic] += 1
                     row[2 + toxic] += v
                     row[4] += v * v
-        keys = list(sums)
-        columns = [pa.array([sums[k][i] for k in keys], pa.float64()) for i in range(5)]
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), *columns], ["key", "clean", "toxic", "v0", "v1", "vv"])
+                if len(sums) >= GATHERED:
+                    yield _sums(sums)
+                    sums.clear()
+        yield _sums(sums)
 
     from .common import staged
 

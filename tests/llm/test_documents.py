@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from quotemill.llm import bpe_chunks, divergence, jaccard_join, licences, mixing, secrets, suffix_dedup, toxicity
+from quotemill.llm import bpe_chunks, common, divergence, jaccard_join, licences, mixing, secrets, suffix_dedup, toxicity
 from tests.llm.fixtures import BASE, SCHEMA, clashing, documents
 
 FOLDER = "/root/testdata/sf0.001"
@@ -533,3 +533,33 @@ def test_runs_do_not_depend_on_what_stands_around():
 
 
 assert BASE and os.path.isdir(FOLDER)
+
+
+def test_features_are_handed_on_in_bounded_parts(spark, monkeypatch):
+    def sums():
+        part = {f"k{i}": [1.0, 0.0, 0.5, 0.0, 0.25] for i in range(3)}
+        return toxicity._sums(part)
+
+    assert sums().to_pydict() == {"key": ["k0", "k1", "k2"], "clean": [1.0] * 3, "toxic": [0.0] * 3, "v0": [0.5] * 3, "v1": [0.0] * 3, "vv": [0.25] * 3}
+    words = ["good kind warm", "bad cruel cold"]
+    docs = spark.createDataFrame([(i, f"{words[i % 2]} w{i}") for i in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    whole = toxicity.train(docs, labels)
+    monkeypatch.setattr(toxicity, "GATHERED", 5)
+    parts = toxicity.train(docs, labels)
+    assert set(parts.weights) == set(whole.weights) and abs(parts.bias - whole.bias) < 1e-6
+    assert all(abs(parts.weights[k] - v) < 1e-6 for k, v in whole.weights.items())
+
+
+def test_a_sieve_of_hashes_keeps_every_key(spark):
+    keys = spark.range(-500, 500).select(F.xxhash64("id").alias("key"))
+    kept = common.sieve(keys.filter("key % 2 = 0"), "key", hashed=True)
+    found = np.array([r[0] for r in keys.collect()])
+    hit = common.held(kept, found)
+    assert hit[found % 2 == 0].all() and (~hit[found % 2 != 0]).mean() > 0.99
+
+
+def test_runs_take_one_python_worker_a_task(spark):
+    texts = spark.createDataFrame([(1, "x" * 300)], "key long, text string")
+    plan = suffix_dedup.all_runs(texts, np.full(1 << (common.SIEVE_BITS - 6), -1, np.int64))
+    assert plan._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1 and plan.count() == suffix_dedup.all_runs(texts).count() > 0
