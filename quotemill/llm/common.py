@@ -17,6 +17,9 @@ U64 = np.uint64
 #: Rows that cross to Python at once: whole texts of a few KB make batches of a few MB, which a task holds on both sides.
 BATCH_ROWS = 1000
 
+#: Spark's setting that shuffle files are deleted when the query that wrote them has ended.
+SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
@@ -30,12 +33,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared scratch folder and read again.
 
-    Cuts lineage, lets Spark plan the next step with the real size, and survives a lost executor.
+    Cuts lineage, lets Spark plan the next step with the real size, and survives a lost executor. The shuffle files of the write go
+    when it has ended, as nothing reads them again: left to the garbage collector, those of many steps lie on the disks at once.
     """
     spark = df.sparkSession
     small_batches(spark)
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(SHUFFLES_GO, None)
+    spark.conf.set(SHUFFLES_GO, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(SHUFFLES_GO) if before is None else spark.conf.set(SHUFFLES_GO, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

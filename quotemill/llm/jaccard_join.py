@@ -7,8 +7,9 @@ The Jaccard distance is a metric, so distances to a pivot tell which documents m
    that share no cell are too far apart, exactly; most cells hold one set only and end here.
 2. Regions. Documents tied together by cells form a region around one of them, its pivot. Documents of different regions share
    no cell. Passages that many documents share tie them all, near or not, so a large region is joined again within itself by the
-   shingles that are rarest in it, of which near sets must share one, and parted into smaller regions. This goes on until regions are
-   small enough for blocks or do not get smaller.
+   shingles that are rarest in it, of which near sets must share one, and parted into smaller regions: first by counts in a sketch of
+   fixed size, from the texts and without moving their sets, then by exact counts. This goes on until regions are small enough for
+   blocks or do not get smaller.
 3. Pivots. The sets of a region are measured against its pivot, and those within the limit are linked to it.
 4. Windows. In a region that is not one component yet, links lie between documents whose distances to the pivot differ by no more
    than the limit (triangle inequality): each window of distances is compared with itself and the next one.
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +36,8 @@ from .graph import components
 SHINGLE, PERCENT = 3, 90
 #: Two keys of each of a batch's sets, from the names in them and where each set starts.
 Keys = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
+#: Cells and the nodes that have them, piece by piece, from the rows of a task.
+Cells = Callable[[Iterator[pa.RecordBatch]], Iterator[tuple[np.ndarray, np.ndarray]]]
 #: A region of more sets is parted by rare shingles, which reads its sets a few times; a smaller one is compared block by block, which copies
 #: each set to as many tasks as there are blocks in its windows. Both are exact.
 PARTED = 4096
@@ -41,6 +45,9 @@ PARTED = 4096
 BLOCK, COLUMNS = 256, 4096
 #: Rows of cells that a task combines at a time.
 HELD = 1 << 19
+#: Bits of a place in the sketch of counts, places that a row of it holds, and its steps for a doubling of the count. The sketch only
+#: orders shingles, and any order gives exact results: places that rare shingles share by chance make regions larger, not wrong.
+SKETCH_BITS, SLOT, STEPS = 22, 1024, 8
 #: Sizes fall into bands that grow by half; classes beyond D + 1, as a share of them; splittings tried before empty classes count
 #: as content.
 BAND, SPARE, SPLITS = 1.5, 0.15, 6
@@ -151,23 +158,27 @@ def cells_of(names: np.ndarray, percent: int, table: list[tuple[int, int, int, i
 
 
 def sets_of(docs: DataFrame, size: int = SHINGLE, keys: Keys = set_keys) -> DataFrame:
-    """doc_id, n_shingles, node and check (the two keys of the set; null without words) of each row."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("check", pa.int64())])
+    """doc_id, said (a hash of the text), n_shingles, node and check (the two keys of the set; null without words) of each row."""
+    schema = pa.schema([(x, pa.int64()) for x in ("doc_id", "said", "n_shingles", "node", "check")])
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
             names, first = shingle_sets(*text_bytes(batch), size)
             low, high = keys(names, first)
             empty = np.diff(first) == 0
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(np.diff(first), pa.int64()), *(pa.array(x.view(np.int64), mask=empty) for x in (low, high))], schema=schema)
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["said"], pa.array(np.diff(first), pa.int64()), *(pa.array(x.view(np.int64), mask=empty) for x in (low, high))], schema=schema)
 
-    return _plain(docs).mapInArrow(build, "doc_id long, n_shingles long, node long, check long")
+    return _said(docs).mapInArrow(build, "doc_id long, said long, n_shingles long, node long, check long")
 
 
 def _plain(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
+def _said(docs: DataFrame) -> DataFrame:
+    return _plain(docs).select("doc_id", "text", F.xxhash64("text").alias("said"))
+
+
 def _cells(batches: Iterator[pa.RecordBatch], size: int, percent: int, keys: Keys) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Cells and nodes of the sets of a task, piece by piece; a set's cells are given once, however many copies the task reads."""
     table, seen = bands(percent), set()
@@ -184,32 +195,33 @@ def _cells(batches: Iterator[pa.RecordBatch], size: int, percent: int, keys: Key
 
 
 def _ends(cell: np.ndarray, node: np.ndarray) -> pa.RecordBatch:
-    """(cell, lo, hi): the smallest and largest node of each cell."""
+    """(cell, lo, hi): the smallest node of each cell, and the largest if it is another."""
     order = np.argsort(cell, kind="stable")
     cell, node = cell[order], node[order]
     start = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1])))
-    columns = cell[start], np.minimum.reduceat(node, start), np.maximum.reduceat(node, start)
-    return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["cell", "lo", "hi"])
+    lo, hi = np.minimum.reduceat(node, start), np.maximum.reduceat(node, start)
+    return pa.RecordBatch.from_arrays([pa.array(cell[start]), pa.array(lo), pa.array(hi, mask=lo == hi)], ["cell", "lo", "hi"])
 
 
-def cells(docs: DataFrame, size: int, percent: int, keys: Keys = set_keys) -> DataFrame:
+def cells(rows: DataFrame, own: Cells) -> DataFrame:
     """(cell, node) of every set."""
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for cell, node in _cells(batches, size, percent, keys):
+        for cell, node in own(batches):
             yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(node)], ["cell", "node"])
 
-    return _plain(docs).mapInArrow(build, "cell long, node long")
+    return rows.mapInArrow(build, "cell long, node long")
 
 
-def shared_cells(docs: DataFrame, size: int, percent: int, keys: Keys = set_keys) -> DataFrame:
+def shared_cells(rows: DataFrame, own: Cells) -> DataFrame:
     """(cell, lo) of the cells that several sets have, with the smallest node.
 
     Nearly all cells have one set, so a hash table of them before the shuffle would be as large as the rows themselves. Runs of HELD rows
-    are combined where they are made, which is enough for cells that many sets have, and Spark aggregates behind the shuffle.
+    are combined where they are made, which is enough for cells that many sets have, and Spark aggregates behind the shuffle. A cell
+    of one set moves its node once.
     """
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
-        for part in _cells(batches, size, percent, keys):
+        for part in own(batches):
             if len(part[0]):
                 held.append(part)
             if sum(len(cell) for cell, _ in held) >= HELD:
@@ -218,19 +230,81 @@ def shared_cells(docs: DataFrame, size: int, percent: int, keys: Keys = set_keys
         if held:
             yield _ends(*map(np.concatenate, zip(*held, strict=True)))
 
-    ends = _plain(docs).mapInArrow(build, "cell long, lo long, hi long").repartition("cell")
-    return ends.groupBy("cell").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).filter("lo <> hi").select("cell", "lo")
+    ends = rows.mapInArrow(build, "cell long, lo long, hi long").repartition("cell")
+    return ends.groupBy("cell").agg(F.min("lo").alias("lo"), F.max(F.coalesce("hi", "lo")).alias("hi")).filter("lo <> hi").select("cell", "lo")
+
+
+def ties_of(rows: DataFrame, own: Cells, name: str) -> DataFrame:
+    """(a, b): every set that shares a cell, and the smallest set of that cell."""
+    shared = staged(shared_cells(rows, own), f"shared-{name}")
+    found = sifted(cells(rows, own), "cell", sieve(shared, "cell")).join(shared, "cell")
+    return staged(found.select(F.col("node").alias("a"), F.col("lo").alias("b")).distinct(), "ties")
+
 
+def texts_of(docs: DataFrame, involved: DataFrame) -> DataFrame:
+    """(node, pivot, text) of the sets in `involved` (node, pivot, doc_id, said): a text for each, or several that are equal.
 
-def shingles(docs: DataFrame, size: int, keys: Keys = set_keys) -> DataFrame:
-    """(node, check, shingles) of each row of `docs` that has words."""
+    Texts move here, not sets of 64-bit names, which take more room and do not compress.
+    """
+    return sifted(_said(docs), "doc_id", sieve(involved, "doc_id")).join(involved, ["doc_id", "said"]).select("node", "pivot", "text")
+
+
+def shingles(texts: DataFrame, size: int) -> DataFrame:
+    """(node, shingles) of each set in `texts`, once."""
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
             names, first = shingle_sets(*text_bytes(batch), size)
-            lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(names.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([*(pa.array(x.view(np.int64)) for x in keys(names, first)), lists], ["node", "check", "shingles"]).filter(pa.array(np.diff(first) > 0))
+            yield pa.RecordBatch.from_arrays([batch["node"], pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(names.view(np.int64)))], ["node", "shingles"])
+
+    return texts.select("node", "text").mapInArrow(build, "node long, shingles array<long>").dropDuplicates(["node"])
 
-    return _plain(docs).mapInArrow(build, "node long, check long, shingles array<long>")
+
+def _named(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Nodes of the sets in a piece, the names of their shingles within their regions, and where each set starts."""
+    for batch in pieces(batches):
+        names, first = shingle_sets(*text_bytes(batch), size)
+        yield batch["node"].to_numpy(), joined(np.repeat(batch["pivot"].to_numpy().view(U64), np.diff(first)), names), first
+
+
+def _place(names: np.ndarray) -> np.ndarray:
+    return (names & U64((1 << SKETCH_BITS) - 1)).astype(np.int64)
+
+
+def crowding(texts: DataFrame, size: int) -> np.ndarray:
+    """For each place of the sketch the logarithm of how many shingles of the sets in `texts` fall there, in steps: 4 MiB whatever it counts."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << SKETCH_BITS, np.uint32)
+        for _, names, _ in _named(batches, size):
+            np.add.at(counts, _place(names), 1)
+        rows = counts.reshape(-1, SLOT)
+        filled = np.flatnonzero(rows.any(axis=1))
+        for start in range(0, len(filled), 256):
+            part = filled[start: start + 256]
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array([x.tobytes() for x in rows[part]], pa.binary())], ["slot", "counts"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in groups(batches, ["slot"]):
+            total = np.zeros(SLOT, np.int64)
+            for counts in rows["counts"]:
+                total += np.frombuffer(counts.as_py(), np.uint32)
+            levels = np.minimum(255, STEPS * np.log2(total + 1)).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([rows["slot"].combine_chunks()[:1], pa.array([levels.tobytes()], pa.binary())], ["slot", "levels"])
+
+    dealt = texts.mapInArrow(count, "slot long, counts binary").repartition("slot").sortWithinPartitions("slot")
+    out = np.zeros(1 << SKETCH_BITS, np.uint8).reshape(-1, SLOT)
+    for row in dealt.mapInArrow(add, "slot long, levels binary").toArrow().to_pylist():  # 2 ** 12 rows at most
+        out[row["slot"]] = np.frombuffer(row["levels"], np.uint8)
+    return out.reshape(-1)
+
+
+def _rare(batches: Iterator[pa.RecordBatch], size: int, percent: int, levels: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Of each set the shingles in the least crowded places, one more than a near set can lack: near sets have one of them in common."""
+    for node, names, first in _named(batches, size):
+        n = np.diff(first)
+        owner = np.repeat(np.arange(len(n)), n)
+        order = np.lexsort((names, levels[_place(names)], owner))
+        kept = np.arange(len(names)) - first[owner] < (n * (100 - percent) // 100 + 1)[owner]
+        yield names[order][kept].view(np.int64), node[owner[kept]]
 
 
 def link_documents(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, keys: Keys = set_keys) -> DataFrame:
@@ -250,7 +324,7 @@ def _numbered(rows: DataFrame, labels: DataFrame) -> DataFrame:
 
 def _points(rows: DataFrame) -> DataFrame:
     named = rows.filter("doc_id IS NOT NULL AND node IS NOT NULL")
-    return named.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n"), F.min("check").alias("check"), F.max("check").alias("other"))
+    return named.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min_by("said", "doc_id").alias("said"), F.min("check").alias("check"), F.max("check").alias("other"))
 
 
 def _apart(rows: DataFrame, twins: DataFrame | None) -> DataFrame:
@@ -277,17 +351,16 @@ def _linked(docs: DataFrame, size: int, percent: int, keys: Keys = set_keys) ->
         rows = _apart(rows, twins)
         points = staged(_points(rows), "points")
     known = docs.filter("doc_id IS NOT NULL")
-    shared = staged(shared_cells(known, size, percent, keys), "shared-cells")
-    ties = staged(sifted(cells(known, size, percent, keys), "cell", sieve(shared, "cell")).join(shared, "cell").select(F.col("node").alias("a"), F.col("lo").alias("b")).distinct(), "ties")
+    ties = ties_of(_plain(known), partial(_cells, size=size, percent=percent, keys=keys), "cells")
     if doubled is not None:
         ties = ties.union(doubled)
     found = None
     if not ties.isEmpty():
-        regions = staged(components(ties).select("node", F.col("component").alias("pivot")), "regions")
-        involved = staged(regions.join(points, "node").select("doc_id", "node"), "involved")
-        near = sifted(_plain(docs), "doc_id", sieve(involved, "doc_id")).join(involved.select("doc_id").distinct(), "doc_id", "left_semi")
-        sets = staged(_apart(shingles(near, size, keys), twins).select("node", "shingles").join(regions.select("node"), "node").dropDuplicates(["node"]), "involved-sets")
-        links = region_links(sets.join(parted(sets, regions, percent), "node"), percent)
+        regions = components(ties).select("node", F.col("component").alias("pivot"))
+        involved = staged(regions.join(points, "node").select("node", "pivot", "doc_id", "said"), "involved")
+        involved = thinned(docs, involved, size, percent)
+        sets = staged(shingles(texts_of(docs, involved), size), "involved-sets")
+        links = region_links(sets.join(parted(sets, involved.select("node", "pivot"), percent), "node"), percent)
         found = components(links)
     labels = points.select("node", "doc_id")
     if found is not None:
@@ -300,6 +373,26 @@ def _linked(docs: DataFrame, size: int, percent: int, keys: Keys = set_keys) ->
     return rows, staged(labels, "labels"), twins
 
 
+def thinned(docs: DataFrame, involved: DataFrame, size: int, percent: int) -> DataFrame:
+    """`involved` (node, pivot, doc_id, said) with the regions of more than PARTED sets parted by shingles that are rare by the sketch;
+    sets that share none of these are left out.
+
+    The fewer sets a sketch counts, the more it tells apart: the next round is worth its while as long as large regions lose half their sets.
+    """
+    columns, before = ["node", "pivot", "doc_id", "said"], None
+    while True:
+        counts = involved.groupBy("pivot").agg(F.count("*").alias("members"))
+        large = staged(counts.filter(F.col("members") > PARTED), "large-regions")
+        now = large.agg(F.sum("members")).first()[0]
+        if now is None or before is not None and 2 * now > before:
+            return involved
+        texts = staged(texts_of(docs, involved.join(large, "pivot", "left_semi")), "texts-of-large-regions")
+        ties = ties_of(texts, partial(_rare, size=size, percent=percent, levels=crowding(texts, size)), "rare-shingles")
+        smaller = components(ties).select("node", F.col("component").alias("pivot")).join(involved.drop("pivot"), "node")
+        involved = staged(involved.join(large, "pivot", "left_anti").select(*columns).union(smaller.select(*columns)), "thinned-regions")
+        before = now
+
+
 def parted(sets: DataFrame, regions: DataFrame, percent: int) -> DataFrame:
     """`regions` (node, pivot) with those of more than PARTED sets parted as far as rare shingles tell; sets tied to nothing are left out.
 

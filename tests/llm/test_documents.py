@@ -3,8 +3,10 @@ import hashlib
 import math
 import os
 import re
+import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -424,6 +426,55 @@ def test_regions_tied_by_a_passage_are_parted(spark, monkeypatch, size, percent)
     assert collections.Counter(map(tuple, jaccard_join.link_documents(near, size, percent).collect())) == plain_components(texts(near), size, percent)
 
 
+def test_sets_of_large_regions_are_written_only_if_they_stay_in_one(spark, monkeypatch):
+    written, write = {}, common.staged
+    monkeypatch.setattr(jaccard_join, "PARTED", 8)
+
+    def noted(df, name):
+        out = write(df, name)
+        written.setdefault(name, out)
+        return out
+
+    monkeypatch.setattr(jaccard_join, "staged", noted)
+    docs = documents(spark, passages())
+    docs = docs.union(docs.filter("doc_id < 5").withColumn("text", F.concat(F.lit("another text of a number that repeats "), "text")))
+    kept = jaccard_join.one_of_each_group(docs)
+    assert {r[0] for r in kept.select("doc_id").collect()} == {c for _, _, c in plain_components(texts(docs), 3, 90)}
+    assert written["involved"].count() > 300 and written["involved-sets"].count() < 120
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_near_sets_share_a_rare_shingle_in_any_order(percent):
+    rng = np.random.default_rng(percent)
+    for _ in range(50):
+        n = int(rng.integers(3, 200))
+        words = [f"w{x}" for x in rng.integers(0, 400, n)]
+        other = words[int(rng.integers(0, 1 + n // 12)):] + [f"x{x}" for x in range(int(rng.integers(0, 1 + n // 12)))]
+        batch = pa.RecordBatch.from_pydict({"node": [1, 2], "pivot": [7, 7], "text": [" ".join(words), " ".join(other)]})
+        names, first = jaccard_join.shingle_sets(*common.text_bytes(batch))
+        a, b = set(names[:first[1]].tolist()), set(names[first[1]:].tolist())
+        levels = rng.integers(0, 4, 1 << jaccard_join.SKETCH_BITS).astype(np.uint8)
+        (cell, node), = jaccard_join._rare(iter([batch]), 3, percent, levels)
+        assert [int((node == x).sum()) for x in (1, 2)] == [len(x) * (100 - percent) // 100 + 1 for x in (a, b)]
+        if 100 * len(a & b) >= percent * len(a | b):
+            assert set(cell[node == 1].tolist()) & set(cell[node == 2].tolist())
+
+
+def test_shuffle_files_go_when_a_table_is_written(spark):
+    def shuffled():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(i).getPath() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+    before = shuffled()
+    counts = common.staged(spark.range(100_000).repartition(4, "id").groupBy((F.col("id") % 1000).alias("k")).count(), "counts")
+    end = time.time() + 20
+    while shuffled() - before and time.time() < end:
+        time.sleep(0.5)
+    assert not shuffled() - before
+    assert counts.count() == 1000
+    assert spark.conf.get(common.SHUFFLES_GO, "false") == "false"
+
+
 def test_different_sets_with_one_key_are_told_apart(spark):
     def few(names, first):
         low, high = jaccard_join.set_keys(names, first)
