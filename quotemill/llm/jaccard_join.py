@@ -386,7 +386,8 @@ def thinned(docs: DataFrame, involved: DataFrame, size: int, percent: int) -> Da
         now = large.agg(F.sum("members")).first()[0]
         if now is None or before is not None and 2 * now > before:
             return involved
-        texts = staged(texts_of(docs, involved.join(large, "pivot", "left_semi")), "texts-of-large-regions")
+        # Read and joined anew by each pass: written once, the texts would lie beside everything that follows.
+        texts = texts_of(docs, staged(involved.join(large, "pivot", "left_semi"), "large-region-sets"))
         ties = ties_of(texts, partial(_rare, size=size, percent=percent, levels=crowding(texts, size)), "rare-shingles")
         smaller = components(ties).select("node", F.col("component").alias("pivot")).join(involved.drop("pivot"), "node")
         involved = staged(involved.join(large, "pivot", "left_anti").select(*columns).union(smaller.select(*columns)), "thinned-regions")
