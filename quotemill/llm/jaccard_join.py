@@ -292,7 +292,7 @@ def crowding(texts: DataFrame, size: int) -> np.ndarray:
 
     dealt = texts.mapInArrow(count, "slot long, counts binary").repartition("slot").sortWithinPartitions("slot")
     out = np.zeros(1 << SKETCH_BITS, np.uint8).reshape(-1, SLOT)
-    for row in dealt.mapInArrow(add, "slot long, levels binary").toArrow().to_pylist():  # 2 ** 12 rows at most
+    for row in staged(dealt.mapInArrow(add, "slot long, levels binary"), "sketch").toArrow().to_pylist():  # 2 ** 12 rows at most
         out[row["slot"]] = np.frombuffer(row["levels"], np.uint8)
     return out.reshape(-1)
 
